@@ -31,9 +31,15 @@ def parse_ts(c: Column) -> Column:
     """ISO 8601 text to an instant: offset or Z honoured, none means UTC, date only is
     midnight, and anything else is NULL."""
     raw = F.replace(strip(c), F.lit("Z"), F.lit("+00:00"))
+    groups = "\x01".join(f"${i}" for i in range(1, 16))
+    parts = F.split(F.regexp_replace(raw, _ISO, groups), "\x01")
+    # The one-element array binds the parts, so the pattern runs once per value.
+    return F.element_at(F.transform(F.array(parts), _instant), 1)
 
+
+def _instant(parts: Column) -> Column:
     def part(i: int) -> Column:
-        return F.nullif(F.regexp_extract(raw, _ISO, i), F.lit(""))
+        return F.nullif(F.get(parts, F.lit(i - 1)), F.lit(""))
 
     year = part(1)
     week_monday = F.date_add(
@@ -47,24 +53,19 @@ def parse_ts(c: Column) -> Column:
     day = F.when(part(6).isNotNull(), week_date).otherwise(
         F.concat_ws("-", year, F.coalesce(part(2), part(4)), F.coalesce(part(3), part(5)))
     )
-    clock = F.concat(
-        F.coalesce(part(8), F.lit("00")),
-        F.lit(":"),
-        F.coalesce(part(9), F.lit("00")),
-        F.lit(":"),
-        F.coalesce(part(10), F.lit("00")),
-        F.lit("."),
-        F.rpad(F.substring(F.coalesce(part(11), F.lit("0")), 1, 6), 6, "0"),
+    fraction = F.rpad(F.substring(F.coalesce(part(11), F.lit("0")), 1, 6), 6, "0")
+    clock = [F.coalesce(part(i), F.lit("00")) for i in (8, 9, 10)]
+    local = F.concat(
+        day, F.lit("T"), F.concat_ws(":", *clock), F.lit("."), fraction, F.lit("+00:00")
+    ).try_cast("timestamp")
+    hours, minutes, seconds = (
+        F.coalesce(part(i).try_cast("int"), F.lit(0)) for i in (13, 14, 15)
     )
-    offset = (
-        F.coalesce(part(13).cast("int"), F.lit(0)) * 3600
-        + F.coalesce(part(14).cast("int"), F.lit(0)) * 60
-        + F.coalesce(part(15).cast("int"), F.lit(0))
+    offset = hours * 3600 + minutes * 60 + seconds
+    return F.when(
+        F.size(parts) == 15,
+        F.timestamp_add("SECOND", F.when(part(12) == "-", offset).otherwise(-offset), local),
     )
-    signed = F.when(part(12) == "-", -offset).otherwise(offset)
-    local = F.concat(day, F.lit("T"), clock, F.lit("+00:00")).try_cast("timestamp")
-    shifted = F.timestamp_add("SECOND", -signed, local)
-    return F.when(raw.rlike(_ISO), shifted)
 
 
 def time_unit(first: Column, last: Column) -> Column:

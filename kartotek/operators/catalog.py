@@ -85,9 +85,9 @@ def candidates_v1_entry(entries: DataFrame, labels: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.when(F.col("code").isNotNull(), node))).alias("nodes")
     )
     last = F.try_element_at("nodes", F.lit(-1))
+    kept = [c for c in ("id", "title", "api_url", "web_url") if c in entries.columns]
     return dated.join(paths, "path").select(
-        "id",
-        "title",
+        *kept,
         F.col("_stamp").alias("updated"),
         F.transform("nodes", lambda n: F.struct(n["code"].alias("code"), n["label"].alias("label")))
         .alias("nodes"),
