@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from kartotek.functions.text import first_nonblank, strip
+from kartotek.functions.text import bind, first_nonblank, strip
 
 # Keys that may carry a node's id and its label, in order of preference.
 NODE_ID_KEYS = ("id", "code", "key", "value", "name", "label", "title")
@@ -15,12 +15,22 @@ CONTACT_FIELDS = ("name", "organization", "mail", "phone", "raw")
 _MAP = "map<string,variant>"
 
 
+def as_map(v: Column) -> Column:
+    """Fields of a JSON object; anything else gives NULL."""
+    return F.try_variant_get(v, "$", _MAP)
+
+
+def as_array(v: Column) -> Column:
+    """Items of a JSON array; anything else gives NULL."""
+    return F.try_variant_get(v, "$", "array<variant>")
+
+
 def is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    return as_map(v).isNotNull()
 
 
 def is_array(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("ARRAY"), F.lit(False))
+    return as_array(v).isNotNull()
 
 
 def is_string(v: Column) -> Column:
@@ -40,14 +50,6 @@ def string_only(v: Column) -> Column:
     return F.when(is_string(v), F.try_variant_get(v, "$", "string"))
 
 
-def as_map(v: Column) -> Column:
-    return F.when(is_object(v), F.try_variant_get(v, "$", _MAP))
-
-
-def as_array(v: Column) -> Column:
-    return F.when(is_array(v), F.try_variant_get(v, "$", "array<variant>"))
-
-
 def drop_nulls(m: Column) -> Column:
     return F.map_filter(m, lambda k, v: ~is_json_null(v))
 
@@ -79,25 +81,34 @@ def split_extras(m: Column, known: tuple[str, ...]) -> Column:
 
 def _node(v: Column, fallback: Column) -> Column:
     """One path node: an object with some id, or a bare scalar used as both id and label."""
-    fields = as_map(v)
-    scalar = F.when(fields.isNull(), F.try_variant_get(v, "$", "string"))
+    taken = tuple(dict.fromkeys(NODE_ID_KEYS + NODE_LABEL_KEYS))
+    empty = F.create_map().cast(_MAP)
+
+    def from_object(fields: Column) -> Column:
+        def pick(keys: tuple[str, ...], last: Column) -> Column:
+            values = [F.try_element_at(fields, F.lit(k)).try_cast("string") for k in keys]
+            return F.coalesce(first_nonblank(*values), last)
 
-    def pick(keys: tuple[str, ...], last: Column) -> Column:
-        return first_nonblank(
-            *[F.try_element_at(fields, F.lit(k)).try_cast("string") for k in keys], last
+        def labelled(code: Column) -> Column:
+            return F.struct(
+                code.alias("code"),
+                pick(NODE_LABEL_KEYS, code).alias("label"),
+                F.map_filter(fields, lambda k, x: ~k.isin(*taken)).alias("extension"),
+            )
+
+        return bind(pick(NODE_ID_KEYS, fallback), labelled)
+
+    def from_scalar(text: Column) -> Column:
+        return F.when(
+            text != "", F.struct(text.alias("code"), text.alias("label"), empty.alias("extension"))
         )
 
-    code = pick(NODE_ID_KEYS, F.when(fields.isNull(), scalar).otherwise(fallback))
-    taken = tuple(dict.fromkeys(NODE_ID_KEYS + NODE_LABEL_KEYS))
-    extras = F.map_filter(fields, lambda k, x: ~k.isin(*taken))
-    return F.when(
-        ~is_json_null(v) & code.isNotNull(),
-        F.struct(
-            code.alias("code"),
-            pick(NODE_LABEL_KEYS, code).alias("label"),
-            F.coalesce(extras, F.create_map().cast(_MAP)).alias("extension"),
-        ),
-    )
+    def either(fields: Column) -> Column:
+        return F.when(fields.isNotNull(), from_object(fields)).otherwise(
+            bind(strip(F.try_variant_get(v, "$", "string")), from_scalar)
+        )
+
+    return F.when(~is_json_null(v), bind(as_map(v), either))
 
 
 def _keyed_items(json_text: Column) -> Column:
@@ -106,56 +117,75 @@ def _keyed_items(json_text: Column) -> Column:
     def item(e: Column) -> Column:
         key = F.create_map(F.lit("id"), e["key"].cast("variant"))
         plain = F.map_concat(key, F.create_map(F.lit("label"), e["value"]))
-        return F.to_variant_object(F.when(is_object(e["value"]), overlay(key, as_map(e["value"]))).otherwise(plain))
+        return F.to_variant_object(
+            bind(
+                as_map(e["value"]),
+                lambda m: F.when(m.isNotNull(), overlay(key, m)).otherwise(plain),
+            )
+        )
 
     return F.transform(F.map_entries(F.from_json(json_text, _MAP)), item)
 
 
-def _raw_sequences(json_text: Column) -> Column:
+def _raw_sequences(json_text: Column, v: Column) -> Column:
     """The eight shapes as one list of node-item lists."""
-    v = F.try_parse_json(json_text)
-    items, fields = as_array(v), as_map(v)
-    listed = as_array(F.try_element_at(fields, F.lit("paths")))
-    single = as_array(F.try_element_at(fields, F.lit("path")))
-    named = F.map_contains_key(fields, "id") | F.map_contains_key(fields, "label")
 
     def inner(x: Column) -> Column:
         return F.coalesce(F.try_variant_get(x, "$.path", "array<variant>"), as_array(x))
 
     def has_path(x: Column) -> Column:
-        return is_object(x) & F.try_variant_get(x, "$.path", "array<variant>").isNotNull()
-
-    uniform = (F.size(items) > 0) & (F.forall(items, has_path) | F.forall(items, is_array))
-    return (
-        F.when(listed.isNotNull(), F.transform(listed, inner))
-        .when(single.isNotNull(), F.array(single))
-        .when(uniform, F.transform(items, inner))
-        .when(items.isNotNull(), F.array(items))
-        .when(fields.isNull() | named, F.array(F.array(v)))
-        .otherwise(F.array(_keyed_items(json_text)))
+        return F.try_variant_get(x, "$.path", "array<variant>").isNotNull()
+
+    def from_array(items: Column) -> Column:
+        uniform = (F.size(items) > 0) & (F.forall(items, has_path) | F.forall(items, is_array))
+        return F.when(uniform, F.transform(items, inner)).otherwise(F.array(items))
+
+    def from_object(fields: Column) -> Column:
+        listed = as_array(F.try_element_at(fields, F.lit("paths")))
+        single = as_array(F.try_element_at(fields, F.lit("path")))
+        named = F.map_contains_key(fields, "id") | F.map_contains_key(fields, "label")
+        return (
+            F.when(listed.isNotNull(), F.transform(listed, inner))
+            .when(single.isNotNull(), F.array(single))
+            .when(fields.isNull() | named, F.array(F.array(v)))
+            .otherwise(F.array(_keyed_items(json_text)))
+        )
+
+    return bind(
+        as_array(v),
+        lambda items: F.when(items.isNotNull(), from_array(items)).otherwise(
+            bind(as_map(v), from_object)
+        ),
     )
 
 
 def normalize_paths(json_text: Column) -> Column:
     """Any of the eight path shapes -> list of node lists, NULL when nothing is left."""
-    paths = F.filter(
-        F.transform(
-            _raw_sequences(json_text),
-            lambda seq: F.filter(
-                F.transform(seq, lambda v, i: _node(v, i.cast("string"))),
-                lambda n: n.isNotNull(),
-            ),
-        ),
-        lambda p: F.size(p) > 0,
+
+    def nodes(seq: Column) -> Column:
+        return F.filter(
+            F.transform(seq, lambda v, i: _node(v, i.cast("string"))), lambda n: n.isNotNull()
+        )
+
+    def paths(v: Column) -> Column:
+        return F.filter(
+            F.transform(_raw_sequences(json_text, v), nodes), lambda p: F.size(p) > 0
+        )
+
+    return bind(
+        bind(F.try_parse_json(json_text), paths), lambda ps: F.when(F.size(ps) > 0, ps)
     )
-    return F.when(F.size(paths) > 0, paths)
 
 
 def _contact_object(v: Column) -> Column:
-    parts = split_extras(as_map(v), CONTACT_FIELDS)
-    fields = [F.try_variant_get(F.try_element_at(parts["fields"], F.lit(k)), "$", "string").alias(k)
-              for k in CONTACT_FIELDS]
-    return F.struct(*fields, parts["extension"].alias("extension"))
+    def built(parts: Column) -> Column:
+        fields = [
+            F.try_element_at(parts["fields"], F.lit(k)).try_cast("string").alias(k)
+            for k in CONTACT_FIELDS
+        ]
+        return F.struct(*fields, parts["extension"].alias("extension"))
+
+    return bind(split_extras(as_map(v), CONTACT_FIELDS), built)
 
 
 def _contact_text(v: Column) -> Column:
@@ -166,16 +196,12 @@ def _contact_text(v: Column) -> Column:
 
 def normalize_contact(v: Column) -> Column:
     """Object, list or text -> contacts; objects come before texts; NULL when empty."""
-    wrapped = as_array(F.try_variant_get(v, "$.contacts", "variant"))
-    items = (
-        F.when(is_object(v), F.coalesce(wrapped, F.array(v)))
-        .when(is_array(v), as_array(v))
-        .when(~is_json_null(v), F.array(v))
-    )
-    objects = F.transform(F.filter(items, is_object), _contact_object)
-    texts = F.filter(
-        F.transform(F.filter(items, lambda x: ~is_object(x)), _contact_text),
-        lambda c: c["raw"] != "",
-    )
-    merged = F.concat(objects, texts)
-    return F.when(F.size(merged) > 0, merged)
+    wrapped = F.try_variant_get(v, "$.contacts", "array<variant>")
+    items = F.coalesce(as_array(v), wrapped, F.when(~is_json_null(v), F.array(v)))
+
+    def contacts(found: Column) -> Column:
+        objects = F.transform(F.filter(found, is_object), _contact_object)
+        texts = F.transform(F.filter(found, lambda x: ~is_object(x)), _contact_text)
+        return F.concat(objects, F.filter(texts, lambda c: c["raw"] != ""))
+
+    return bind(bind(items, contacts), lambda cs: F.when(F.size(cs) > 0, cs))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from urllib.parse import unquote
 
 import pandas as pd
@@ -37,13 +38,23 @@ ERROR_LENGTH = 4000
 _BLANK = r"[\s\x1c-\x1f]"
 
 
+def bind(value: Column, build: Callable[[Column], Column]) -> Column:
+    """``build(value)`` with ``value`` computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), build), 1)
+
+
 def strip(c: Column) -> Column:
     """Trim every kind of white space, not only the ASCII blank."""
     return F.regexp_replace(c, rf"(?U)^{_BLANK}+|{_BLANK}+\z", "")
 
 
+def filled(c: Column) -> Column:
+    """The value itself, NULL when it is the empty string."""
+    return F.when(c != "", c)
+
+
 def blank_to_null(c: Column) -> Column:
-    return F.nullif(strip(c), F.lit(""))
+    return filled(strip(c))
 
 
 def has_id(c: Column) -> Column:
@@ -62,12 +73,13 @@ def normalize_text(c: Column) -> Column:
 
 
 def first_nonblank(*cols: Column) -> Column:
-    return F.coalesce(*[blank_to_null(c) for c in cols])
+    stripped = F.array(*[strip(c) for c in cols])
+    return F.get(F.filter(stripped, lambda x: x != ""), F.lit(0))
 
 
 def first_truthy(*cols: Column) -> Column:
     """First value that is neither NULL nor empty; blanks count as values."""
-    return F.coalesce(*[F.nullif(c, F.lit("")) for c in cols])
+    return F.coalesce(*[filled(c) for c in cols])
 
 
 def clip(c: Column, n: int = ERROR_LENGTH) -> Column:
@@ -86,11 +98,13 @@ def note_from_text(c: Column) -> Column:
 
 def normalize_note(v: Column) -> Column:
     """VARIANT string or list -> non-empty list of trimmed strings, else NULL."""
-    kind = F.schema_of_variant(v)
-    listed = compact_strings(F.try_variant_get(v, "$", "array<string>"))
-    return F.when(kind == "STRING", note_from_text(F.try_variant_get(v, "$", "string"))).when(
-        kind.startswith("ARRAY"), F.when(F.size(listed) > 0, listed)
-    )
+
+    def listed(x: Column) -> Column:
+        text = F.when(F.schema_of_variant(x) == "STRING", F.try_variant_get(x, "$", "string"))
+        single = F.when(text.isNotNull(), F.array(text))
+        return compact_strings(F.coalesce(F.try_variant_get(x, "$", "array<string>"), single))
+
+    return bind(bind(v, listed), lambda n: F.when(F.size(n) > 0, n))
 
 
 def coerce_bool(c: Column) -> Column:
@@ -101,11 +115,14 @@ def coerce_bool(c: Column) -> Column:
 
 def coerce_bool_variant(v: Column) -> Column:
     """Boolean from JSON: booleans, any whole number, or one of the known words."""
-    kind = F.schema_of_variant(v)
+    return bind(F.struct(v.alias("v"), F.schema_of_variant(v).alias("kind")), _json_bool)
+
+
+def _json_bool(x: Column) -> Column:
     return (
-        F.when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
-        .when(kind == "BIGINT", F.try_variant_get(v, "$", "bigint") != 0)
-        .when(kind == "STRING", coerce_bool(F.try_variant_get(v, "$", "string")))
+        F.when(x["kind"] == "BOOLEAN", F.try_variant_get(x["v"], "$", "boolean"))
+        .when(x["kind"] == "BIGINT", F.try_variant_get(x["v"], "$", "bigint") != 0)
+        .when(x["kind"] == "STRING", coerce_bool(F.try_variant_get(x["v"], "$", "string")))
     )
 
 
@@ -126,15 +143,12 @@ def retired_year(title: Column) -> Column:
 
 
 def _clause(text: Column, marker: str, abbreviations: tuple[str, ...]) -> Column:
+    """Clause after the last marker, empty when there is none: one pattern, one pass."""
     words = "|".join(a.replace(".", r"\.") for a in abbreviations)
-    norm = normalize_text(text)
-    tail = F.nullif(
-        F.regexp_extract(norm, rf"(?isuU)^.*\b(?:{marker})\b\s*[:.]?\s*(.*)$", 1), F.lit("")
-    )
     stop = rf"(?:[!?]|(?<!\b(?:{words}|[A-ZÅÄÖ]))\.)(?=\s|$)"
-    first = F.regexp_extract(tail, rf"(?isuU)^(.*?){stop}", 1)
-    bounded = F.when(tail.rlike(rf"(?isuU)^.*?{stop}"), first).otherwise(tail)
-    return F.nullif(F.trim(F.regexp_replace(F.trim(bounded), r"\.+$", "")), F.lit(""))
+    form = rf"(?isuU)^.*\b(?:{marker})\b\s*[:.]?\s*(.*?)(?:{stop}|\z)"
+    found = F.regexp_extract(F.coalesce(normalize_text(text), F.lit("")), form, 1)
+    return F.trim(F.regexp_replace(F.trim(found), r"\.+$", ""))
 
 
 def source_clause(
@@ -145,14 +159,20 @@ def source_clause(
     fallback: str = FALLBACK_SOURCE,
 ) -> Column:
     """Text after the last source marker up to its sentence end, with where it was found."""
-    from_description = _clause(description, marker, abbreviations)
-    from_title = _clause(title, marker, abbreviations)
-    return F.struct(
-        F.coalesce(from_description, from_title, F.lit(fallback)).alias("source"),
-        F.when(from_description.isNotNull(), "description")
-        .when(from_title.isNotNull(), "title")
-        .otherwise("fallback")
-        .alias("origin"),
+    clauses = F.array(
+        _clause(description, marker, abbreviations), _clause(title, marker, abbreviations)
+    )
+    # The outer array binds both clauses, so each is computed once.
+    return F.element_at(
+        F.transform(
+            F.array(clauses),
+            lambda c: F.struct(
+                F.when(c[0] != "", c[0]).when(c[1] != "", c[1]).otherwise(fallback).alias("source"),
+                F.when(c[0] != "", "description").when(c[1] != "", "title").otherwise("fallback")
+                .alias("origin"),
+            ),
+        ),
+        1,
     )
 
 

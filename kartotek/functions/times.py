@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from kartotek.functions.text import strip
+from kartotek.functions.text import filled, strip
 
 # The four period forms, in the order they are tried.
 _YEAR = "(1[5-9][0-9]{2}|2[0-9]{3}|3000)"
@@ -39,7 +39,7 @@ def parse_ts(c: Column) -> Column:
 
 def _instant(parts: Column) -> Column:
     def part(i: int) -> Column:
-        return F.nullif(F.get(parts, F.lit(i - 1)), F.lit(""))
+        return filled(F.get(parts, F.lit(i - 1)))
 
     year = part(1)
     week_monday = F.date_add(

@@ -198,43 +198,33 @@ def web_only_metadata(web: DataFrame, flat: DataFrame, nav: DataFrame) -> DataFr
 def match_folder(entries: DataFrame, wanted: DataFrame) -> DataFrame:
     """The folder meant by a category id: exact id, else without case, else without accents
     and punctuation. A tier counts only when exactly one folder fits."""
-    folders = entries.filter("type = 'l'").select("parent_path", "id", "text")
-    plain = (
-        folders.select(F.col("id").alias("_raw"))
-        .union(wanted.select("category_id"))
-        .distinct()
-        .select("_raw", fn.normalize_id(F.col("_raw")).alias("_plain"))
+
+    def keyed(df: DataFrame, ident: str) -> DataFrame:
+        """One row per tier with the key that tier compares."""
+        keys = F.array(F.col(ident), F.lower(ident), fn.normalize_id(F.col(ident)))
+        return df.select("*", F.posexplode(keys).alias("_tier", "_key"))
+
+    place = ["parent_path", "_tier", "_key"]
+    single = (
+        keyed(entries.filter("type = 'l'").select("parent_path", "id", "text"), "id")
+        .groupBy(*place)
+        .agg(F.count("*").alias("_n"), F.first(F.struct("id", "text")).alias("_hit"))
+        .filter("_n = 1")
     )
-    folders = folders.join(plain, folders["id"] == plain["_raw"], "left").drop("_raw")
     asked = wanted.select("parent_path", "category_id").distinct()
-    asked = asked.join(plain, asked["category_id"] == plain["_raw"], "left").drop("_raw")
-    result = asked
-    tiers = {
-        "exact": (F.col("id"), F.col("category_id")),
-        "caseless": (F.lower("id"), F.lower("category_id")),
-        "plain": (F.col("_plain"), F.col("_plain")),
-    }
-    for tier, (entry_key, asked_key) in tiers.items():
-        single = (
-            folders.withColumn("_key", entry_key)
-            .groupBy("parent_path", "_key")
-            .agg(F.count("*").alias("_n"), F.first(F.struct("id", "text")).alias(tier))
-            .filter("_n = 1")
-            .drop("_n")
-        )
-        result = result.withColumn("_key", asked_key).join(
-            single, ["parent_path", "_key"], "left"
-        ).drop("_key")
-    hit = F.coalesce(*[F.col(t) for t in tiers])
-    return result.filter(hit.isNotNull()).select(
+    hits = keyed(asked, "category_id").join(single, place)
+    best = first_per(
+        hits.select("parent_path", "category_id", "_tier", "_hit"),
+        ["parent_path", "category_id"],
+        [F.col("_tier")],
+    )
+    names = F.array(*[F.lit(n) for n in ("exact", "caseless", "plain")])
+    return best.select(
         "parent_path",
         "category_id",
-        hit["id"].alias("folder_id"),
-        hit["text"].alias("folder_text"),
-        F.when(F.col("exact").isNotNull(), "exact")
-        .when(F.col("caseless").isNotNull(), "caseless")
-        .otherwise("plain")
-        .alias("tier"),
+        F.col("_hit.id").alias("folder_id"),
+        F.col("_hit.text").alias("folder_text"),
+        F.get(names, F.col("_tier")).alias("tier"),
     )
 
 
@@ -263,6 +253,8 @@ def override_labels(paths: DataFrame, entries: DataFrame, max_depth: int | None
                 F.array(F.struct(F.col("category_id").alias("id"), name.alias("name"))),
             ).alias("categories"),
         )
+        # Distinct paths only, so this is small; without it every level would repeat the last.
+        state = cut_lineage(state)
         finished = state.filter(F.size("tokens") == level).select("tokens", "categories")
         done = finished if done is None else done.unionByName(finished)
         state = state.filter(F.size("tokens") > level)

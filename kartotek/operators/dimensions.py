@@ -71,26 +71,35 @@ def v1_periods(dims: DataFrame, cats: DataFrame, key: str = "dataset_code") -> D
 def dimension_extension(v: Column) -> Column:
     """Open fields of a JSON-stat2 dimension: its extension, unknown keys laid over it, and
     unknown category keys under ``category``. ``elimination`` is always a boolean."""
-    fields = fn.as_map(v)
+    return fn.bind(fn.as_map(v), _open_fields)
+
+
+def _open_fields(fields: Column) -> Column:
     empty = F.create_map().cast(_MAP)
-    inner = F.coalesce(fn.as_map(F.try_element_at(fields, F.lit("extension"))), empty)
-    raw = F.when(
-        F.map_contains_key(inner, "elimination"), F.try_element_at(inner, F.lit("elimination"))
-    ).otherwise(F.try_element_at(fields, F.lit("elimination")))
-    loose = F.map_filter(fields, lambda k, x: ~k.isin(*V2_DIMENSION_KEYS))
-    category = F.map_filter(
-        F.coalesce(fn.as_map(F.try_element_at(fields, F.lit("category"))), empty),
-        lambda k, x: ~k.isin(*CATEGORY_KEYS),
-    )
-    nested = F.when(
-        F.size(category) > 0, F.create_map(F.lit("category"), F.to_variant_object(category))
-    ).otherwise(empty)
-    kept = F.map_filter(inner, lambda k, x: k != "elimination")
-    return F.struct(
-        F.coalesce(fn.coerce_bool_variant(raw), F.lit(False)).alias("elimination"),
-        fn.overlay(fn.overlay(kept, loose), nested).alias("extras"),
-        F.map_contains_key(inner, "extension").alias("nested_fault"),
-    )
+
+    def part(name: str) -> Column:
+        return F.coalesce(fn.as_map(F.try_element_at(fields, F.lit(name))), empty)
+
+    def built(inner: Column) -> Column:
+        raw = F.when(
+            F.map_contains_key(inner, "elimination"), F.try_element_at(inner, F.lit("elimination"))
+        ).otherwise(F.try_element_at(fields, F.lit("elimination")))
+        loose = F.map_filter(fields, lambda k, x: ~k.isin(*V2_DIMENSION_KEYS))
+        extra = F.map_filter(part("category"), lambda k, x: ~k.isin(*CATEGORY_KEYS))
+        nested = fn.bind(
+            extra,
+            lambda m: F.when(
+                F.size(m) > 0, F.create_map(F.lit("category"), F.to_variant_object(m))
+            ).otherwise(empty),
+        )
+        kept = F.map_filter(inner, lambda k, x: k != "elimination")
+        return F.struct(
+            F.coalesce(fn.bind(raw, fn.coerce_bool_variant), F.lit(False)).alias("elimination"),
+            fn.overlay(fn.overlay(kept, loose), nested).alias("extras"),
+            F.map_contains_key(inner, "extension").alias("nested_fault"),
+        )
+
+    return fn.bind(part("extension"), built)
 
 
 def category_entries(index: Column, labels: Column) -> Column:
