@@ -63,20 +63,25 @@ def overlay(base: Column, top: Column) -> Column:
 def split_extras(m: Column, known: tuple[str, ...]) -> Column:
     """Known keys apart from the rest; the rest joins ``extension``. ``conflicts`` lists
     keys that appear both loose and inside ``extension`` with different values."""
-    filled = drop_nulls(m)
-    fields = F.map_filter(filled, lambda k, v: k.isin(*known))
-    loose = F.map_filter(filled, lambda k, v: ~k.isin(*known) & (k != "extension"))
-    inner = F.coalesce(as_map(F.try_element_at(m, F.lit("extension"))), F.create_map().cast(_MAP))
-    clash = F.filter(
-        F.map_keys(loose),
-        lambda k: F.map_contains_key(inner, k)
-        & (F.to_json(F.element_at(inner, k)) != F.to_json(F.element_at(loose, k))),
-    )
-    return F.struct(
-        fields.alias("fields"),
-        overlay(inner, loose).alias("extension"),
-        F.array_sort(clash).alias("conflicts"),
+
+    def built(x: Column) -> Column:
+        filled, inner = x["filled"], x["inner"]
+        loose = F.map_filter(filled, lambda k, v: ~k.isin(*known) & (k != "extension"))
+        return F.struct(
+            F.map_filter(filled, lambda k, v: k.isin(*known)).alias("fields"),
+            bind(loose, lambda top: overlay(inner, top)).alias("extension"),
+            F.array_sort(F.map_keys(F.map_filter(loose, lambda k, v: clash(inner, k, v)))).alias(
+                "conflicts"
+            ),
+        )
+
+    def clash(inner: Column, k: Column, v: Column) -> Column:
+        return F.map_contains_key(inner, k) & (F.to_json(F.try_element_at(inner, k)) != F.to_json(v))
+
+    inner = F.coalesce(
+        as_map(F.try_element_at(m, F.lit("extension"))), F.create_map().cast(_MAP)
     )
+    return bind(F.struct(drop_nulls(m).alias("filled"), inner.alias("inner")), built)
 
 
 def _node(v: Column, fallback: Column) -> Column:

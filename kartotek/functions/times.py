@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from kartotek.functions.text import filled, strip
+from kartotek.functions.text import bind, filled, strip
 
 # The four period forms, in the order they are tried.
 _YEAR = "(1[5-9][0-9]{2}|2[0-9]{3}|3000)"
@@ -25,16 +25,30 @@ _DATE = r"(\d{4})(?:-(\d{2})-(\d{2})|(\d{2})(\d{2})|-?W(\d{2})(?:-?([1-7]))?)"
 _CLOCK = r"(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?"
 _ZONE = r"(?:([+-])(\d{2}):?(\d{2})(?::?(\d{2}))?)?"
 _ISO = rf"^{_DATE}(?:[^0-9]{_CLOCK}{_ZONE})?$"
+# The form nearly every source sends; Spark's own cast reads it once a zone is spelled out.
+_COMMON = r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})?)?$"
 
 
 def parse_ts(c: Column) -> Column:
     """ISO 8601 text to an instant: offset or Z honoured, none means UTC, date only is
     midnight, and anything else is NULL."""
-    raw = F.replace(strip(c), F.lit("Z"), F.lit("+00:00"))
+    return bind(strip(c), _read)
+
+
+def _read(text: Column) -> Column:
+    zoned = (
+        F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
+        .when(text.rlike(r"(Z|[+-]\d{2}:\d{2})$") & (F.length(text) > 10), text)
+        .otherwise(F.concat(text, F.lit("Z")))
+    )
+    return F.when(text.rlike(_COMMON), zoned.try_cast("timestamp")).otherwise(_any_iso(text))
+
+
+def _any_iso(text: Column) -> Column:
+    raw = F.replace(text, F.lit("Z"), F.lit("+00:00"))
     groups = "\x01".join(f"${i}" for i in range(1, 16))
     parts = F.split(F.regexp_replace(raw, _ISO, groups), "\x01")
-    # The one-element array binds the parts, so the pattern runs once per value.
-    return F.element_at(F.transform(F.array(parts), _instant), 1)
+    return bind(parts, _instant)
 
 
 def _instant(parts: Column) -> Column:

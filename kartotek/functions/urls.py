@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from kartotek.functions.text import strip
+from kartotek.functions.text import bind, strip
 
 SUBJECT_PREFIX = "kolada:operating_area:"
 
@@ -13,6 +13,10 @@ SUBJECT_PREFIX = "kolada:operating_area:"
 _SAFE_PATH = "/%:@!$&'()*+,;="
 _SAFE_QUERY = "%=&/?@:!$'()*+,;"
 _SAFE_FRAGMENT = "%/?@:!$&'()*+,;="
+_CLEAN = (
+    r"^[a-z][a-z0-9+.\-]*://[A-Za-z0-9_.\-~%/:@!$&'()*+,;=]+"
+    r"(?:\?[A-Za-z0-9_.\-~%/:@!$&'()*+,;=?]+)?(?:#[A-Za-z0-9_.\-~%/:@!$&'()*+,;=?]+)?$"
+)
 _SPLIT = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 
 
@@ -85,14 +89,20 @@ def _quote_keeping(c: Column, safe: str) -> Column:
 
 
 def encoded_url(c: Column) -> Column:
-    """Encode path, query and fragment; escapes and reserved characters are kept."""
-    return _unsplit(
-        url_scheme(c),
-        url_authority(c),
-        _quote_keeping(url_path(c), _SAFE_PATH),
-        _quote_keeping(url_query(c), _SAFE_QUERY),
-        _quote_keeping(url_fragment(c), _SAFE_FRAGMENT),
-    )
+    """Encode path, query and fragment; escapes and reserved characters are kept. Most
+    addresses need no change, and one pattern finds that out."""
+
+    def rebuilt(p: Column) -> Column:
+        return _unsplit(
+            F.lower(p[0]),
+            p[1],
+            _quote_keeping(p[2], _SAFE_PATH),
+            _quote_keeping(p[3], _SAFE_QUERY),
+            _quote_keeping(p[4], _SAFE_FRAGMENT),
+        )
+
+    parts = F.split(F.regexp_replace(c, _SPLIT, "$1\x01$2\x01$3\x01$4\x01$5"), "\x01")
+    return F.when(c.rlike(_CLEAN), c).otherwise(bind(parts, rebuilt))
 
 
 def url_root(c: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kartotek import functions as fn
+from kartotek import schemas
 from kartotek.operators.numbering import first_per, last_per, ordinals
 from kartotek.session import cut_lineage
 
@@ -19,11 +20,8 @@ def candidates_v2(
     listing: DataFrame, api_url: str, web_url: str | None, language: str
 ) -> DataFrame:
     """Listing entries as candidates; an entry without an id is dropped."""
-    t = F.col("entry")
-    code = fn.strip(fn.text_at(t, "$.id"))
-    unit = fn.string_only(F.try_variant_get(t, "$.timeUnit", "variant"))
-    names = F.try_variant_get(t, "$.variableNames", "array<string>")
-    description = fn.text_at(t, "$.description")
+    t, code = F.col("t"), F.col("dataset_code")
+    description = t["description"]
     api = api_url.rstrip("/")
     if web_url is None:
         web = F.lit(None).cast("string")
@@ -31,34 +29,40 @@ def candidates_v2(
         web = F.concat(F.lit(web_url.rstrip("/") + "/"), code, F.lit("/"))
     else:
         web = F.concat(F.lit(f"{web_url.rstrip('/')}/{language}/table/"), code)
-    return listing.filter(fn.has_id(code)).select(
+    # One typed parse per entry. Dropping entries inside the generator keeps the optimizer
+    # from pulling the id test, and a second parse with it, below the projection.
+    usable = F.filter(
+        F.array(F.from_json("entry", schemas.LISTING_ENTRY)), lambda x: fn.has_id(x["id"])
+    )
+    parsed = listing.select("scope", "page_no", "item_pos", F.explode(usable).alias("t")).withColumn(
+        "dataset_code", fn.strip(t["id"])
+    )
+    return parsed.select(
         "scope",
         "page_no",
         "item_pos",
-        code.alias("dataset_code"),
+        "dataset_code",
         F.lit(language).alias("language"),
-        fn.first_truthy(fn.text_at(t, "$.label"), fn.text_at(t, "$.title"), code).alias("label"),
-        fn.parse_ts(fn.string_only(F.try_variant_get(t, "$.updated", "variant"))).alias("updated"),
-        F.when(unit.isin(*fn.TIME_UNITS), unit).otherwise("Other").alias("time_unit"),
-        fn.first_truthy(fn.text_at(t, "$.firstPeriod")).alias("first_period"),
-        fn.first_truthy(fn.text_at(t, "$.lastPeriod")).alias("last_period"),
-        F.when(fn.has_id(description), description).alias("description"),
-        fn.text_at(t, "$.source").alias("source"),
-        fn.normalize_note(F.try_variant_get(t, "$.note", "variant")).alias("note"),
-        fn.text_at(t, "$.subjectCode").alias("subject_code"),
-        fn.normalize_paths(
-            F.to_json(F.try_variant_get(t, "$.paths", "variant"))
-        ).alias("paths"),
-        fn.coerce_bool_variant(F.try_variant_get(t, "$.discontinued", "variant")).alias(
-            "discontinued"
+        fn.first_truthy(t["label"], t["title"], code).alias("label"),
+        fn.parse_ts(t["updated"]).alias("updated"),
+        F.when(t["timeUnit"].isin(*fn.TIME_UNITS), t["timeUnit"]).otherwise("Other").alias(
+            "time_unit"
         ),
+        fn.first_truthy(t["firstPeriod"]).alias("first_period"),
+        fn.first_truthy(t["lastPeriod"]).alias("last_period"),
+        F.when(fn.has_id(description), description).alias("description"),
+        t["source"].alias("source"),
+        fn.normalize_note(t["note"]).alias("note"),
+        t["subjectCode"].alias("subject_code"),
+        fn.normalize_paths(t["paths"]).alias("paths"),
+        fn.coerce_bool_variant(t["discontinued"]).alias("discontinued"),
         fn.encoded_url(
             F.concat(F.lit(f"{api}/tables/"), code, F.lit(f"/metadata?lang={language}"))
         ).alias("metadata_url"),
         F.concat(F.lit(f"{api}/tables/"), code, F.lit(f"/data?lang={language}")).alias("data_url"),
         web.alias("web_url"),
-        F.try_variant_get(t, "$.links", "variant").alias("links"),
-        F.filter(names, lambda x: x.isNotNull()).alias("variable_names"),
+        t["links"].alias("links"),
+        F.filter(t["variableNames"], lambda x: x.isNotNull()).alias("variable_names"),
     )
 
 

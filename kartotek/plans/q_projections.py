@@ -36,7 +36,7 @@ def units(t: Tables):
 def listed(t: Tables):
     """Listing candidates straight from the entries (the page grouping is SRC1's concern)."""
     rows = t.listing_entries.select(
-        "scope", "page_no", (F.col("o_orderkey") % 1000).cast("int").alias("item_pos"), F.try_parse_json(F.to_json("entry")).alias("entry"))
+        "scope", "page_no", (F.col("o_orderkey") % 1000).cast("int").alias("item_pos"), F.to_json("entry").alias("entry"))
     return catalog.candidates_v2(rows, API + "/", WEB, "sv")
 
 
@@ -146,7 +146,7 @@ def prj_dimension_extension(t: Tables):
         F.lit('{"label":"L","kind":"'), "event_type", F.lit('","elimination":true,"category":{"label":{}'),
         F.when(e % 5 == 0, ',"more":1').otherwise(""), F.lit('},"extension":'), ext, F.lit("}"))
     found = dimensions.dimension_extension(F.try_parse_json(body))
-    return t.events.select("event_id", found.alias("x")).select(
+    return t.spread("events").select("event_id", found.alias("x")).select(
         "event_id", F.col("x.elimination").alias("elimination"),
         F.array_join(F.array_sort(F.filter(F.map_keys("x.extras"), lambda k: k != "extension")), ",").alias("extras"),
         F.element_at("x.extras", "k").try_cast("string").alias("k"), F.element_at("x.extras", "kind").try_cast("string").alias("kind"),
@@ -154,7 +154,7 @@ def prj_dimension_extension(t: Tables):
 
 
 def doc_defaults(t: Tables):
-    return t.documents.select(
+    return t.spread("documents").select(
         "doc_id", F.when(F.col("doc_id") % 2 == 0, F.array(F.lit("default"))).alias("note"),
         F.when(F.col("doc_id") % 3 == 0, F.col("source")).alias("subject_label"), F.lit(True).alias("official_statistics"),
         F.lit(None).cast("array<struct<name:string,organization:string,mail:string,phone:string,raw:string,extension:map<string,variant>>>").alias("contact"),
@@ -360,7 +360,7 @@ SELECT doc_id, len(l)::bigint AS n, l[1] AS first_item, l[-1] AS last_item
 FROM (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, chr(9) || chr(10) || chr(13) || ' ')), lambda x: x <> '') AS l FROM documents)""")
 def flt_compact_strings(t: Tables):
     items = fn.compact_strings(F.split("text", "\n"))
-    return t.documents.select("doc_id", items.alias("l")).select(
+    return t.spread("documents").select("doc_id", items.alias("l")).select(
         "doc_id", F.size("l").cast("bigint").alias("n"), F.try_element_at("l", F.lit(1)).alias("first_item"),
         F.try_element_at("l", F.lit(-1)).alias("last_item"))
 

@@ -27,7 +27,7 @@ FROM orders WHERE NOT ((o_orderkey // 10000) % 4 = 2 AND (o_orderkey // 1000) %
 def src_listing_pages(t: Tables):
     return landed.listing_v2(t.listing_bodies).select(
         "scope", F.col("page_no").cast("bigint"), F.col("item_pos").cast("bigint"),
-        text_in("entry", "id").alias("id"), text_in("entry", "subjectCode").alias("subject"))
+        F.get_json_object("entry", "$.id").alias("id"), F.get_json_object("entry", "$.subjectCode").alias("subject"))
 
 
 @query("src_paged_values", sql="""
@@ -77,7 +77,7 @@ def src_html_tree(t: Tables):
     marked = F.regexp_replace(
         F.regexp_replace("html", '<li><a href="/', '<li class="x AspNet-TreeView-Leaf"><a href="/db__nav/'),
         "<nav><ul>", '<nav><ul><li class="AspNet-TreeView-Root"> Start<ul>')
-    found = html.web_catalog(t.pages.select("url", marked.alias("html")))
+    found = html.web_catalog(t.spread("pages").select("url", marked.alias("html")))
     return found.select(
         "url", F.col("item_pos").cast("bigint"), "table_id",
         F.element_at("category_ids", 1).alias("category"),

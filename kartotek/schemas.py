@@ -17,18 +17,10 @@ RAW_RESPONSE = T.StructType(
     ]
 )
 
-LISTING_V2 = "struct<tables:array<variant>,page:struct<pageNumber:int,totalPages:int>>"
-PAGED_VALUES = "struct<values:array<variant>,next_url:variant>"
-FLAT_ENTRIES = "array<struct<id:variant,path:variant,title:string,published:string,updated:string,score:variant>>"
-NAV_ENTRIES = "array<struct<id:variant,text:variant,type:string,updated:string>>"
-METADATA_V1 = "struct<title:variant,variables:array<variant>>"
-METADATA_V2 = (
-    "struct<id:array<string>,role:variant,dimension:map<string,variant>,"
-    "note:variant,extension:map<string,variant>>"
-)
-SAMPLE_V1 = (
-    "struct<class:string,version:string,id:array<string>,size:array<int>,"
-    "dimension:map<string,variant>,source:variant,note:variant,extension:map<string,variant>>"
+LISTING_ENTRY = (
+    "struct<id:string,label:string,title:string,updated:string,timeUnit:string,firstPeriod:string,"
+    "lastPeriod:string,description:string,source:string,note:variant,subjectCode:string,"
+    "paths:string,discontinued:variant,links:variant,variableNames:array<string>>"
 )
 KPI = (
     "struct<id:string,title:string,description:string,is_divided_by_gender:variant,"
@@ -36,14 +28,12 @@ KPI = (
     "publ_period:variant,has_ou_data:variant,operating_area:string,perspective:string,"
     "auspice:string>"
 )
-KPI_GROUP = "struct<id:variant,title:variant,members:variant>"
 AREA = "struct<id:string,title:string,type:string>"
 UNIT = "struct<id:string,title:string,municipality:string>"
 OBSERVATION = (
     "struct<kpi:string,period:int,municipality:string,ou:string,"
     "values:array<struct<gender:string,value:double,isdeleted:boolean>>>"
 )
-CHANGE = "struct<kpi:variant>"
 
 STATE = T.StructType(
     [

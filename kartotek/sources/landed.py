@@ -61,13 +61,12 @@ def listing_pages(raw: DataFrame) -> DataFrame:
 
 
 def listing_v2(raw: DataFrame) -> DataFrame:
-    """Table entries of the listing pages; entries that are no objects are dropped."""
-    tables = F.try_variant_get(F.col("_v"), "$.tables", "array<variant>")
-    return (
-        _parsed(raw)
-        .select("scope", "page_no", F.posexplode(tables).alias("item_pos", "entry"))
-        .filter(fn.is_object(F.col("entry")))
-    )
+    """Table entries of the listing pages as JSON text, so that key order inside them
+    survives; entries that are no objects are dropped."""
+    tables = F.from_json("body", "struct<tables:array<string>>")["tables"]
+    return raw.select(
+        "scope", "page_no", F.posexplode(tables).alias("item_pos", "entry")
+    ).filter(F.trim("entry").startswith("{"))
 
 
 def paged_values(raw: DataFrame) -> DataFrame:
