@@ -292,8 +292,9 @@ def sort_catalog(df: DataFrame, ident: str = "id", path: str = "path") -> DataFr
 
 
 def canonical(tables: DataFrame) -> DataFrame:
-    """First occurrence of each table in catalogue order."""
-    return first_per(tables, ["id"], [*catalog_order(), F.col("path")])
+    """First occurrence of each table in catalogue order. Its rows share an id, so only the
+    path decides; the date settles repeats of one path."""
+    return first_per(tables, ["id"], [F.lower("path"), F.col("path"), F.col("updated")])
 
 
 def valid_timestamp(df: DataFrame) -> DataFrame:
@@ -307,7 +308,7 @@ def occurrence_paths(tables: DataFrame) -> DataFrame:
     seen = (
         tables.filter(F.size("categories") > 0)
         .groupBy("id", "categories")
-        .agg(F.min(F.struct(*catalog_order(), F.col("path").alias("path"))).alias("_at"))
+        .agg(F.min(F.struct(F.lower("path").alias("key"), "path")).alias("_at"))
     )
     return ordinals(seen, ["id"], ["_at", "categories"], "path_no").drop("_at")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kartotek import functions as fn
 from kartotek.operators.numbering import running_total
 from kartotek.operators.presence import presence
+from kartotek.session import cut_lineage
 
 IDENTITY = ("provider_code", "dataset_code", "language")
 _STATE_FIELDS = ("source_updated_at", "last_fetched_at", "has_error")
@@ -93,6 +94,8 @@ def bounded(
     """Rows up to and including the n-th attempt of each scope. Skips cost nothing, but
     rows after the n-th attempt are not reported."""
     attempts = F.col("should_fetch").cast("int")
+    if bounds:
+        selection = cut_lineage(selection)  # read twice below; the joins run once
     counted = running_total(selection, group, order, attempts, "_before", bounds)
     return counted.filter(F.col("_before") < n).drop("_before")
 

@@ -49,7 +49,8 @@ def running_total(
     """Sum of ``value`` over the rows before this one in its group.
 
     With ``bounds`` on the first order column, each group is cut into ranges: range sums
-    give every range its start, and the window then runs inside (group, range) only.
+    give every range its start, and the window then runs inside (group, range) only. The
+    input is then read twice, so hand in a stored table where it is costly to compute.
     """
     if not bounds:
         before = (

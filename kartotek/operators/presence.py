@@ -70,7 +70,10 @@ def require_presence(kpis: DataFrame, present: DataFrame) -> DataFrame:
 
 
 def categories(present: DataFrame, titles: DataFrame, bounds: list | None = None) -> DataFrame:
-    """Category rows with dense ordinals in id order and labels. ``bounds`` cut the ids into
-    ranges when a dimension may be very long."""
+    """Category rows with dense ordinals in id order and labels.
+
+    ``present`` is already distinct, so one dimension holds at most the catalogue's areas
+    and the years on record, however many rows a KPI has. For long catalogues (units) give
+    ``bounds``, which cut the ids into ranges."""
     numbered = ordinals(present, ["kpi", "dim_id"], ["cat_id"], "ordinal", bounds)
     return with_titles(numbered, titles)

@@ -55,9 +55,10 @@ class Tables:
     @cached_property
     def observations(self) -> DataFrame:
         """lineitem with its supplier's nation as area; open lines carry a value."""
-        return self.lineitem.join(
-            self.supplier, F.col("l_suppkey") == F.col("s_suppkey")
-        ).select(
+        return self._observed(self.lineitem)
+
+    def _observed(self, lines: DataFrame) -> DataFrame:
+        return lines.join(self.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
             code("N", "l_partkey").alias("kpi"),
             F.year("l_shipdate").alias("period"),
             F.lpad(F.col("s_nationkey").cast("string"), 4, "0").alias("entity"),
@@ -79,7 +80,7 @@ class Tables:
                          F.lit(None).cast("boolean").alias("isdeleted")),
             ).alias("values"),
         )
-        return self.observations.select(
+        return self._observed(self.spread("lineitem")).select(
             F.to_json(F.struct(F.array(entry).alias("values"))).alias("body")
         )
 
@@ -374,7 +375,6 @@ class Tables:
             F.lit(None).cast("string").alias("published"),
             F.when(F.col("l_suppkey") % 9 == 0, F.array().cast("array<struct<id:string,name:string>>"))
             .otherwise(F.array(F.struct(s.alias("id"), F.concat(F.lit("Gren "), s).alias("name")))).alias("categories"),
-            "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",
         )
 
     # --- page chains ----------------------------------------------------------------------

@@ -28,8 +28,7 @@ SELECT p.kpi, p.dim_id, p.cat_id, (row_number() OVER (PARTITION BY p.kpi, p.dim_
 def flagship_presence(t: Tables):
     """Which periods and areas have live data for each KPI, as numbered, labelled categories."""
     titles = areas(t).select("area_id", "title")
-    bounds = numbering.range_bounds(areas(t), "area_id", 16)
-    return presence.categories(presence.presence(t.observations), titles, bounds).select(
+    return presence.categories(presence.presence(t.observations), titles).select(
         "kpi", "dim_id", "cat_id", *bigint("ordinal"), "label")
 
 

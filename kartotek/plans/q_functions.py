@@ -26,7 +26,7 @@ def fn_parse_ts(t: Tables):
         .when(k == 7, F.concat(F.lit(" "), day, F.lit(" 00:30:00.000-01:00 "))).when(k == 8, F.concat(day, F.lit("T25:00:00")))
         .otherwise(F.concat(F.year(F.date_trunc("week", d) + F.expr("interval 3 days")).cast("string"), F.lit("-W"), F.lpad(F.weekofyear(d).cast("string"), 2, "0"),
                             F.lit("-"), (F.weekday(d) + 1).cast("string"))))
-    return t.orders.select("o_orderkey", text_of(fn.parse_ts(text)).alias("parsed"))
+    return t.spread("orders").select("o_orderkey", text_of(fn.parse_ts(text)).alias("parsed"))
 
 
 @query("fn_coerce_bool", sql="""

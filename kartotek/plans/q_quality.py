@@ -43,7 +43,7 @@ def val_identity(t: Tables):
 def val_dataset(t: Tables):
     k = F.col("o_orderkey")
     urls = F.array(*[F.lit(u) for u in ("https://x.org/a", "ftp://x.org", "https://x.org/a b", None, "https://", "http://h:80/p", "HTTPS://u@h?q")])
-    rows = t.orders.select(
+    rows = t.spread("orders").select(
         F.lit("demo").alias("provider_code"), code("O", "o_orderkey").alias("dataset_code"), F.lit("sv").alias("language"),
         F.when(k % 11 != 0, "Label").alias("label"),
         F.when(k % 4 == 0, iso(F.col("o_orderdate"))).when(k % 4 == 1, F.date_format("o_orderdate", "yyyy-MM-dd"))

@@ -223,7 +223,7 @@ def document_pairs(t: Tables):
         identity.alias("identity"), F.array(F.lit("Tid")).alias("id"), F.create_map(F.lit("Tid"), axis).alias("dimension"),
         F.struct(F.array(F.lit("Tid")).alias("time")).alias("role"),
         F.struct(F.col("o_orderpriority").alias("label")).alias("subject"))
-    return t.orders.select(F.to_json(F.struct(dataset.alias("dataset"), metadata.alias("metadata"))).alias("body"))
+    return t.spread("orders").select(F.to_json(F.struct(dataset.alias("dataset"), metadata.alias("metadata"))).alias("body"))
 
 
 @query("src_documents", sql=f"""
