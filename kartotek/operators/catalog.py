@@ -426,7 +426,7 @@ def chain_status(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     key, only pages that never reach an end still point somewhere.
     """
     rows = pages.groupBy("feed", "url").agg(
-        F.first("next_url").alias("next_url"), F.count("*").alias("copies")
+        F.min("next_url").alias("next_url"), F.count("*").alias("copies")
     )
     incoming = (
         rows.filter("next_url is not null")

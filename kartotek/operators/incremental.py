@@ -161,6 +161,7 @@ def rebuild(stored: DataFrame, observations: DataFrame, keys: DataFrame) -> Data
     observations alone, so vanished ones are gone; a KPI whose values all vanished fails
     and keeps its last good rows; the others keep theirs."""
     fetched = keys.select("kpi").distinct()
-    fresh = presence(observations.join(fetched, "kpi", "left_semi"))
+    # Reduced to distinct categories first: raw rows are never shuffled by their KPI.
+    fresh = presence(observations).join(fetched, "kpi", "left_semi")
     kept = stored.join(fresh.select("kpi").distinct(), "kpi", "left_anti")
     return kept.unionByName(fresh)

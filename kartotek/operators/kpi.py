@@ -196,16 +196,17 @@ def probe_batches(
         F.struct(F.lit(i).alias("year_batch"), F.array(*[F.lit(y) for y in ys]).alias("years"))
         for i, ys in enumerate(year_batches(first_year, last_year, size))
     ]
-    return packed.select("*", F.inline(F.array(*spans))) if spans else packed.limit(0)
+    return packed.select("*", F.inline(F.array(*spans))) if spans else packed.filter(F.lit(False))
 
 
 def with_titles(ids: DataFrame, titles: DataFrame, key: str = "cat_id") -> DataFrame:
-    """Label of each category id; an unknown id labels itself."""
+    """Label of each category id; an unknown id labels itself. Few ids repeat over very many
+    rows, so the titles are broadcast when their counted size allows it."""
     names = titles.groupBy(F.col(titles.columns[0]).alias(key)).agg(
         F.max(titles.columns[1]).alias("_title")
     )
     return (
-        ids.join(names, key, "left")
+        ids.join(broadcast_if_small(names), key, "left")
         .withColumn("label", F.coalesce("_title", key))
         .drop("_title")
     )
@@ -217,9 +218,9 @@ def unit_area(ids: DataFrame, units: DataFrame, areas: DataFrame) -> DataFrame:
     owners = units.groupBy("ou_id").agg(F.max("area_id").alias("_area"))
     titles = areas.groupBy(F.col("area_id").alias("_area")).agg(F.max("title").alias("_label"))
     return (
-        ids.join(owners, "ou_id", "left")
+        ids.join(broadcast_if_small(owners), "ou_id", "left")
         .withColumn("_area", F.coalesce("_area", F.lit("")))
-        .join(titles, "_area", "left")
+        .join(broadcast_if_small(titles), "_area", "left")
         .withColumn("area_label", F.coalesce("_label", "_area"))
         .withColumnRenamed("_area", "area_id")
         .drop("_label")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kartotek import functions as fn
+from kartotek.session import broadcast_if_small
 
 # Patterns of the contracts.
 PROVIDER_CODE = r"^[a-z][a-z0-9]*(?:_[a-z0-9]+)*$"
@@ -81,6 +82,8 @@ def dataset_rules() -> list[Rule]:
 def check_dataset(df: DataFrame, keys: Sequence[str], body: str | None = None) -> DataFrame:
     """Basic document rules; with ``body`` (the JSON text) also fields nobody knows."""
     rules = identity_rules() + dataset_rules()
+    if "next_release" in df.columns:
+        rules.append(("date", "next_release", bad_date(F.col("next_release"))))
     if body is not None:
         unknown = F.array_except(
             F.json_object_keys(body), F.array(*[F.lit(f) for f in DATASET_FIELDS])
@@ -223,7 +226,9 @@ def check_pair(df: DataFrame, keys: Sequence[str], left: Column, right: Column)
 def check_discovery(cands: DataFrame, scopes: DataFrame) -> DataFrame:
     """Candidates outside their run's scope, and codes found twice in one run."""
     keys = ["run_id", "provider_code", "language"]
-    outside = cands.join(scopes.select(*keys).distinct(), keys, "left_anti").select(
+    # A run has few scopes and one of them may hold most rows: broadcast when counted small.
+    allowed = broadcast_if_small(scopes.select(*keys).distinct())
+    outside = cands.join(allowed, keys, "left_anti").select(
         "run_id", "dataset_code", F.lit("outside_scope").alias("rule")
     )
     twice = (

@@ -203,7 +203,7 @@ def src_registry(t: Tables):
 SELECT DISTINCT 'K' || user_id AS kpi FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND event_id % 11 <> 0""")
 def src_change_feed(t: Tables):
     raw = t.events.select(
-        F.col("ts").cast("timestamp").alias("changed_at"),
+        F.col("ts").alias("changed_at"),
         F.to_json(F.struct(F.when(F.col("event_id") % 11 == 0, " ").otherwise(
             F.concat(F.lit("K"), F.col("user_id").cast("string"))).alias("kpi"))).alias("body"))
     return kpi.change_feed(raw, "2024-01-10 00:00:00")

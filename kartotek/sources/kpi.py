@@ -100,10 +100,11 @@ _PAGE = f"struct<values:array<{schemas.OBSERVATION}>>"
 
 
 def change_feed(raw: DataFrame, from_date: str) -> DataFrame:
-    """KPIs named by change entries since a date; ``changed_at`` prunes partitions."""
+    """KPIs named by change entries since a date. The date is compared in the column's own
+    type, so the filter reaches the files and partitions."""
     kpi = fn.string_only(F.try_variant_get(F.try_parse_json("body"), "$.kpi", "variant"))
     return (
-        raw.filter(F.col("changed_at") >= F.lit(from_date).cast("timestamp"))
+        raw.filter(F.col("changed_at") >= F.lit(from_date).cast(dict(raw.dtypes)["changed_at"]))
         .select(kpi.alias("kpi"))
         .filter(fn.has_id(F.col("kpi")))
         .distinct()
