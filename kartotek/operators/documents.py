@@ -54,29 +54,42 @@ def dataset_doc(candidates: DataFrame, spans: DataFrame | None = None,
 
 
 def nested_dimensions(dims: DataFrame, cats: DataFrame, key: str = "dataset_code") -> DataFrame:
-    """Axis ids, dimension objects and role lists of each dataset.
+    """Axis ids, dimension objects and role lists of each dataset. Notes, links, open fields
+    and category details are taken along where the rows have them.
 
     A document is one row by nature; both collects run on finished category rows, and
     each gathers one document's axis, never a table's group of raw rows."""
+    details = [c for c in ("unit", "note", "coordinates") if c in cats.columns]
+    row = F.struct("ordinal", "cat_id", "label", *details)
     entries = cats.groupBy(key, "dim_id").agg(
-        F.array_sort(F.collect_list(F.struct("ordinal", "cat_id", "label"))).alias("_cats")
+        F.array_sort(F.collect_list(row), lambda a, b: (a["ordinal"] - b["ordinal"]).cast("int")).alias("_cats")
     )
 
     def side(field: str) -> Column:
-        return F.map_from_entries(
-            F.transform("_cats", lambda c: F.struct(c["cat_id"], c[field]))
-        ).alias("index" if field == "ordinal" else "label")
+        return F.map_from_entries(F.transform("_cats", lambda c: F.struct(c["cat_id"], c[field])))
 
-    axis = F.struct(
-        F.col("label").alias("label"), F.struct(side("ordinal"), side("label")).alias("category"),
-        F.struct("elimination").alias("extension"),
+    def partial(field: str) -> Column:
+        held = F.filter("_cats", lambda c: c[field].isNotNull())
+        return F.when(
+            F.size(held) > 0,
+            F.map_from_entries(F.transform(held, lambda c: F.struct(c["cat_id"], c[field]))),
+        )
+
+    category = F.struct(
+        side("ordinal").alias("index"), side("label").alias("label"),
+        *[partial(d).alias(d) for d in details],
     )
-    rows = dims.join(entries, [key, "dim_id"]).select(
-        key, F.struct("pos", "dim_id", "role", axis.alias("axis")).alias("d")
+    fixed = F.create_map(F.lit("elimination"), F.col("elimination").cast("variant"))
+    open_fields = fn.overlay(F.col("extras"), fixed) if "extras" in dims.columns else fixed
+    axis = F.struct(
+        F.col("label").alias("label"), category.alias("category"),
+        *[F.col(c) for c in ("note", "link") if c in dims.columns],
+        open_fields.alias("extension"),
     )
+    rows = dims.join(entries, [key, "dim_id"]).select(key, "pos", "dim_id", "role", axis.alias("axis"))
     ordered = rows.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("d.pos"), F.col("d.dim_id"), F.col("d.role")))).alias("d"),
-        F.map_from_entries(F.collect_list(F.struct("d.dim_id", "d.axis"))).alias("dimension"),
+        F.sort_array(F.collect_list(F.struct("pos", "dim_id", "role"))).alias("d"),
+        F.map_from_entries(F.collect_list(F.struct("dim_id", "axis"))).alias("dimension"),
     )
 
     def role(name: str) -> Column:
@@ -118,6 +131,7 @@ def metadata_doc(candidates: DataFrame, nested: DataFrame, key: str = "dataset_c
         F.col("official_statistics"),
         F.col("source"),
         F.col("note"),
+        *([F.col("contact")] if "contact" in candidates.columns else []),
         fn.encoded_url(F.col("metadata_url")).alias("metadata_url"),
         retrieval(F.col("adapter"), F.col("data_url")).alias("retrieval"),
         F.col("extension"),

@@ -99,8 +99,8 @@ def src_metadata_v2(t: Tables):
     p = F.col("payload")
     return landed.metadata_v2(t.v2_bodies).select(
         "dataset_code", F.array_join(p["id"], ",").alias("axis_ids"),
-        F.array_join(F.array_sort(F.map_keys(p["dimension"])), ",").alias("dimension_keys"), p["note"].alias("note"),
-        fn.text_at(F.try_parse_json(p["extension"]), "$.px['subject-area']").alias("subject"))
+        F.array_join(F.array_sort(F.map_keys(p["dimension"])), ",").alias("dimension_keys"), fn.text_at(p["note"], "$").alias("note"),
+        fn.text_at(p["extension"], "$.px['subject-area']").alias("subject"))
 
 
 @query("src_sample", AXES, sql="""

@@ -18,6 +18,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # A payload that repeats a key must fail its own rule, not the job.
+    spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     return spark
 
 

@@ -165,7 +165,7 @@ def metadata_v2(raw: DataFrame, key: str = "dataset_code") -> DataFrame:
         F.from_json(
             "body",
             "struct<id:array<string>,role:string,dimension:map<string,string>,"
-            "note:string,extension:string>",
+            "note:variant,extension:variant>",
         ).alias("payload"),
     )
 
@@ -189,5 +189,5 @@ def sample_accepted(sample: Column) -> Column:
 
 _SAMPLE = (
     "struct<class:string,version:string,id:array<string>,size:array<int>,"
-    "dimension:map<string,string>,source:string,note:string,extension:string>"
+    "dimension:map<string,string>,source:variant,note:variant,extension:variant>"
 )
