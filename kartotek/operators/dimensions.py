@@ -11,6 +11,7 @@ from kartotek import functions as fn
 V1_KEYS = ("code", "text", "values", "valueTexts", "time", "elimination")
 V2_DIMENSION_KEYS = ("label", "category", "note", "extension", "link", "elimination")
 CATEGORY_KEYS = ("index", "label", "child", "coordinates", "unit", "note")
+UNIT_FIELDS = ("label", "symbol", "position", "decimals")
 GENDERS = (("K", "Kvinnor"), ("M", "Män"), ("T", "Totalt"))
 GENDER_DIM = ("gender", "Kön")
 
@@ -179,8 +180,22 @@ def dimensions_v2(axes: DataFrame, key: str = "dataset_code") -> tuple[DataFrame
     return dims, cats
 
 
+def _unit(v: Column) -> Column:
+    def built(parts: Column) -> Column:
+        extension = F.create_map(F.lit("extension"), F.to_variant_object(parts["extension"]))
+        whole = F.when(
+            F.size(parts["extension"]) > 0, F.map_concat(parts["fields"], extension)
+        ).otherwise(parts["fields"])
+        return F.to_variant_object(whole)
+
+    return F.when(
+        v.isNotNull(), fn.bind(fn.split_extras(fn.as_map(v), UNIT_FIELDS), built)
+    )
+
+
 def category_details(axes: DataFrame, key: str = "dataset_code") -> DataFrame:
-    """Unit, note and coordinates of single categories."""
+    """Unit, note and coordinates of single categories; unknown unit fields move to the
+    unit's extension."""
     c = F.col("axis.category")
     unit, note, place = c["unit"], c["note"], c["coordinates"]
     ids = F.array_distinct(
@@ -194,7 +209,7 @@ def category_details(axes: DataFrame, key: str = "dataset_code") -> DataFrame:
         axes.withColumn("cat_id", F.explode(ids))
         .select(
             key, "dim_id", "cat_id",
-            F.try_element_at(unit, cat).alias("unit"),
+            _unit(F.try_element_at(unit, cat)).alias("unit"),
             F.try_element_at(note, cat).alias("note"),
             F.try_element_at(place, cat).alias("coordinates"),
         )

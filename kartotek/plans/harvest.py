@@ -137,14 +137,21 @@ def v1_tables(raw: DataFrame, api_url: str, web_url: str | None) -> DataFrame:
     entries = landed.nav_entries(feed(raw, "nav").withColumn("parent_path", _folder_of(api_url)))
     flat = landed.flat_catalog(feed(raw, "flat"))
     pages = feed(raw, "web").select("url", F.col("body").alias("html"))
-    if web_url is None or flat.isEmpty() or pages.isEmpty():
-        walked = catalog.walk(entries)
-        return walked.withColumn("published", F.col("updated")).withColumn("href", absent("string"))
+
+    def walked() -> DataFrame:
+        tables = catalog.walk(entries)
+        return tables.withColumn("published", F.col("updated")).withColumn("href", absent("string"))
+
+    unusable = flat.isEmpty() or not landed.flat_faults(flat).isEmpty()
+    if web_url is None or unusable or pages.isEmpty():
+        return walked()
     web = html.web_catalog(pages).filter(
         F.col("table_id").isNotNull() & fn.within_root(F.col("href"), F.lit(web_url))
     )
     nav = catalog.web_only_metadata(web, flat, entries)
     matched = catalog.match_metadata(web, flat, nav)
+    if matched.isEmpty():
+        return walked()
     spoken = raw.sparkSession.range(1).select(
         fn.api_language(F.lit(api_url)).alias("api"), fn.web_language(F.lit(web_url)).alias("web")
     ).first()

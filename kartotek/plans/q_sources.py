@@ -62,7 +62,7 @@ UNION ALL SELECT '/', 'R' || r_regionkey, 'R' || r_regionkey || ' – Middle Eas
 UNION ALL SELECT '/R' || n_regionkey, 'N' || n_nationkey, 'N' || n_nationkey || '. ' || n_name, 'l', NULL
 FROM nation WHERE n_nationkey % 8 <> 7
 UNION ALL SELECT path, CASE WHEN v.copy = 1 THEN upper(id) ELSE id END,
-       CASE WHEN c_custkey % 9 <> 0 THEN c_name WHEN v.copy = 1 THEN upper(id) ELSE id END, 't', '2024-01-01T00:00:00Z'
+       CASE WHEN c_custkey % 9 <> 0 THEN c_name END, 't', '2024-01-01T00:00:00Z'
 FROM nav_customer, (VALUES (0), (1)) v(copy) WHERE v.copy = 0 OR c_custkey % 10 = 0""")
 def src_nav_entries(t: Tables):
     return landed.nav_entries(t.nav_bodies).select("parent_path", "id", "text", "type", "updated")

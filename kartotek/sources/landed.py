@@ -123,8 +123,14 @@ def flat_catalog(raw: DataFrame) -> DataFrame:
     )
 
 
+def flat_faults(entries: DataFrame) -> DataFrame:
+    """Flat entries without text for id or path; any such row makes the list unusable."""
+    return entries.filter(F.col("id").isNull() | F.col("path").isNull())
+
+
 def nav_entries(raw: DataFrame) -> DataFrame:
-    """Folder (``l``) and table (``t``) rows of landed folder listings."""
+    """Folder (``l``) and table (``t``) rows of landed folder listings. ``text`` is NULL when
+    the entry has none, so that each use can fall back in its own way."""
     entry = F.col("entry")
     ident = fn.string_only(F.try_variant_get(entry, "$.id", "variant"))
     name = fn.string_only(F.try_variant_get(entry, "$.text", "variant"))
@@ -138,7 +144,7 @@ def nav_entries(raw: DataFrame) -> DataFrame:
             "parent_path",
             "item_pos",
             ident.alias("id"),
-            F.coalesce(fn.squeeze(name), ident).alias("text"),
+            fn.squeeze(name).alias("text"),
             fn.text_at(entry, "$.type").alias("type"),
             fn.strip(fn.text_at(entry, "$.updated")).alias("updated"),
         )

@@ -38,7 +38,7 @@ def test_v2_payload(spark):
         "dimension": {
             "Kön": {"label": "kön", "category": {"label": {"2": "kvinnor", "1": "män"}}, "note": " n ", "extension": {"elimination": "yes"}},
             "Tid": {"category": {"index": {"2025": 1, "2024": 0}, "label": {"2024": "tjugofyra"}}, "link": {"a": 1}},
-            "Z": {"label": "z", "x": None, "category": {"index": ["b", "a"], "unit": {"a": {"label": "kg", "decimals": 1}}, "odd": 1}}}}
+            "Z": {"label": "z", "x": None, "category": {"index": ["b", "a"], "unit": {"a": {"label": "kg", "decimals": 1, "base": "g"}}, "odd": 1}}}}
     axes = dimensions.axes_v2(landed.metadata_v2(raw(spark, payload)))
     dims, cats = dimensions.dimensions_v2(axes)
     rows = {r.dim_id: r for r in dims.collect()}
@@ -52,6 +52,8 @@ def test_v2_payload(spark):
                    "Z": [("b", 0, "b"), ("a", 1, "a")]}
     detail = dimensions.category_details(axes).collect()
     assert [(d.dim_id, d.cat_id) for d in detail] == [("Z", "a")]
+    unit = dimensions.category_details(axes).select(F.to_json("unit").alias("u")).first().u
+    assert json.loads(unit) == {"label": "kg", "decimals": 1, "extension": {"base": "g"}}
 
 
 def kept(sizes, limit):
