@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kartotek import functions as fn
+from kartotek import schemas
 from kartotek.operators import (
     catalog, dimensions, documents, enrich, incremental, kpi, presence, quality, sinks,
 )
@@ -49,9 +50,6 @@ def absent(kind: str) -> Column:
     return F.lit(None).cast(kind)
 
 
-_CONTACT = "array<struct<name:string,organization:string,mail:string,phone:string,raw:string,extension:map<string,variant>>>"
-
-
 def _first_faults(*tables: DataFrame) -> DataFrame:
     """First breach of each dataset as its error text: by table, then by field path."""
     ranked = [t.select(KEY, F.lit(i).alias("rank"), "path", "rule") for i, t in enumerate(tables)]
@@ -109,7 +107,7 @@ def tables_v2(raw: DataFrame, state: DataFrame, run: Run, api_url: str, web_url:
         selection.filter("should_fetch")
         .withColumn("subject_label", absent("string"))
         .withColumn("official_statistics", absent("boolean"))
-        .withColumn("contact", absent(_CONTACT))
+        .withColumn("contact", absent(f"array<{schemas.CONTACT}>"))
         .withColumn("extension", links)
         .withColumn("metadata_url", documents.metadata_url(F.col("links"), F.col("language"), F.col("metadata_url")))
         .withColumn("adapter", F.lit("pxweb_v2"))

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from kartotek import functions as fn
 from kartotek.operators import catalog, dimensions, incremental, kpi, numbering, presence, quality, sinks
-from kartotek.plans.bindings import Tables, code, iso, text_of
+from kartotek.plans.bindings import Tables
 from kartotek.plans.oracle import (
-    AREAS, AXES, CANDIDATES, CHAIN, FLAT, FOLDER, KPIS, LIVE, NAV, OBS, OCCURRENCES, ORDER_ID, OUTCOMES, SELECTION, STATE, TABLE_ID, WEB,
+    AREAS, AXES, CANDIDATES, CHAIN, FLAT, FOLDER, KPIS, LIVE, NAV, OBS, OCCURRENCES, OUTCOMES, SELECTION, STATE, WEB,
 )
 from kartotek.plans.q_projections import FOLDER_META, areas, groups, kpis
 from kartotek.plans.registry import query

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kartotek.operators import adapters, incremental, presence, sinks
-from kartotek.plans.bindings import Tables, code, iso, text_of
-from kartotek.plans.oracle import CANDIDATES, OBS, ORDER_ID, SELECTION, STATE
+from kartotek.plans.bindings import Tables, code, text_of
+from kartotek.plans.oracle import CANDIDATES, OBS, SELECTION, STATE
 from kartotek.plans.registry import query
 from kartotek.session import fresh_dir
 from kartotek.streaming import outcomes as streams

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kartotek import functions as fn
+from kartotek import schemas
 from kartotek.operators import catalog, dimensions, documents, enrich, incremental, kpi
 from kartotek.operators.presence import is_live
-from kartotek.plans.bindings import API, WEB, Tables, code, div, iso, text_of
+from kartotek.plans.bindings import API, WEB, Tables, code, iso, text_of
 from kartotek.plans.oracle import (
-    AREA_ID, AREAS, AXES, CANDIDATES, FLAT, FOLDER, GROUPS, KPIS, OBS, ORDER_ID, SELECTION, STATE, TABLE_ID, UNITS, WEB as WEB_CTE,
+    AREAS, AXES, CANDIDATES, FLAT, FOLDER, GROUPS, KPIS, OBS, ORDER_ID, SELECTION, STATE, UNITS, WEB as WEB_CTE,
 )
 from kartotek.plans.q_sources import registry
 from kartotek.plans.registry import query
@@ -157,7 +158,7 @@ def doc_defaults(t: Tables):
     return t.spread("documents").select(
         "doc_id", F.when(F.col("doc_id") % 2 == 0, F.array(F.lit("default"))).alias("note"),
         F.when(F.col("doc_id") % 3 == 0, F.col("source")).alias("subject_label"), F.lit(True).alias("official_statistics"),
-        F.lit(None).cast("array<struct<name:string,organization:string,mail:string,phone:string,raw:string,extension:map<string,variant>>>").alias("contact"),
+        F.lit(None).cast(f"array<{schemas.CONTACT}>").alias("contact"),
         F.create_map(F.lit("lang"), F.col("lang").cast("variant"), F.lit("quality"), F.lit("none").cast("variant")).alias("extension"))
 
 

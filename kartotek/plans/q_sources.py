@@ -8,7 +8,7 @@ from kartotek import functions as fn
 from kartotek.operators import sinks
 from kartotek.plans.bindings import Tables, code, iso, text_of
 from kartotek.plans.oracle import (
-    AREAS, AXES, CHAIN, FLAT, GROUPS, KPIS, NAV, OBS, ORDER_ID, OUTCOMES, UNITS,
+    AREAS, AXES, FLAT, GROUPS, KPIS, NAV, OBS, ORDER_ID, OUTCOMES, UNITS,
 )
 from kartotek.plans.registry import query
 from kartotek.session import fresh_dir

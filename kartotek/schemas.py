@@ -55,9 +55,8 @@ PROVIDER = (
 )
 
 IDENTITY = "struct<provider_code:string,dataset_code:string,language:string>"
-PATH_NODE = "struct<code:string,label:string,extension:map<string,variant>>"
 CONTACT = (
-    "struct<raw:string,mail:string,name:string,phone:string,organization:string,"
+    "struct<name:string,organization:string,mail:string,phone:string,raw:string,"
     "extension:map<string,variant>>"
 )
 DATASET_DOC = (

@@ -4,8 +4,6 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
-
 from kartotek import schemas
 from kartotek.plans import harvest
 
