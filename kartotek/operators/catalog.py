@@ -425,8 +425,10 @@ def chain_status(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     Cycles are found by pointer doubling: after log2(pages) self joins on the unique page
     key, only pages that never reach an end still point somewhere.
     """
-    rows = pages.groupBy("feed", "url").agg(
-        F.min("next_url").alias("next_url"), F.count("*").alias("copies")
+    rows = cut_lineage(
+        pages.groupBy("feed", "url").agg(
+            F.min("next_url").alias("next_url"), F.count("*").alias("copies")
+        )
     )
     incoming = (
         rows.filter("next_url is not null")
@@ -439,12 +441,13 @@ def chain_status(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     if max_pages is None:
         max_pages = rows.groupBy("feed").count().agg(F.max("count")).first()[0] or 1
     ahead = rows.select("feed", "url", F.col("next_url").alias("jump"))
-    for turn in range(math.ceil(math.log2(max(max_pages, 2))) + 1):
+    turns = math.ceil(math.log2(max(max_pages, 2))) + 1
+    for turn in range(turns):
         step = ahead.select("feed", F.col("url").alias("jump"), F.col("jump").alias("_next"))
         ahead = ahead.join(step, ["feed", "jump"], "left").select(
             "feed", "url", F.col("_next").alias("jump")
         )
-        if turn % 3 == 2:
+        if turn < turns - 1:  # each turn joins the last one with itself
             ahead = cut_lineage(ahead)
     endless = ahead.groupBy("feed").agg(F.count_if(F.col("jump").isNotNull()).alias("endless"))
     landed = F.col("copies").isNotNull()
