@@ -1,4 +1,4 @@
 """Loads every query module of this subpackage."""
 
-from kartotek.llm import q_chat, q_ngram_join, q_tokens  # noqa: F401
+from kartotek.llm import q_chat, q_ngram_join, q_recompression, q_tokens  # noqa: F401
 from kartotek.llm.registry import ORACLES, QUERIES  # noqa: F401
