@@ -80,8 +80,13 @@ class Words:
         return np.diff(self.first)
 
 
-def cut(texts: pa.Array, lower: bool = False) -> Words:
-    """``lower``: A-Z count as a-z."""
+#: Bytes between words, and these with all ASCII punctuation.
+BLANKS = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+BLANKS_AND_SIGNS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def cut(texts: pa.Array, lower: bool = False, between: np.ndarray = BLANKS) -> Words:
+    """``lower``: A-Z count as a-z; ``between``: the bytes that no word has."""
     texts = texts.fill_null("") if texts.null_count else texts
     texts = texts.cast(pa.large_binary())
     _, offsets, data = texts.buffers()
@@ -90,7 +95,7 @@ def cut(texts: pa.Array, lower: bool = False) -> Words:
     base, end = int(at[0]), int(at[-1])
     data = np.frombuffer(data, np.uint8, end - base, base) if end > base else np.zeros(0, np.uint8)
     at = at - base
-    blank = (data == 32) | ((data >= 9) & (data <= 13))
+    blank = between[data]
     opens = np.empty(len(data), bool)
     closes = np.empty(len(data), bool)
     if len(data):
