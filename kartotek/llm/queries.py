@@ -1,4 +1,4 @@
 """Loads every query module of this subpackage."""
 
-from kartotek.llm import q_chat, q_decontamination, q_ngram_join, q_pii, q_recompression, q_tokens  # noqa: F401
+from kartotek.llm import q_chat, q_decontamination, q_extraction, q_ngram_join, q_pii, q_recompression, q_tokens, q_toxicity  # noqa: F401
 from kartotek.llm.registry import ORACLES, QUERIES  # noqa: F401
