@@ -109,6 +109,8 @@ def anchors(cut: words.Words, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndar
     left, right = left[whole], right[whole]
     near = right - left <= WINDOW
     left, right = left[near], right[near]
+    order = np.argsort(left, kind="stable")
+    left, right = left[order], right[order]
     key = words.range_hashes(h, left, right)
     best = np.full(n + WINDOW, _NONE, _U)
     for back in range(WINDOW):

@@ -12,8 +12,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-#: Rows that are worked on at once, and bits of a shingle's hash.
-SLICE, SET_BITS = 1024, 54
+#: Rows and bytes of text (but for one longer text) that are worked on at once; codes that are
+#: hashed at once; bits of a shingle's hash.
+SLICE, SLICE_BYTES, BLOCK, SET_BITS = 1024, 1 << 20, 1 << 18, 54
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -54,11 +55,23 @@ class _Table:
 
 
 def range_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of ``codes[s:e]`` for each pair, by content and length."""
-    _Table.need(len(codes) + 1)
-    sums = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum(codes * _Table.up[: len(codes)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _Table.down[starts] + (ends - starts).astype(np.uint64))
+    """Hash of ``codes[s:e]`` for each pair, by content and length. ``starts`` must not fall; the
+    work is cut into blocks of about BLOCK codes, so the tables of powers stay small."""
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        low = int(starts[i])
+        j = int(np.searchsorted(starts, low + BLOCK, "left"))
+        j = max(j, i + 1)
+        s, e = starts[i:j] - low, ends[i:j] - low
+        part = codes[low:low + int(e.max())]
+        _Table.need(len(part) + 1)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.multiply(part, _Table.up[:len(part)], out=sums[1:])
+        np.cumsum(sums, out=sums)
+        out[i:j] = mix((sums[e] - sums[s]) * _Table.down[s] + (e - s).astype(np.uint64))
+        i = j
+    return out
 
 
 @dataclass
@@ -74,7 +87,12 @@ class Words:
     lowered: np.ndarray | None = None
 
     def hashes(self) -> np.ndarray:
-        return range_hashes(_BYTE_CODES[self.data if self.lowered is None else self.lowered], self.starts, self.ends)
+        data = self.data if self.lowered is None else self.lowered
+        out = np.empty(len(self.starts), np.uint64)
+        for i in range(0, len(out), BLOCK):
+            s, e = self.starts[i:i + BLOCK], self.ends[i:i + BLOCK]
+            out[i:i + BLOCK] = range_hashes(_BYTE_CODES[data[s[0]:e[-1]]], s - s[0], e - s[0])
+        return out
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
@@ -140,8 +158,17 @@ def shingle_sets(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return (key >> np.uint64(SET_BITS)).astype(np.int64), key & np.uint64((1 << SET_BITS) - 1)
 
 
-def slices(batches):
-    """The batches in pieces of at most SLICE rows, so that the arrays stay small."""
+def slices(batches, column: int = -1):
+    """The batches in pieces of at most SLICE rows and about SLICE_BYTES of a text column (by
+    default the last column of strings), so that the arrays stay small."""
     for batch in batches:
-        for at in range(0, batch.num_rows, SLICE):
-            yield batch.slice(at, SLICE)
+        if not batch.num_rows:
+            continue
+        at = column if column >= 0 else max(i for i, f in enumerate(batch.schema) if pa.types.is_string(f.type))
+        texts = batch.column(at)
+        sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64))
+        piece = np.cumsum(sizes) // SLICE_BYTES
+        cuts = np.flatnonzero(np.diff(piece)) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, len(texts)], strict=True):
+            for start in range(lo, hi, SLICE):
+                yield batch.slice(start, min(SLICE, hi - start))
