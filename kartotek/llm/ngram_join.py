@@ -370,13 +370,16 @@ def shingle_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     def sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = bitmap.contains(sieve.value, batch.column(2).to_numpy())
-            yield pa.RecordBatch.from_arrays(
-                [c.filter(pa.array(keep)) for c in batch.columns[:2]], ["doc_id", "text"])
+            for part in words.slices([batch.filter(pa.array(keep))]):
+                row, grams = words.shingle_sets(words.cut(part.column(1), lower=True), size)
+                names = _set_hash(row, grams, part.num_rows)[1]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), _longs(names), part.column(1)], ["doc_id", "cls", "text"])
 
     chosen = texts.where("doc_id IS NOT NULL").withColumn("k", F.xxhash64("doc_id")).mapInArrow(
-        sifted, texts.schema).dropDuplicates(["doc_id"])
+        sifted, "doc_id long, cls long, text string")
     sets = written(
-        chosen.join(involved, "doc_id").select("cls", "text").mapInArrow(
+        chosen.join(involved, ["doc_id", "cls"]).dropDuplicates(["doc_id", "cls"]).select("cls", "text").mapInArrow(
             lambda b: _sets(b, size), "cls long, size long, fragment int, grams array<long>"), "sets")
 
     tried = candidates.where(_near_in_size(percent))
