@@ -18,8 +18,8 @@ summed.
    So every pair of linked documents ends in one component, and no pair within one is needed.
 
 Defined results: no text or no words: an empty set, linked with nothing; fewer words than a
-shingle: the whole sequence is the one shingle; repeated rows link; null ids take no part in
-links (they keep their own row); an empty table gives an empty result; further columns are
+shingle: the whole sequence is the one shingle; repeated rows link; rows with a null id make no
+links and show the component of equal texts; an empty table gives an empty result; further columns are
 ignored.
 """
 
