@@ -168,7 +168,9 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(window, doc_id, th, pos) of the windows under shared keys."""
+    """(window, doc_id, th, pos, done) of the windows under shared keys. Where a smaller id of the
+    slice has the window too, the row is done, and spread; so one document a slice is left to meet
+    the others, however many have the window."""
     for batch in words.slices(batches):
         cut = words.cut(batch.column(2))
         first, row, key = anchors(cut)
@@ -179,11 +181,20 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = np.isin(words.mix(key + words.mix(row.astype(_U))), want)
         first, row = first[keep], row[keep]
         window = words.range_hashes(cut.hashes(), first, first + WINDOW)
+        doc = batch.column(0).to_numpy()[row]
+        order = np.lexsort((doc, window))
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = window[order[1:]] != window[order[:-1]]
+        least = doc[order][np.flatnonzero(fresh)[np.cumsum(fresh) - 1]] if len(order) else doc
+        done = np.zeros(len(order), bool)
+        done[order] = doc[order] > least
+        position = (first - cut.first[:-1][row]).astype(np.int32)
+        spread = words.mix(window + words.mix(doc.view(_U) + position.astype(_U)))
         take = pa.array(row)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(window.view(np.int64)), batch.column(0).take(take), batch.column(1).take(take),
-             pa.array((first - cut.first[:-1][row]).astype(np.int32))],
-            ["window", "doc_id", "th", "pos"])
+            [pa.array(np.where(done, spread, window).view(np.int64)), batch.column(0).take(take),
+             batch.column(1).take(take), pa.array(position), pa.array(done)],
+            ["window", "doc_id", "th", "pos", "done"])
 
 
 def kept_words(text: str | None, starts, copy: bool) -> tuple[list[bytes], int]:
@@ -236,11 +247,11 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     by_text = shared.groupBy("doc_id", "th").agg(F.collect_list("key").alias("keys"))
     windows = (
         texts.join(by_text, ["doc_id", "th"]).select("doc_id", "th", "text", "keys")
-        .mapInArrow(_windows, "window long, doc_id long, th long, pos int")
+        .mapInArrow(_windows, "window long, doc_id long, th long, pos int, done boolean")
     )
     repeats = (
-        windows.withColumn("first", F.min("doc_id").over(Window.partitionBy("window")))
-        .where("doc_id > first").groupBy("doc_id", "th").agg(F.collect_set("pos").alias("starts"))
+        windows.withColumn("first", F.min("doc_id").over(Window.partitionBy("window", "done")))
+        .where("done OR doc_id > first").groupBy("doc_id", "th").agg(F.collect_set("pos").alias("starts"))
     )
     ids = known.select("doc_id", "th", "th2")
     copies = (
