@@ -5,7 +5,8 @@ DECAY for every letter it spans (at most SPAN), so gaps and inserted characters
 instead of losing it. Words are runs between blanks in small letters, without other signs; three or
 more single letters in a row also count as one word; a long word counts by overlapping pieces.
 
-Landmarks are the words that tell the labels apart best and common words of clean texts. Their
+Landmarks are the words that tell the labels apart best, common words of clean texts and those
+nearest to the former. Their
 kernel matrix gives the Nyström features, on which a linear support vector machine (squared hinge)
 is trained. Labels are known for whole texts, so the parts of their sentences that carry them are
 found in turns: first words that tell the texts apart, then the likeliest word of each. A text's
@@ -46,9 +47,11 @@ FIT_TOXIC, FIT_CLEAN, LANDMARKS = 2000, 4000, 120
 EVIDENCE, CLEAN_WORDS, SUPPORT_COST = 12.0, 4000, 2000.0
 #: Fall of the kernel with distance, and similarity to a toxic landmark below which a word is
 #: like any other.
-SHARPNESS, LIKE = 6.0, 0.6
+SHARPNESS, LIKE = 6.0, 0.5
+#: Margin that a like word must reach without one letter to count, and what that costs it.
+SURE, INSERTED = 0.8, 0.2
 #: Groups of toxic landmarks that share a bound.
-GROUPS = 20
+GROUPS = 24
 #: Letters that a subsequence may span, and the weight of each.
 SPAN, DECAY = 6, 0.6
 #: Letters of a piece of a long word, and words in a worker's cache.
@@ -184,21 +187,38 @@ class Machine:
         if self.landmarks is None or not words:
             return out
         owner, pieces = _pieces(words)
+        like, margin = self._of_pieces(pieces)
+        # a like word that is not toxic as it stands may be so without an inserted letter
+        short, whose = [], []
+        for k in np.flatnonzero(like & (margin <= 0)).tolist():
+            p = pieces[k]
+            if len(p) > 6:
+                short += [p[:i] + p[i + 1:] for i in range(1, len(p) - 1) if p[i] != p[i - 1]]
+                whose += [k] * (len(short) - len(whose))
+        for lo in range(0, len(short), 50_000):
+            _, without = self._of_pieces(short[lo:lo + 50_000])
+            sure = without >= SURE
+            np.maximum.at(margin, np.array(whose[lo:lo + 50_000])[sure], without[sure] - INSERTED)
+        np.maximum.at(out, owner, margin)
+        return out
+
+    def _of_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each piece is LIKE a toxic landmark, and its margin."""
         who, code, weight = _subsequences(pieces)
         least_norm = np.maximum(np.sqrt(np.bincount(who, weight ** 2, len(pieces))), 1e-12)
         known = self.landmarks.place[code] >= 0
         who_k, code_k, weight_k = who[known], code[known], weight[known]
-        like = np.zeros(len(pieces), bool)  # no word that is LIKE a toxic landmark fails this
+        able = np.zeros(len(pieces), bool)  # no piece that is LIKE a toxic landmark fails this
         for most in self.landmarks.most:
-            like |= np.bincount(who_k, weight_k * most[code_k], len(pieces)) >= LIKE * least_norm
-        if not like.any():
-            return out
-        number = np.cumsum(like) - 1
-        mine = like[who]
-        near = self.landmarks.similarities(*_summed(number[who[mine]], code[mine], weight[mine]), int(like.sum()))
-        margin = np.where(near[:, :self.n_toxic].max(1) >= LIKE, gaussian(near) @ self.weights + self.bias, self.bias)
-        np.maximum.at(out, owner[like], margin)
-        return out
+            able |= np.bincount(who_k, weight_k * most[code_k], len(pieces)) >= LIKE * least_norm
+        margin, like = np.full(len(pieces), self.bias), np.zeros(len(pieces), bool)
+        if able.any():
+            number = np.cumsum(able) - 1
+            mine = able[who]
+            near = self.landmarks.similarities(*_summed(number[who[mine]], code[mine], weight[mine]), int(able.sum()))
+            like[able] = near[:, :self.n_toxic].max(1) >= LIKE
+            margin[able] = np.where(like[able], gaussian(near) @ self.weights + self.bias, self.bias)
+        return like, margin
 
     def facts(self, margins: list[float]) -> tuple[float, ...]:
         """The largest margin of a text's words, how far it is beyond doubt, the number of words
@@ -347,10 +367,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.list_(pa.string())), batch.column(2)], ["doc_id", "words", "label"])
 
+    most = 2 * (FIT_TOXIC + FIT_CLEAN)  # the bound of the sample, and so of the broadcast ids
+    chosen = F.broadcast(known.where(share).limit(most))
     rows = (
-        docs.select("doc_id", "text").join(known.where(share), "doc_id").select("doc_id", "text", "label")
+        docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "label")
         .mapInArrow(distinct_words, "doc_id long, words array<string>, label int")
-        .limit(2 * (FIT_TOXIC + FIT_CLEAN)).collect()
+        .limit(most).collect()
     )
     rows = sorted(rows, key=lambda r: (hash_of(r["doc_id"]), r["words"]))
     return train([(r["words"], r["label"]) for r in rows])
