@@ -1,8 +1,8 @@
 """Main text of web pages as a maximum-scoring subsequence.
 
-A page is a row of tokens: tags and words. Words score above zero and tags below, except words in
-links and in parts whose tag or class names menus, adverts, forms, comments and the like, which
-score below zero too. One linear scan finds the contiguous stretch with the largest sum; parts of
+A page is a row of tokens: tags and words. Words score above zero and tags below; words in links
+score a little below zero, and so does all in parts whose tag or class names menus, adverts, forms,
+comments and the like. One linear scan finds the contiguous stretch with the largest sum; parts of
 the named kinds inside it are left out.
 
 The weights come from labelled pages: on pages with exactly one ``article`` or ``main`` element its
@@ -45,6 +45,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
     "strong sub sup time tt u var wbr".split())
+#: Blocks of running text.
+TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 #: Elements whose words are not main text, by the kind they stand for.
 LEFT_OUT = {
     "nav": "menu", "menu": "menu", "footer": "footer", "aside": "side", "form": "form", "button": "form",
@@ -79,8 +81,9 @@ def kind_of(tag: str, markup: str, inside: bool) -> str | None:
 
 
 def tokens(page: str) -> list[tuple[str, str, int, bool]]:
-    """(kind, text, block, labelled) in page order. Kinds: ``tag:name``, ``word`` or ``word:`` with
-    the left-out part or link it stands in; block numbers change where a block ends."""
+    """(kind, text, block, labelled) in page order. Kinds: ``tag:name``, ``word``, ``word:link`` in a
+    link, ``part:`` with the left-out part that a tag or word stands in; block numbers change where
+    a block ends."""
     out: list[tuple[str, str, int, bool]] = []
     stack: list[tuple[str, str | None]] = []
     block = 0
@@ -91,7 +94,7 @@ def tokens(page: str) -> list[tuple[str, str, int, bool]]:
             if text.strip():
                 inner = next((k for _, k in reversed(stack) if k), None)
                 link = any(t == "a" for t, _ in stack)
-                kind = f"word:{inner}" if inner else "word:link" if link else "word"
+                kind = f"part:{inner}" if inner else "word:link" if link else "word"
                 out.append((kind, text, block, any(t in _LABELS for t, _ in stack)))
             elif out and text:
                 out.append(("space", " ", block, False))
@@ -117,7 +120,8 @@ def tokens(page: str) -> list[tuple[str, str, int, bool]]:
                 stack.append((tag, kind_of(tag, piece, any(t in _LABELS for t, _ in stack))))
         if tag == "br":
             out.append(("space", " ", block, False))
-        out.append((f"tag:{tag}", "", block, any(t in _LABELS for t, _ in stack)))
+        part = next((k for _, k in reversed(stack) if k), None)
+        out.append((f"part:{part}" if part else f"tag:{tag}", "", block, any(t in _LABELS for t, _ in stack)))
     return out
 
 
@@ -126,7 +130,9 @@ def prior(kind: str) -> float:
         return 1.0
     if kind == "word:link":
         return -0.5
-    return -1.0 if kind.startswith("tag:") else -3.0
+    if kind.startswith("part:"):
+        return -0.2
+    return -0.3 if kind[4:] in INLINE or kind[4:] in TEXTUAL else -1.0
 
 
 def weight_of(kind: str, inside: float, outside: float, total_in: float, total_out: float) -> float:
@@ -134,7 +140,9 @@ def weight_of(kind: str, inside: float, outside: float, total_in: float, total_o
     odds = math.log((inside + 1) / (total_in + 1)) - math.log((outside + 1) / (total_out + 1))
     n = inside + outside
     blended = (PRIOR_COUNT * prior(kind) + n * odds) / (PRIOR_COUNT + n)
-    return max(0.1, min(blended, 2.0)) if prior(kind) > 0 else min(-0.1, max(blended, -2.0))
+    if prior(kind) > 0:
+        return max(0.1, min(blended, 2.0))
+    return min(-0.1, max(blended, -0.5 if kind.startswith("part:") else -2.0))
 
 
 def counts_of(page: str) -> tuple[Counter, Counter] | None:
@@ -145,7 +153,7 @@ def counts_of(page: str) -> tuple[Counter, Counter] | None:
     inside, outside = Counter(), Counter()
     for kind, text, _, labelled in tokens(page):
         if kind != "space" and kind not in ("tag:article", "tag:main"):
-            (inside if labelled else outside)[kind] += len(text.split()) if kind.startswith("word") else 1
+            (inside if labelled else outside)[kind] += max(1, len(text.split()))
     return inside, outside
 
 
@@ -189,8 +197,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
         w = weights.get(kind)
         if w is None:
             w = prior(kind)
-        if kind.startswith("word"):
-            w *= len(text.split())
+        w *= max(1, len(text.split()))
         if run <= 0:
             run, start = 0.0, i
         run += w
