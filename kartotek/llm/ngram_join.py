@@ -237,30 +237,38 @@ def _near_in_size(percent: int):
     return F.expr(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
 
 
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """From (cls, component, grams): pieces of few rows with row, sorted shingles and set sizes."""
+    for whole in batches:
+        for lo in range(0, whole.num_rows, 128):
+            batch = whole.slice(lo, 128)
+            lists = batch.column(2)
+            grams = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(_U)
+            sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            yield batch, row, grams[np.lexsort((grams, row))], sizes
+
+
 def _member_postings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """(posting, cls, size, component, sketch) from (cls, component, grams): a sketch holds the
-    parity of the number of shingles in each of its bits, so two differ in no more bits than the
-    sets in shingles."""
-    for batch in batches:
-        cls, component = batch.column(0), batch.column(1)
-        lists = batch.column(2)
-        grams = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(_U)
-        sizes = np.diff(lists.offsets.to_numpy())
-        row = np.repeat(np.arange(len(sizes)), sizes)
-        order = np.lexsort((grams, row))
-        grams = grams[order]
+    for batch, row, grams, sizes in _members(batches):
+        row, keys = _postings(row, grams, sizes, percent)
+        take = pa.array(row)
+        yield pa.RecordBatch.from_arrays(
+            [_longs(keys), batch.column(0).take(take), _longs(sizes[row]), batch.column(1).take(take)],
+            ["posting", "cls", "size", "component"])
+
+
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cls, sketch): a sketch holds the parity of the number of shingles in each of its bits, so
+    two differ in no more bits than the sets in shingles."""
+    for batch, _, grams, sizes in _members(batches):
         sketches = []
         at = np.append(0, np.cumsum(sizes))
         for i, n in enumerate(sizes):
             bits = sketch_bits(int(n))
             marks = np.bincount((words.mix(grams[at[i]:at[i + 1]]) % _U(bits)).astype(np.int64), minlength=bits) & 1
             sketches.append(np.packbits(marks.astype(bool)).tobytes())
-        row, keys = _postings(row, grams, sizes, percent)
-        take = pa.array(row)
-        yield pa.RecordBatch.from_arrays(
-            [_longs(keys), cls.take(take), _longs(sizes[row]), component.take(take),
-             pa.array(sketches, pa.binary()).take(take)],
-            ["posting", "cls", "size", "component", "sketch"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sketches, pa.binary())], ["cls", "sketch"])
 
 
 def sketch_bits(n: int) -> int:
@@ -271,73 +279,72 @@ def sketch_bits(n: int) -> int:
 def _apart(batches: Iterator[pa.RecordBatch], percent: int, forest: bool) -> Iterator[pa.RecordBatch]:
     """Pairs of unlike components in one block pair of a posting that the sketches let pass; with
     ``forest`` only the nearest ones that join components. Rows are sorted by (posting, i, j)."""
-    held: list[dict] = []
-
-    def flush():
-        if held:
-            found = _compare(held, percent, forest)
-            if found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "na", "b", "nb"])
-
-    key = None
+    key, held, size = None, [], 0
     for batch in batches:
-        for r in batch.to_pylist():
-            now = (r["posting"], r["i"], r["j"])
+        changes = np.zeros(batch.num_rows, bool)
+        for name in ("posting", "i", "j"):
+            column = batch.column(name).to_numpy(zero_copy_only=False)
+            changes[1:] |= column[1:] != column[:-1]
+        starts = [0, *np.flatnonzero(changes).tolist(), batch.num_rows] if batch.num_rows else []
+        for lo, hi in zip(starts, starts[1:], strict=False):
+            now = tuple(batch.column(c)[lo].as_py() for c in ("posting", "i", "j"))
             if now != key:
-                yield from flush()
-                held, key = [], now
-            held.append(r)
-    yield from flush()
-
-
-def _compare(rows: list[dict], percent: int, forest: bool) -> list[tuple[int, int, int, int]]:
-    cls = np.array([r["cls"] for r in rows])
-    size = np.array([r["size"] for r in rows])
-    component = np.array([r["component"] for r in rows])
-    block = np.array([r["own"] for r in rows])
-    if len(set(component.tolist())) < 2:
-        return []
-    width = min(len(r["sketch"]) for r in rows)
-    sketch = np.zeros((len(rows), width), np.uint8)
-    for k, r in enumerate(rows):
-        sketch[k] = np.bitwise_xor.reduce(np.frombuffer(r["sketch"], np.uint8).reshape(-1, width), 0)
-    sketch = sketch.view(np.uint64)
-    across = rows[0]["i"] != rows[0]["j"]
-    found = []
-    for k in range(len(rows) - 1):
-        rest = slice(k + 1, None)
-        total = size[k] + size[rest]
-        ok = (component[rest] != component[k]) & (100 * np.minimum(size[k], size[rest]) >= percent * np.maximum(size[k], size[rest]))
-        ok &= cls[rest] != cls[k]
+                if held:
+                    yield from _compare(pa.Table.from_batches(held).combine_chunks(), percent, forest)
+                key, held = now, []
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield from _compare(pa.Table.from_batches(held).combine_chunks(), percent, forest)
+
+
+def _folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words, all folded to the length of the shortest."""
+    width = min(map(len, sketches))
+    out = np.empty((len(sketches), width), np.uint8)
+    for k, s in enumerate(sketches):
+        out[k] = np.bitwise_xor.reduce(np.frombuffer(s, np.uint8).reshape(-1, width), 0)
+    return out.view(np.uint64)
+
+
+def _compare(rows: pa.Table, percent: int, forest: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs of one block pair that may link, from at most two blocks of rows."""
+    cls, size, label, own = (rows.column(c).to_numpy() for c in ("cls", "size", "component", "own"))
+    label = label.copy()
+    if (label == label[0]).all():
+        return
+    sketch = _folded(rows.column("sketch").to_pylist())
+    across = rows.column("i")[0] != rows.column("j")[0]
+    firsts, seconds, held = [], [], 0
+    for k in range(len(cls) - 1):
+        rest = np.arange(k + 1, len(cls))
+        rest = rest[(label[rest] != label[k]) & (cls[rest] != cls[k])
+                    & (100 * np.minimum(size[k], size[rest]) >= percent * np.maximum(size[k], size[rest]))]
         if across:
-            ok &= block[rest] != block[k]
-        at = np.flatnonzero(ok)
-        if len(at):
-            apart = np.bitwise_count(sketch[k + 1 + at] ^ sketch[k]).sum(1)
-            near = apart <= total[at] * (100 - percent) // (100 + percent)
-            found += [(int(d), k, int(k + 1 + x)) for x, d in zip(at[near], apart[near], strict=True)]
-    if forest:
-        root = {int(c): int(c) for c in component}
-
-        def top(c):
-            while root[c] != c:
-                root[c] = root[root[c]]
-                c = root[c]
-            return c
-
-        kept = []
-        for d, x, y in sorted(found):
-            p, q = top(int(component[x])), top(int(component[y]))
-            if p != q:
-                root[p] = q
-                kept.append((d, x, y))
-        found = kept
-    out = []
-    for _, x, y in found:
-        x, y = (x, y) if cls[x] < cls[y] else (y, x)
-        out.append((int(cls[x]), int(size[x]), int(cls[y]), int(size[y])))
-    return out
+            rest = rest[own[rest] != own[k]]
+        if not len(rest):
+            continue
+        apart = np.bitwise_count(sketch[rest] ^ sketch[k]).sum(1)
+        near = apart <= (size[k] + size[rest]) * (100 - percent) // (100 + percent)
+        rest, apart = rest[near], apart[near]
+        if forest and len(rest):  # the nearest one of each component, which then is one with this
+            rest = rest[np.argsort(apart, kind="stable")]
+            rest = rest[np.unique(label[rest], return_index=True)[1]]
+            label[np.isin(label, label[rest])] = label[k]
+        firsts.append(np.full(len(rest), k))
+        seconds.append(rest)
+        held += len(rest)
+        if held > 50_000 or k == len(cls) - 2:
+            yield _pair_rows(cls, size, firsts, seconds)
+            firsts, seconds, held = [], [], 0
+    if held:
+        yield _pair_rows(cls, size, firsts, seconds)
+
+
+def _pair_rows(cls, size, firsts, seconds) -> pa.RecordBatch:
+    x, y = np.concatenate(firsts), np.concatenate(seconds)
+    x, y = np.where(cls[x] < cls[y], x, y), np.where(cls[x] < cls[y], y, x)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c.astype(np.int64)) for c in (cls[x], size[x], cls[y], size[y])], ["a", "na", "b", "nb"])
 
 
 def _components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -408,11 +415,12 @@ def _close_gaps(candidates, sets, links, component, percent, tasks) -> DataFrame
         .where("ca <> cb").select(F.explode(F.array("ca", "cb")).alias("component")).distinct()
     )
     members = component.join(ends, "component")
-    whole = sets.groupBy("cls").agg(F.flatten(F.collect_list("grams")).alias("grams"))
-    postings = written(
-        members.join(whole, "cls").select("cls", "component", "grams").mapInArrow(
-            lambda b: _member_postings(b, percent),
-            "posting long, cls long, size long, component long, sketch binary"), "postings")
+    whole = written(
+        members.join(sets.groupBy("cls").agg(F.flatten(F.collect_list("grams")).alias("grams")), "cls")
+        .select("cls", "component", "grams"), "members")
+    postings = written(whole.mapInArrow(
+        lambda b: _member_postings(b, percent), "posting long, cls long, size long, component long"), "postings")
+    sketches = whole.mapInArrow(_sketches, "cls long, sketch binary")
     for forest in (True, False):
         if not forest:
             component = written(_components(component.select("cls"), links), "components")
@@ -427,6 +435,7 @@ def _close_gaps(candidates, sets, links, component, percent, tasks) -> DataFrame
             .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+            .select("posting", "i", "j", "own", "cls", "size", "component").join(sketches, "cls")
             .select("posting", "i", "j", "own", "cls", "size", "component", "sketch")
         )
         pairs = (

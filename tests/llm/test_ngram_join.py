@@ -5,6 +5,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from kartotek.llm import ngram_join, words
@@ -107,6 +108,8 @@ def test_sketches_never_hide_a_link():
             bits = ngram_join.sketch_bits(len(x))
             return np.packbits(np.bincount((words.mix(x) % np.uint64(bits)).astype(int), minlength=bits) % 2).tobytes()
 
-        rows = [{"cls": k, "size": len(x), "component": k, "own": 0, "i": 0, "j": 0, "sketch": sketch(x)} for k, x in enumerate((a, b))]
+        rows = pa.table({"cls": [0, 1], "size": [len(a), len(b)], "component": [0, 1], "own": [0, 0], "i": [0, 0], "j": [0, 0],
+                         "sketch": [sketch(a), sketch(b)]})
         linked = 100 * len(set(a) & set(b)) >= 80 * len(set(a) | set(b))
-        assert not linked or ngram_join._compare(rows, 80, False)
+        for forest in (True, False):
+            assert not linked or sum(x.num_rows for x in ngram_join._compare(rows, 80, forest)) == 1
