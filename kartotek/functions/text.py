@@ -32,7 +32,7 @@ FALLBACK_SOURCE = "Kolada"
 TRUE_WORDS = ("true", "1", "yes", "y")
 FALSE_WORDS = ("false", "0", "no", "n")
 UNIT_SUFFIX = "_OU"
-ERROR_LENGTH = 4000
+PIECE_LENGTH = 4000
 
 # Java's \s with (?U) covers the Unicode spaces; \x1c-\x1f also count as blank here.
 _BLANK = r"[\s\x1c-\x1f]"
@@ -82,8 +82,10 @@ def first_truthy(*cols: Column) -> Column:
     return F.coalesce(*[filled(c) for c in cols])
 
 
-def clip(c: Column, n: int = ERROR_LENGTH) -> Column:
-    return F.substring(c, 1, n)
+def pieces(c: Column, n: int = PIECE_LENGTH) -> Column:
+    """The whole text in pieces of ``n`` characters, for stores whose fields are short."""
+    starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.length(c) / n).cast("int") - 1, F.lit(0)))
+    return F.transform(starts, lambda i: F.substring(c, i * n + 1, F.lit(n)))
 
 
 def compact_strings(items: Column) -> Column:

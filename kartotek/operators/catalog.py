@@ -13,8 +13,6 @@ from kartotek import schemas
 from kartotek.operators.numbering import first_per, last_per, ordinals
 from kartotek.session import cut_lineage
 
-MAX_FOLDERS = 10_000
-
 
 def candidates_v2(
     listing: DataFrame, api_url: str, web_url: str | None, language: str
@@ -262,6 +260,8 @@ def override_labels(paths: DataFrame, entries: DataFrame, max_depth: int | None
         finished = state.filter(F.size("tokens") == level).select("tokens", "categories")
         done = finished if done is None else done.unionByName(finished)
         state = state.filter(F.size("tokens") > level)
+    if done is None:  # every table sits at the root
+        done = state.select("tokens", "categories")
     return done.withColumnRenamed("tokens", "category_ids")
 
 
@@ -412,12 +412,6 @@ def walk(entries: DataFrame) -> DataFrame:
     )
 
 
-def folder_overflow(entries: DataFrame, limit: int = MAX_FOLDERS) -> DataFrame:
-    """One row when the tree, root included, has more folders than allowed."""
-    folders = entries.filter("type = 'l'").select("parent_path", "id").distinct()
-    return folders.agg((F.count("*") + 1).alias("folders")).filter(F.col("folders") > limit)
-
-
 def chain_status(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Check of ``next`` links per feed: one head, every next page landed, no page with two
     predecessors, no cycle.
@@ -440,16 +434,17 @@ def chain_status(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     )
     if max_pages is None:
         max_pages = rows.groupBy("feed").count().agg(F.max("count")).first()[0] or 1
-    ahead = rows.select("feed", "url", F.col("next_url").alias("jump"))
+    ahead = rows.filter("next_url is not null").select("feed", "url", F.col("next_url").alias("jump"))
     turns = math.ceil(math.log2(max(max_pages, 2))) + 1
-    for turn in range(turns):
+    for _ in range(turns):
         step = ahead.select("feed", F.col("url").alias("jump"), F.col("jump").alias("_next"))
-        ahead = ahead.join(step, ["feed", "jump"], "left").select(
-            "feed", "url", F.col("_next").alias("jump")
+        # An inner join: pages whose jump reached an end drop out, so the table shrinks.
+        ahead = cut_lineage(
+            ahead.join(step, ["feed", "jump"]).select("feed", "url", F.col("_next").alias("jump"))
         )
-        if turn < turns - 1:  # each turn joins the last one with itself
-            ahead = cut_lineage(ahead)
-    endless = ahead.groupBy("feed").agg(F.count_if(F.col("jump").isNotNull()).alias("endless"))
+        if ahead.isEmpty():
+            break
+    endless = ahead.groupBy("feed").agg(F.count("*").alias("endless"))
     landed = F.col("copies").isNotNull()
     status = joined.groupBy("feed").agg(
         F.count_if(landed).alias("pages"),
@@ -463,4 +458,5 @@ def chain_status(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
         | (F.col("shared") > 0)
         | (F.col("endless") > 0)
     )
-    return status.join(endless, "feed").withColumn("complete", ~broken)
+    whole = status.join(endless, "feed", "left").withColumn("endless", F.coalesce("endless", F.lit(0)))
+    return whole.withColumn("complete", ~broken)

@@ -173,6 +173,7 @@ def dimensions_v2(axes: DataFrame, key: str = "dataset_code") -> tuple[DataFrame
             F.col("axis.link").alias("link"),
             F.col("_open.elimination").alias("elimination"),
             F.col("_open.extras").alias("extras"),
+            F.col("_open.nested_fault").alias("nested_fault"),
         )
     )
     entries = category_entries(F.col("axis.category.index"), F.col("axis.category.label"))
@@ -237,8 +238,15 @@ def axis_sizes(cats: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def cell_count(sizes: DataFrame, key: str) -> DataFrame:
-    """Cells of the cube each dataset describes: the product of its axis sizes."""
-    return sizes.groupBy(key).agg(F.product("n").alias("cells"))
+    """Cells of the cube each dataset describes: the exact product of its axis sizes (a
+    document's few axes), NULL with ``overflow`` where 38 digits do not hold it."""
+    wide = "decimal(38,0)"
+    product = F.aggregate(
+        "_sizes", F.lit(1).cast(wide),
+        lambda x, n: F.try_multiply(x, n).try_cast(wide),
+    )
+    return sizes.groupBy(key).agg(F.collect_list(F.col("n").cast(wide)).alias("_sizes")).select(
+        key, product.alias("cells"), product.isNull().alias("overflow"))
 
 
 def top_categories(cats: DataFrame, k: int = 2) -> DataFrame:
@@ -246,7 +254,7 @@ def top_categories(cats: DataFrame, k: int = 2) -> DataFrame:
     return cats.filter(F.col("ordinal") < k)
 
 
-def sample_selection(sizes: DataFrame, key: str, limit: int) -> DataFrame:
+def sample_selection(sizes: DataFrame, key: str, limit: int | None = None) -> DataFrame:
     """How many categories of each axis a sample asks for: two, cut to one from the last
     axis backwards until the product fits.
 
@@ -257,7 +265,8 @@ def sample_selection(sizes: DataFrame, key: str, limit: int) -> DataFrame:
     doubles = F.sum(F.when(F.col("n") >= 2, 1).otherwise(0)).over(upto)
     return sizes.withColumn(
         "keep",
-        F.when(F.pow(F.lit(2.0), doubles) > limit, 1).otherwise(F.least("n", F.lit(2))),
+        F.least("n", F.lit(2)) if limit is None
+        else F.when(F.pow(F.lit(2.0), doubles) > limit, 1).otherwise(F.least("n", F.lit(2))),
     )
 
 

@@ -88,16 +88,19 @@ def select_by_window(
 
 
 def bounded(
-    selection: DataFrame, group: Sequence[str], order: Sequence[str], n: int,
+    selection: DataFrame, group: Sequence[str], order: Sequence[str], n: int | None,
     bounds: list | None = None,
 ) -> DataFrame:
-    """Rows up to and including the n-th attempt of each scope. Skips cost nothing, but
-    rows after the n-th attempt are not reported."""
+    """Every row, with ``attempt_no`` (from 1; NULL for skips) in its scope and ``deferred`` for
+    what lies beyond the n-th attempt: such rows keep their place for the next run."""
     attempts = F.col("should_fetch").cast("int")
     if bounds:
         selection = cut_lineage(selection)  # read twice below; the joins run once
     counted = running_total(selection, group, order, attempts, "_before", bounds)
-    return counted.filter(F.col("_before") < n).drop("_before")
+    beyond = F.lit(False) if n is None else F.col("should_fetch") & (F.col("_before") >= n)
+    return counted.withColumn(
+        "attempt_no", F.when(F.col("should_fetch"), F.col("_before") + 1)
+    ).withColumn("deferred", beyond).drop("_before")
 
 
 def advance_checkpoint(runs: DataFrame, keys: Sequence[str]) -> DataFrame:

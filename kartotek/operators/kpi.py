@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from kartotek import functions as fn
 from kartotek.operators.numbering import batches
-from kartotek.session import broadcast_if_small
 
 # Upstream codes and labels.
 AREA_NODE = ("kolada:operating_area", "Verksamhetsområde")
@@ -153,18 +152,11 @@ def area_scopes(areas: DataFrame) -> DataFrame:
 
 
 def probe_areas(kpis: DataFrame, areas: DataFrame) -> DataFrame:
-    """Areas to ask for each KPI. An equality join on the scope type, so every KPI meets
-    only its own areas; the area side is broadcast after its size is checked, and beyond
-    that size the KPI side is spread over salted copies."""
+    """Areas to ask for each KPI, an equality join on the scope type: every KPI meets only its
+    own areas. A run joins :func:`area_scopes` where it needs them and never stores this."""
     scoped = area_scopes(areas)
     asked = kpis.filter(F.col("scope_type").isin(*SCOPE_TYPES)).select("kpi_id", "scope_type")
-    small = broadcast_if_small(scoped)
-    if small is not scoped:
-        return asked.join(small, "scope_type")
-    salts = 64
-    salted = scoped.withColumn("_salt", F.pmod(F.xxhash64("area_id"), F.lit(salts)))
-    spread = asked.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(salted, ["scope_type", "_salt"]).drop("_salt")
+    return asked.join(scoped, "scope_type")
 
 
 def unknown_scopes(kpis: DataFrame) -> DataFrame:
@@ -200,13 +192,12 @@ def probe_batches(
 
 
 def with_titles(ids: DataFrame, titles: DataFrame, key: str = "cat_id") -> DataFrame:
-    """Label of each category id; an unknown id labels itself. Few ids repeat over very many
-    rows, so the titles are broadcast when their counted size allows it."""
+    """Label of each category id; an unknown id labels itself."""
     names = titles.groupBy(F.col(titles.columns[0]).alias(key)).agg(
         F.max(titles.columns[1]).alias("_title")
     )
     return (
-        ids.join(broadcast_if_small(names), key, "left")
+        ids.join(names, key, "left")
         .withColumn("label", F.coalesce("_title", key))
         .drop("_title")
     )
@@ -218,9 +209,9 @@ def unit_area(ids: DataFrame, units: DataFrame, areas: DataFrame) -> DataFrame:
     owners = units.groupBy("ou_id").agg(F.max("area_id").alias("_area"))
     titles = areas.groupBy(F.col("area_id").alias("_area")).agg(F.max("title").alias("_label"))
     return (
-        ids.join(broadcast_if_small(owners), "ou_id", "left")
+        ids.join(owners, "ou_id", "left")
         .withColumn("_area", F.coalesce("_area", F.lit("")))
-        .join(broadcast_if_small(titles), "_area", "left")
+        .join(titles, "_area", "left")
         .withColumn("area_label", F.coalesce("_label", "_area"))
         .withColumnRenamed("_area", "area_id")
         .drop("_label")

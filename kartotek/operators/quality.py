@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kartotek import functions as fn
-from kartotek.session import broadcast_if_small
 
 # Patterns of the contracts.
 PROVIDER_CODE = r"^[a-z][a-z0-9]*(?:_[a-z0-9]+)*$"
@@ -226,8 +225,7 @@ def check_pair(df: DataFrame, keys: Sequence[str], left: Column, right: Column)
 def check_discovery(cands: DataFrame, scopes: DataFrame) -> DataFrame:
     """Candidates outside their run's scope, and codes found twice in one run."""
     keys = ["run_id", "provider_code", "language"]
-    # A run has few scopes and one of them may hold most rows: broadcast when counted small.
-    allowed = broadcast_if_small(scopes.select(*keys).distinct())
+    allowed = scopes.select(*keys).distinct()
     outside = cands.join(allowed, keys, "left_anti").select(
         "run_id", "dataset_code", F.lit("outside_scope").alias("rule")
     )

@@ -23,7 +23,7 @@ def outcomes(resolved: DataFrame) -> DataFrame:
     kind = classify(F.col("should_fetch"), F.col("error"))
     return (
         resolved.withColumn("outcome", kind)
-        .withColumn("error", F.when(F.col("outcome") == "failed", fn.clip(F.col("error"))))
+        .withColumn("error", F.when(F.col("outcome") == "failed", F.col("error")))
         .withColumn("documents", F.when(F.col("outcome") == "saved", F.col("documents")))
         .withColumn(
             "source_updated_at",
@@ -36,7 +36,7 @@ def outcomes(resolved: DataFrame) -> DataFrame:
 def write_partitioned(df: DataFrame, path: str, partition: str) -> None:
     """Write by partition; running the same run again replaces just that run's rows."""
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", partition).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)

@@ -43,13 +43,6 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """A table whose rows cost much CPU. A small file arrives as one split and would keep
-        one core busy; large tables have splits enough and are left as they are."""
-        df = getattr(self, name)
-        cores, splits = self.spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
-        return df if splits >= cores else df.repartition(min(cores, 8 * splits))
-
     # --- observations -------------------------------------------------------------
 
     @cached_property
@@ -80,7 +73,7 @@ class Tables:
                          F.lit(None).cast("boolean").alias("isdeleted")),
             ).alias("values"),
         )
-        return self._observed(self.spread("lineitem")).select(
+        return self._observed(self.lineitem).select(
             F.to_json(F.struct(F.array(entry).alias("values"))).alias("body")
         )
 
@@ -100,7 +93,7 @@ class Tables:
             .when(k % 5 == 3, F.concat(F.lit("Källor: "), "p_brand", F.lit(". Mer")))
             .when(k % 5 == 4, "Källa:")
         )
-        return self.spread("part").select(
+        return self.part.select(
             F.to_json(
                 F.struct(
                     F.when(k % 97 == 5, "  ").otherwise(
@@ -201,7 +194,7 @@ class Tables:
             F.array(F.lit("Orders"), F.col("o_orderpriority")).alias("paths"),
             F.array(F.lit("time"), F.lit(None).cast("string"), F.lit("value")).alias("variableNames"),
         )
-        return self.spread("orders").select(
+        return self.orders.select(
             "o_orderkey", div("o_orderkey", 10_000).cast("string").alias("scope"),
             (div("o_orderkey", 1000) % 10 + 1).cast("int").alias("page_no"), entry.alias("entry"),
         )

@@ -1,7 +1,10 @@
 """Whole runs: landed responses and stored state in, one outcome per dataset out.
 
-Each run is one Spark job over all datasets of its scope. Fetching stays outside: whatever
-was landed is read here, and a dataset whose responses break a rule fails on its own.
+Fetching stays outside: whatever was landed is read here. A dataset whose responses break a rule
+fails on its own. What puts the whole listing in doubt (a fatal response, a missing page, a broken
+page chain, a dataset listed twice, conflicting groups, an unknown scope) refuses the run: every
+dataset that was due then fails with that one error, and none is saved from half a listing.
+Each table is reduced to one row per dataset before any join, so repeats never multiply.
 
 Tables used several times (selection, parsed axes, presence) are checkpointed in the shared
 folder: landed bodies are parsed once, and a lost executor costs no more than its tasks.
@@ -21,7 +24,7 @@ from kartotek import schemas
 from kartotek.operators import (
     catalog, dimensions, documents, enrich, incremental, kpi, presence, quality, sinks,
 )
-from kartotek.operators.numbering import first_per, range_bounds
+from kartotek.operators.numbering import range_bounds
 from kartotek.sources import html, landed
 from kartotek.session import configure, cut_lineage
 from kartotek.sources import kpi as kpi_source
@@ -43,7 +46,34 @@ class Run:
 
 
 def feed(raw: DataFrame, *names: str) -> DataFrame:
-    return raw.filter(F.col("feed").isin(*names))
+    """Usable responses of the named feeds."""
+    return raw.filter(F.col("feed").isin(*names) & F.coalesce(F.col("status").between(200, 299), F.lit(False)))
+
+
+def unanswered(raw: DataFrame, names: list[str], below_root: Column | None = None) -> DataFrame:
+    """(rule, path) of the named feeds with a response that is fatal: no success, and no
+    tolerated gap (400 or 404 where ``below_root`` holds)."""
+    root = F.lit(True) if below_root is None else ~below_root
+    kind = landed.response_class(F.coalesce("status", F.lit(0)), root)
+    return raw.filter(F.col("feed").isin(*names) & (kind == "fatal")).select(
+        F.lit("response").alias("rule"), F.concat_ws("/", "feed", F.col("status").cast("string")).alias("path"))
+
+
+def listed_twice(candidates: DataFrame) -> DataFrame:
+    return candidates.groupBy(KEY).agg(F.count("*").alias("_n")).filter("_n > 1").select(
+        F.lit("duplicate").alias("rule"), F.concat_ws("/", F.lit("discovery"), F.col(KEY)).alias("path"))
+
+
+def run_error(*faults: DataFrame) -> str | None:
+    """The first fault of the run, by table and path: one row reaches the driver."""
+    ranked = [t.select(F.lit(i).alias("rank"), "path", "rule") for i, t in enumerate(faults)]
+    found = reduce(DataFrame.unionByName, ranked).agg(F.min(F.struct("rank", "path", "rule")).alias("f")).first()["f"]
+    return None if found is None else f"{found['path']}: {found['rule']}"
+
+
+def one_each(df: DataFrame) -> DataFrame:
+    """One row per dataset; which of equal codes stays is open, for the run is refused then."""
+    return df.dropDuplicates([KEY])
 
 
 def absent(kind: str) -> Column:
@@ -58,30 +88,54 @@ def _first_faults(*tables: DataFrame) -> DataFrame:
     return first.select(KEY, F.concat_ws(": ", "f.path", "f.rule").alias("fault"))
 
 
-def _outcomes(run: Run, selection: DataFrame, pairs: DataFrame, faults: DataFrame) -> DataFrame:
-    """Classify every selected dataset; one without a finished pair has failed."""
+def _outcomes(run: Run, selection: DataFrame, pairs: DataFrame, faults: DataFrame, refused: str | None) -> DataFrame:
+    """Classify every selected dataset, once; one without a finished pair has failed, and one
+    beyond the limit of attempts is deferred."""
     joined = (
-        selection.select("provider_code", KEY, "language", "should_fetch", F.col("updated").alias("source_updated_at"))
-        .join(documents.to_json_pair(pairs).select(KEY, "documents"), KEY, "left")
+        one_each(selection).select(
+            "provider_code", KEY, "language", "should_fetch", "attempt_no", "deferred",
+            F.col("updated").alias("source_updated_at"))
+        .join(documents.to_json_pair(one_each(pairs)).select(KEY, "documents"), KEY, "left")
         .join(faults, KEY, "left")
     )
-    error = F.coalesce("fault", F.when(F.col("documents").isNull(), F.lit("no usable metadata landed")))
-    return sinks.outcomes(
+    error = F.coalesce(
+        F.lit(refused).cast("string"), "fault", F.when(F.col("documents").isNull(), F.lit("no usable metadata landed")))
+    done = sinks.outcomes(
         joined.withColumn("run_id", F.lit(run.run_id))
         .withColumn("error", F.when(F.col("should_fetch"), error))
         .drop("fault")
     )
+    kept = [c for c in ("error", "documents", "source_updated_at")]
+    return done.withColumns({c: F.when(~F.col("deferred"), F.col(c)) for c in kept}).withColumn(
+        "outcome", F.when(F.col("deferred"), F.lit("deferred")).otherwise(F.col("outcome"))).drop("deferred")
 
 
 def _bounded(run: Run, selection: DataFrame, order: list[str]) -> DataFrame:
+    selection = cut_lineage(selection)
     if run.limit is None:
-        return cut_lineage(selection)
+        return selection.withColumn("attempt_no", absent("bigint")).withColumn("deferred", F.lit(False))
     bounds = range_bounds(selection, order[0], 64)
     return cut_lineage(
         incremental.bounded(selection, ["provider_code", "language"], order, run.limit, bounds)
     )
 
 
+def _document_faults(chosen: DataFrame, dims: DataFrame, details: DataFrame, cats: DataFrame) -> list[DataFrame]:
+    """Rules of the finished documents: identity, fields, open fields, units and places."""
+    texts = chosen.withColumns({
+        "updated": F.date_format("updated", "yyyy-MM-dd'T'HH:mm:ss'Z'"), "source_url": F.col("web_url"), "doc_url": absent("string")})
+    unit = F.col("unit")
+    maps = details.select(
+        KEY, "dim_id", "cat_id", F.get("coordinates", F.lit(0)).alias("lon"), F.get("coordinates", F.lit(1)).alias("lat"),
+        F.try_variant_get(unit, "$.position", "string").alias("position"), F.try_variant_get(unit, "$.decimals", "int").alias("decimals"))
+    nested = dims.filter("nested_fault").select(KEY, F.lit("nested").alias("rule"), F.lit("extension/extension").alias("path"))
+    return [
+        quality.check_dataset(texts, [KEY]), nested,
+        quality.check_category_maps(maps, [KEY, "dim_id"]),
+        quality.unknown_keys(maps, cats, [KEY, "dim_id"], "category"),
+    ]
+
+
 def _structure_faults(axes: DataFrame, cats: DataFrame) -> DataFrame:
     sized = cats.groupBy(KEY, "dim_id").agg(F.count("*").alias("n_values"))
     dims = axes.select(KEY, "dim_id").join(sized, [KEY, "dim_id"], "left")
@@ -91,13 +145,20 @@ def _structure_faults(axes: DataFrame, cats: DataFrame) -> DataFrame:
 def tables_v2(raw: DataFrame, state: DataFrame, run: Run, api_url: str, web_url: str | None = None) -> DataFrame:
     """Listing pages and JSON-stat2 metadata of one scope."""
     configure(raw.sparkSession)
-    listing = landed.listing_v2(feed(raw, "listing"))
+    pages = feed(raw, "listing")
+    listing = landed.listing_v2(pages)
     candidates = catalog.candidates_v2(listing, api_url, web_url, run.language).withColumn(
         "provider_code", F.lit(run.provider_code)
     )
-    selection = _bounded(run, incremental.select_by_timestamp(candidates, state, run.force), ["page_no", "item_pos"])
+    missing = catalog.listing_complete(landed.listing_pages(pages)).filter(~F.col("complete")).select(
+        F.lit("incomplete").alias("rule"), F.lit("listing").alias("path"))
+    refused = run_error(unanswered(raw, ["listing"]), missing, listed_twice(candidates))
+    selection = _bounded(run, incremental.select_by_timestamp(one_each(candidates), state, run.force), ["page_no", "item_pos"])
     code = fn.pct_decode(F.regexp_extract("url", r"/tables/([^/?]+)/metadata", 1))
-    payloads = landed.metadata_v2(feed(raw, "metadata").withColumn(KEY, code))
+    payloads = one_each(landed.metadata_v2(feed(raw, "metadata").withColumn(KEY, code)))
+    no_answer = raw.filter(F.col("feed") == "metadata").withColumn(KEY, code).filter(
+        ~F.coalesce(F.col("status").between(200, 299), F.lit(False))).select(
+        KEY, F.lit("response").alias("rule"), F.concat_ws("/", F.lit("metadata"), F.col("status").cast("string")).alias("path"))
     axes = cut_lineage(dimensions.axes_v2(payloads))
     dims, cats = dimensions.dimensions_v2(axes)
     details = dimensions.category_details(axes)
@@ -120,13 +181,19 @@ def tables_v2(raw: DataFrame, state: DataFrame, run: Run, api_url: str, web_url:
     clashes = payloads.select(
         KEY, fn.role_conflicts(fn.normalize_role(F.try_parse_json(p["role"]))).alias("_c")
     )
+    role = F.explode(F.map_from_arrays(F.array(*map(F.lit, fn.ROLES)), F.array(*[F.col("_r")[r] for r in fn.ROLES])))
+    buckets = payloads.select(KEY, fn.normalize_role(F.try_parse_json(p["role"])).alias("_r")).select(KEY, role.alias("role", "_ids"))
+    roles = buckets.select(KEY, "role", F.posexplode("_ids").alias("role_pos", "dim_id"))
     faults = _first_faults(
+        no_answer.filter(F.col(KEY) != ""),
         quality.check_axes(lists, [KEY]),
         quality.check_categories(cats, [KEY, "dim_id"]),
         _structure_faults(axes, cats),
         quality.violations(clashes, [KEY], [("two_roles", "role", F.size("_c") > 0)]),
+        quality.check_roles(dims, roles, KEY),
+        *_document_faults(chosen, dims, details, cats),
     )
-    return _outcomes(run, selection, pairs, faults)
+    return _outcomes(run, selection, pairs, faults, refused)
 
 
 def v1_tables(raw: DataFrame, api_url: str, web_url: str | None) -> DataFrame:
@@ -143,9 +210,9 @@ def v1_tables(raw: DataFrame, api_url: str, web_url: str | None) -> DataFrame:
     unusable = flat.isEmpty() or not landed.flat_faults(flat).isEmpty()
     if web_url is None or unusable or pages.isEmpty():
         return walked()
-    web = html.web_catalog(pages).filter(
-        F.col("table_id").isNotNull() & fn.within_root(F.col("href"), F.lit(web_url))
-    )
+    web = html.web_catalog(pages).filter(fn.within_root(F.col("href"), F.lit(web_url)))
+    if not web.filter(F.col("table_id").isNull()).isEmpty():  # a link without an id: the tree is no catalogue
+        return walked()
     nav = catalog.web_only_metadata(web, flat, entries)
     matched = catalog.match_metadata(web, flat, nav)
     if matched.isEmpty():
@@ -169,9 +236,10 @@ def _folder_of(api_url: str) -> Column:
 
 
 def tables_v1(
-    raw: DataFrame, state: DataFrame, run: Run, api_url: str, web_url: str | None = None, cell_limit: int = 5000
+    raw: DataFrame, state: DataFrame, run: Run, api_url: str, web_url: str | None = None, cell_limit: int | None = None
 ) -> DataFrame:
-    """Catalogue, metadata and samples of one database."""
+    """Catalogue, metadata and samples of one database. ``cell_limit`` is what the samples were asked
+    with: two categories of each axis, or one where that would be more cells; None: never cut."""
     configure(raw.sparkSession)
     tables = cut_lineage(v1_tables(raw, api_url, web_url))
     found, paths = catalog.collapse_occurrences(tables)
@@ -187,7 +255,9 @@ def tables_v1(
         .withColumn("metadata_url", address).withColumn("data_url", address).withColumn("adapter", F.lit("pxweb_v1"))
         .withColumn("order_key", F.lower(KEY))
     )
-    selection = _bounded(run, incremental.select_by_timestamp(candidates, state, run.force), ["order_key", KEY])
+    root = F.regexp_replace(F.regexp_replace("url", r"\?.*$", ""), "/+$", "") == api_url.rstrip("/")
+    refused = run_error(unanswered(raw, ["nav"], ~root), listed_twice(candidates))
+    selection = _bounded(run, incremental.select_by_timestamp(one_each(candidates), state, run.force), ["order_key", KEY])
 
     owner = selection.select(KEY, F.col("metadata_url").alias("url"))
     answers = feed(raw, "metadata").join(owner, "url")
@@ -196,10 +266,12 @@ def tables_v1(
     spans = dimensions.v1_periods(dims, cats)
     sizes = cats.groupBy(KEY, "pos", "dim_id").agg(F.count("*").alias("n"))
     keep = dimensions.sample_selection(sizes, KEY, cell_limit).select(KEY, "dim_id", "keep")
-    wanted = cats.filter("ordinal < 2").join(keep, [KEY, "dim_id"]).filter("ordinal < keep").groupBy(KEY, "dim_id").agg(
+    wanted = cats.join(keep, [KEY, "dim_id"]).filter("ordinal < keep").groupBy(KEY, "dim_id").agg(
         F.array_sort(F.collect_list("cat_id")).alias("cat_ids"))
-    real = cats.filter(F.col("dim_id") == enrich.CONTENTS).filter("ordinal < 2").groupBy(KEY).agg(F.collect_list("cat_id").alias("contents"))
-    samples = landed.sample_v1(feed(raw, "sample").join(owner, "url"))
+    # Only whether the contents axis has exactly one code matters, and then which.
+    codes = cats.filter(F.col("dim_id") == enrich.CONTENTS).groupBy(KEY).agg(F.count("*").alias("_n"), F.min("cat_id").alias("_first"), F.max("cat_id").alias("_last"))
+    real = codes.select(KEY, F.when(F.col("_n") == 1, F.array("_first")).otherwise(F.array("_first", "_last")).alias("contents"))
+    samples = one_each(landed.sample_v1(feed(raw, "sample").join(owner, "url")))
     fixed = cut_lineage(
         enrich.fix_placeholder(samples.withColumn("_all", F.col("sample")).join(real, KEY, "left"))
     )
@@ -231,7 +303,22 @@ def tables_v1(
     faults = _first_faults(
         _structure_faults(dims, cats), quality.check_categories(cats, [KEY, "dim_id"]),
         quality.check_sample(wanted, fixed, KEY), missing, placeholders)
-    return _outcomes(run, selection, pairs, faults)
+    return _outcomes(run, selection, pairs, faults, refused)
+
+
+KPI_FEEDS = ["kpi", "kpi_groups", "municipality", "ou", "data", "oudata", "changes"]
+
+
+def _broken_chains(raw: DataFrame) -> DataFrame:
+    """Requests whose pages do not hang together, or with a page that cannot be read whole. A
+    request is its address without the page number."""
+    request = F.concat_ws(" ", "feed", F.regexp_replace("url", r"([?&])page=\d+&?", "$1"))
+    links = landed.page_links(feed(raw, *KPI_FEEDS).withColumn("feed", request))
+    broken = catalog.chain_status(links).filter(~F.col("complete")).select(
+        F.lit("incomplete").alias("rule"), F.substring_index("feed", " ", 1).alias("path"))
+    unread = links.filter("fault is not null").select(
+        F.concat(F.lit("unusable "), "fault").alias("rule"), F.substring_index("feed", " ", 1).alias("path"))
+    return unread.unionByName(broken)
 
 
 def kpis(raw: DataFrame, state: DataFrame, run: Run) -> DataFrame:
@@ -243,17 +330,26 @@ def kpis(raw: DataFrame, state: DataFrame, run: Run) -> DataFrame:
         return entries.select("url", F.to_json("value").alias("body"))
 
     year = run.started_at.year
-    groups = first_per(kpi_source.kpi_groups(values("kpi_groups")), ["group_id"], [F.lit(0)])
-    listed = cut_lineage(kpi.with_groups(kpi_source.kpis(values("kpi")), groups))
+    groups = cut_lineage(kpi_source.kpi_groups(values("kpi_groups")).distinct())
+    once = groups.dropDuplicates(["group_id"])  # unequal repeats refuse the run
+    listed = cut_lineage(kpi.with_groups(kpi_source.kpis(values("kpi")), once))
     areas, units = kpi_source.areas(values("municipality")), kpi_source.units(values("ou"))
     candidates = kpi.candidates_kpi(listed, year).withColumn("provider_code", F.lit(run.provider_code)).withColumn(
         "updated", absent("timestamp"))
     changes = values("changes").select(
-        F.get_json_object("body", "$.kpi").alias("kpi_id"), F.when(F.col("url").contains("/oudata/"), "oudata").otherwise("data").alias("kind"))
+        fn.strip(F.get_json_object("body", "$.kpi")).alias("kpi_id"), F.when(F.col("url").contains("/oudata/"), "oudata").otherwise("data").alias("kind"))
+    refused = run_error(
+        unanswered(raw, KPI_FEEDS), _broken_chains(raw),
+        groups.filter("fault is not null").select(F.lit("malformed").alias("rule"), F.concat_ws("/", F.lit("kpi_groups"), "group_id").alias("path")),
+        kpi.conflicting_groups(groups.filter("fault is null")).select(F.lit("conflict").alias("rule"), F.concat_ws("/", F.lit("kpi_groups"), "group_id").alias("path")),
+        kpi.unknown_scopes(listed.filter("scope_type is not null")).select(F.lit("enum").alias("rule"), F.concat_ws("/", F.lit("kpi"), "kpi_id").alias("path")),
+        changes.filter(~fn.has_id(F.col("kpi_id"))).select(F.lit("blank").alias("rule"), F.lit("changes/kpi").alias("path")),
+        listed_twice(candidates),
+    )
     selection = _bounded(
         run,
         incremental.select_by_window(
-            candidates, state, changes, F.lit(run.started_at).cast("timestamp"), F.lit(run.checkpoint).cast("timestamp"), F.lit(run.force)),
+            one_each(candidates), state, changes, F.lit(run.started_at).cast("timestamp"), F.lit(run.checkpoint).cast("timestamp"), F.lit(run.force)),
         ["kpi_id", "kind"])
 
     seen = []
@@ -286,9 +382,5 @@ def kpis(raw: DataFrame, state: DataFrame, run: Run) -> DataFrame:
     pairs = documents.dataset_doc(chosen, spans).join(documents.metadata_doc(chosen, nested), KEY)
     empty = chosen.select(KEY).join(spans.select(KEY), KEY, "left_anti").select(
         KEY, F.lit("no live values").alias("rule"), F.lit("dimension").alias("path"))
-    return _outcomes(run, selection, pairs, _first_faults(empty))
-
+    return _outcomes(run, selection, pairs, _first_faults(empty), refused)
 
-def complete(pages: DataFrame) -> bool:
-    """Whether every scope's listing is whole; only then may the checkpoint move."""
-    return catalog.listing_complete(pages).filter(~F.col("complete")).isEmpty()

@@ -26,7 +26,7 @@ def fn_parse_ts(t: Tables):
         .when(k == 7, F.concat(F.lit(" "), day, F.lit(" 00:30:00.000-01:00 "))).when(k == 8, F.concat(day, F.lit("T25:00:00")))
         .otherwise(F.concat(F.year(F.date_trunc("week", d) + F.expr("interval 3 days")).cast("string"), F.lit("-W"), F.lpad(F.weekofyear(d).cast("string"), 2, "0"),
                             F.lit("-"), (F.weekday(d) + 1).cast("string"))))
-    return t.spread("orders").select("o_orderkey", text_of(fn.parse_ts(text)).alias("parsed"))
+    return t.orders.select("o_orderkey", text_of(fn.parse_ts(text)).alias("parsed"))
 
 
 @query("fn_coerce_bool", sql="""
@@ -47,7 +47,7 @@ UNION ALL SELECT doc_id, 0, NULL FROM documents WHERE doc_id % 5 = 4""")
 def fn_note(t: Tables):
     d = F.col("doc_id")
     raw = F.when(d % 5 == 4, F.lit(" ").cast("variant")).when(d % 2 == 0, F.col("text").cast("variant")).otherwise(F.split("text", "\n").cast("variant"))
-    return t.spread("documents").select("doc_id", fn.normalize_note(raw).alias("l")).select(
+    return t.documents.select("doc_id", fn.normalize_note(raw).alias("l")).select(
         "doc_id", F.coalesce(F.size("l"), F.lit(0)).cast("bigint").alias("n"), F.md5(F.array_join("l", "|")).alias("notes"))
 
 
@@ -76,7 +76,7 @@ SELECT doc_id, length(clean)::bigint AS n, md5(clean) AS digest FROM (
   SELECT doc_id, trim(regexp_replace(replace(text || '\n end', '\n', ' '), '{SPACE}', ' ', 'g')) AS clean FROM documents)""")
 def fn_text(t: Tables):
     clean = fn.normalize_text(F.concat("text", F.lit("\\n end")))
-    return t.spread("documents").select("doc_id", clean.alias("c")).select("doc_id", F.length("c").cast("bigint").alias("n"), F.md5("c").alias("digest"))
+    return t.documents.select("doc_id", clean.alias("c")).select("doc_id", F.length("c").cast("bigint").alias("n"), F.md5("c").alias("digest"))
 
 
 _WORD = r"[^\pL\pN_]"
@@ -91,7 +91,7 @@ _SHORT = r"(?i)((?:^|" + _WORD + r")(?:t\.ex|bl\.a|m\.fl|m\.m|d\.v\.s|s\.k|o\.s\
 SELECT doc_id, CASE WHEN x = '' THEN 'Kolada' ELSE x END AS source, CASE WHEN x = '' THEN 'fallback' ELSE 'description' END AS origin FROM cut""")
 def fn_source_clause(t: Tables):
     clause = fn.source_clause(F.col("text"), F.lit(None).cast("string"), "license|source|copyright")
-    return t.spread("documents").select("doc_id", clause.alias("c")).select("doc_id", "c.source", "c.origin")
+    return t.documents.select("doc_id", clause.alias("c")).select("doc_id", "c.source", "c.origin")
 
 
 @query("fn_retired_year", KPIS, sql="SELECT kpi_id, coalesce(retired, 0)::bigint AS retired, coalesce(retired <= 2026, false) AS discontinued FROM kpis")
@@ -107,13 +107,13 @@ def fn_subject_code(t: Tables):
 
 
 @query("fn_pct_encode", sql="""
-SELECT doc_id, length(url_encode(text))::bigint AS n, md5(url_encode(text)) AS encoded, md5(url_encode(left(url_encode(source || ' å+'), 40))) AS twice,
+SELECT doc_id, length(url_encode(text))::bigint AS n, md5(url_encode(text)) AS encoded, md5(url_encode(url_encode(source || ' å+'))) AS twice,
        url_encode(source || ' å+') AS once FROM documents""")
 def fn_pct_encode(t: Tables):
     short = F.concat("source", F.lit(" å+"))
-    return t.spread("documents").select(
+    return t.documents.select(
         "doc_id", F.length(fn.pct_encode(F.col("text"))).cast("bigint").alias("n"), F.md5(fn.pct_encode(F.col("text"))).alias("encoded"),
-        F.md5(fn.pct_encode(F.substring(fn.pct_encode(short), 1, 40))).alias("twice"), fn.encode_segment(fn.pct_encode(short)).alias("once"))
+        F.md5(fn.pct_encode(fn.pct_encode(short))).alias("twice"), fn.encode_segment(fn.pct_encode(short)).alias("once"))
 
 
 def _kept(part: str, safe: str) -> str:
@@ -180,7 +180,7 @@ def fn_strip_prefix(t: Tables):
 SELECT word, regexp_replace(replace(lower(strip_accents(word)), 'ß', 'ss'), '[^\pL\pN]', '', 'g') AS key FROM words WHERE word <> ''""")
 def fn_normalize_id(t: Tables):
     """Keys of every distinct word of all texts."""
-    words = t.spread("documents").select(F.explode(F.split("text", r"(?U)[\s\x1c-\x1f]+")).alias("word")).filter("word <> ''").distinct()
+    words = t.documents.select(F.explode(F.split("text", r"(?U)[\s\x1c-\x1f]+")).alias("word")).filter("word <> ''").distinct()
     return words.select("word", fn.normalize_id(F.col("word")).alias("key"))
 
 
@@ -244,7 +244,7 @@ def fn_extras(t: Tables):
     body = F.concat(F.expr("substring(props, 1, length(props) - 1)"), F.lit(',"none":null,"kind":"'), "event_type", F.lit('","extension":'), inner, F.lit("}"))
     parts = fn.split_extras(fn.as_map(F.try_parse_json(body)), ("k",))
     x = F.col("x")
-    return t.spread("events").select("event_id", parts.alias("x")).select(
+    return t.events.select("event_id", parts.alias("x")).select(
         "event_id", F.array_join(F.map_keys(x["fields"]), ",").alias("fields"), F.element_at(x["fields"], "k").try_cast("string").alias("k"),
         F.array_join(F.array_sort(F.map_keys(x["extension"])), ",").alias("extension_keys"),
         F.element_at(x["extension"], "kind").try_cast("string").alias("kind"), F.array_join(x["conflicts"], ",").alias("conflicts"))
@@ -274,10 +274,13 @@ SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN source WHEN doc_id % 3 = 0 THEN lan
 def fn_first_nonblank(t: Tables):
     d = F.col("doc_id")
     found = fn.first_nonblank(F.when(d % 2 == 0, F.col("source")).otherwise(" \t"), F.when(d % 3 == 0, F.concat(F.lit(" "), "lang")), F.col("text"))
-    return t.spread("documents").select("doc_id", found.alias("found"))
+    return t.documents.select("doc_id", found.alias("found"))
 
 
-@query("fn_clip", sql="SELECT doc_id, length(left(text, 4000))::bigint AS n, md5(left(text, 4000)) AS digest FROM documents")
+@query("fn_clip", sql="""
+SELECT doc_id, length(text)::bigint AS n, greatest(ceil(length(text) / 4000.0), 1)::bigint AS n_pieces, md5(text) AS digest FROM documents""")
 def fn_clip(t: Tables):
-    """Error texts are stored up to 4 000 characters; that limit is the function."""
-    return t.documents.select("doc_id", fn.clip(F.col("text")).alias("c")).select("doc_id", F.length("c").cast("bigint").alias("n"), F.md5("c").alias("digest"))
+    """Long texts in pieces of 4 000 characters that join to the whole text again."""
+    joined = F.array_join("c", "")
+    return t.documents.select("doc_id", fn.pieces(F.col("text")).alias("c")).select(
+        "doc_id", F.length(joined).cast("bigint").alias("n"), F.size("c").cast("bigint").alias("n_pieces"), F.md5(joined).alias("digest"))

@@ -77,7 +77,7 @@ def src_html_tree(t: Tables):
     marked = F.regexp_replace(
         F.regexp_replace("html", '<li><a href="/', '<li class="x AspNet-TreeView-Leaf"><a href="/db__nav/'),
         "<nav><ul>", '<nav><ul><li class="AspNet-TreeView-Root"> Start<ul>')
-    found = html.web_catalog(t.spread("pages").select("url", marked.alias("html")))
+    found = html.web_catalog(t.pages.select("url", marked.alias("html")))
     return found.select(
         "url", F.col("item_pos").cast("bigint"), "table_id",
         F.element_at("category_ids", 1).alias("category"),
@@ -223,7 +223,7 @@ def document_pairs(t: Tables):
         identity.alias("identity"), F.array(F.lit("Tid")).alias("id"), F.create_map(F.lit("Tid"), axis).alias("dimension"),
         F.struct(F.array(F.lit("Tid")).alias("time")).alias("role"),
         F.struct(F.col("o_orderpriority").alias("label")).alias("subject"))
-    return t.spread("orders").select(F.to_json(F.struct(dataset.alias("dataset"), metadata.alias("metadata"))).alias("body"))
+    return t.orders.select(F.to_json(F.struct(dataset.alias("dataset"), metadata.alias("metadata"))).alias("body"))
 
 
 @query("src_documents", sql=f"""
@@ -245,7 +245,7 @@ def src_documents(t: Tables):
 
 @query("snk_outcomes", sql="""
 SELECT strftime(ts, '%Y%m%d') AS run_id, event_id, CASE WHEN event_type = 'view' THEN 'skipped' WHEN event_type = 'error' THEN 'failed' ELSE 'saved' END AS outcome,
-       (CASE WHEN event_type = 'error' THEN 4000 ELSE 0 END)::bigint AS error_length, event_type NOT IN ('view', 'error') AS has_documents FROM events""")
+       (CASE WHEN event_type = 'error' THEN 5000 ELSE 0 END)::bigint AS error_length, event_type NOT IN ('view', 'error') AS has_documents FROM events""")
 def snk_outcomes(t: Tables):
     """Written by run, twice over, and read back: the second write replaces the first."""
     kind = F.col("event_type")

@@ -2,15 +2,9 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: A side is broadcast only when it is counted and found below this many rows.
-BROADCAST_ROW_LIMIT = 200_000
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -24,7 +18,8 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is set (tests)."""
+    """The cluster's shared folder (``spark.checkpoint.dir``); where none is set, as in local
+    tests, a folder of the warehouse, which every executor sees too."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
@@ -33,9 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp"))
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
@@ -52,8 +45,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only after counting it (the count stops just past ``limit``)."""
-    small = df.limit(limit + 1).count() <= limit
-    return F.broadcast(df) if small else df

@@ -78,8 +78,6 @@ def test_walk(spark):
          ("/lost/x", 0, "no.px", "no", "t", None), ("/lost", 0, "x", "x", "l", None)], NAV)
     got = {(r.path, r.id): (r.title, [c.name for c in r.categories]) for r in catalog.walk(entries).collect()}
     assert got == {("/a/b", "T.px"): ("Table", ["First", "B"]), ("/", "root.px"): ("root.px", [])}
-    assert catalog.folder_overflow(entries, 4).count() == 0
-    assert catalog.folder_overflow(entries, 3).first().folders == 4
 
 
 def test_tree_page(spark):

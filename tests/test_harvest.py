@@ -47,7 +47,8 @@ def test_tables_v2(spark):
     assert meta["metadata_url"] == "https://x.org/%C3%A5" and meta["subject"] == {"label": "Area"} and meta["contact"][0]["raw"] == "call"
     assert [n["code"] for n in meta["paths"][0]["path"]] == ["A", "B"] and "contact" not in meta["extension"]
     few = outcomes(harvest.tables_v2(raw, known, harvest.Run("r1", "demo", "sv", START, limit=2), "https://a.org", "https://w.org"))
-    assert set(few) == {"T1", "T2"}
+    assert {c: (r.outcome, r.attempt_no) for c, r in few.items()} == {
+        "T1": ("saved", 1), "T2": ("failed", 2), "T3": ("skipped", None), "T4": ("deferred", 3), "T5": ("deferred", 4)}
 
 
 PAGE = """<ul><li class="AspNet-TreeView-Root">Db<ul><li class="AspNet-TreeView-Parent">BE. Befolkning<ul>
@@ -118,3 +119,57 @@ def test_kpis(spark):
     later = harvest.Run("r2", "demo", "sv", START, checkpoint=START - timedelta(days=2))
     again = outcomes(harvest.kpis(land(spark, kpi_rows(2025, True)), recent, later))
     assert {c: r.outcome for c, r in again.items()} == {"N1": "skipped", "N1_OU": "failed", "N2": "skipped"}
+
+
+GOOD = {"id": ["Tid"], "role": {"time": ["Tid"]}, "dimension": {"Tid": {"category": {"index": ["2024"]}}}}
+
+
+def v2_run(spark, tables, bodies, listing_status=200, total=1):
+    rows = [("s", "listing", "l", listing_status, START, 1, json.dumps({"tables": tables, "page": {"pageNumber": 1, "totalPages": total}}))]
+    rows += [("s", "metadata", f"https://a.org/tables/{c}/metadata?lang=sv", status, START, 1, json.dumps(body)) for c, status, body in bodies]
+    raw = spark.createDataFrame(rows, schemas.RAW_RESPONSE)
+    return outcomes(harvest.tables_v2(raw, state(spark), harvest.Run("r", "demo", "sv", START), "https://a.org"))
+
+
+def table(code):
+    return {"id": code, "updated": "2024-01-02"}
+
+
+def test_a_run_is_refused_for_what_its_listing_lacks(spark):
+    whole = [("A", 200, GOOD), ("B", 200, GOOD)]
+    got = v2_run(spark, [table("A"), table("A"), table("B")], whole + whole[:1])
+    assert {c: (r.outcome, r.error) for c, r in got.items()} == dict.fromkeys("AB", ("failed", "discovery/A: duplicate"))
+    got = v2_run(spark, [table("A")], whole, total=3)
+    assert {c: (r.outcome, r.error) for c, r in got.items()} == {"A": ("failed", "listing: incomplete")}
+    assert v2_run(spark, [table("A")], whole, listing_status=500) == {}
+
+
+def test_document_rules_fail_their_dataset(spark):
+    def with_category(**category):
+        return {**GOOD, "dimension": {"Tid": {"category": {"index": ["2024"], **category}}}}
+
+    bodies = {
+        "OK": (200, GOOD), "ERR": (503, GOOD), "DEC": (200, with_category(unit={"2024": {"decimals": -1}})),
+        "LON": (200, with_category(coordinates={"2024": [999.0, 1.0]})), "ROLE": (200, {**GOOD, "role": {"time": ["Nope"]}}),
+        "KEY": (200, with_category(coordinates={"1999": [1.0, 1.0]})),
+        "NEST": (200, {**GOOD, "dimension": {"Tid": {"category": {"index": ["2024"]}, "extension": {"extension": {"x": 1}}}}}),
+    }
+    got = v2_run(spark, [table(c) for c in bodies], [(c, *b) for c, b in bodies.items()])
+    assert {c: r.error for c, r in got.items()} == {
+        "OK": None, "ERR": "metadata/503: response", "DEC": "unit/decimals: range", "LON": "coordinates/lon: range",
+        "ROLE": "role: unknown_axis", "KEY": "category: unknown_category", "NEST": "extension/extension: nested"}
+
+
+@pytest.mark.parametrize("change, error", [
+    (("kpi", "k", 1, envelope({"id": "N1", "title": "Ett"}, {"id": "N1", "title": "Ett"})), "discovery/N1: duplicate"),
+    (("kpi", "k", 1, {"values": [{"id": "N1", "title": "Ett"}], "next_url": "?page=2"}), "kpi: incomplete"),
+    (("kpi", "k", 1, {"values": [{"id": "N1", "title": "Ett"}, "x"], "next_url": None}), "kpi: unusable values"),
+    (("kpi", "k", 1, envelope({"id": "N1", "title": "Ett", "municipality_type": "Q"})), "kpi/N1: enum"),
+    (("changes", "https://x/data/municipality/1", 1, envelope({"kpi": " "})), "changes/kpi: blank"),
+    (("kpi_groups", "g", 1, envelope({"id": "G", "title": "A", "members": []}, {"id": "G", "title": "B", "members": []})), "kpi_groups/G: conflict"),
+])
+def test_a_kpi_run_is_refused(spark, change, error):
+    rows = [r for r in kpi_rows(2024) if r[0] != change[0]] + [change]
+    got = outcomes(harvest.kpis(land(spark, rows), state(spark), harvest.Run("r", "demo", "sv", START)))
+    assert {(r.outcome, r.error) for r in got.values()} in ({("failed", error)}, set())
+    assert got or error == "kpi: unusable values"

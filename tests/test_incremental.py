@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kartotek.operators import incremental, quality, sinks
-from kartotek.session import broadcast_if_small, fresh_dir
+from kartotek.session import fresh_dir
 from kartotek.streaming import outcomes as streams
 
 T = datetime(2026, 6, 1, 12)
@@ -57,8 +57,9 @@ def test_select_by_window(spark):
 @pytest.mark.parametrize("bounds", [None, [3, 8], [6]])
 def test_bounded_attempts(spark, bounds):
     rows = spark.createDataFrame([("s", i, i >= 5) for i in range(15)], "scope string, pos int, should_fetch boolean").repartition(4)
-    got = sorted(r.pos for r in incremental.bounded(rows, ["scope"], ["pos"], 3, bounds).collect())
-    assert got == list(range(8))  # five free skips, then attempts 5, 6 and 7
+    got = {r.pos: (r.attempt_no, r.deferred) for r in incremental.bounded(rows, ["scope"], ["pos"], 3, bounds).collect()}
+    assert got == {i: (None, False) if i < 5 else (i - 4, i > 7) for i in range(15)}  # five free skips, then 5, 6 and 7
+    assert not any(r.deferred for r in incremental.bounded(rows, ["scope"], ["pos"], None, bounds).collect())
 
 
 def test_checkpoint(spark):
@@ -125,7 +126,7 @@ def test_outcomes_are_idempotent_per_run(spark):
     sinks.write_outcomes(run("r2", None), path)
     sinks.write_outcomes(run("r1", "x" * 5000), path)
     rows = {(r.run_id, r.dataset_code): r for r in spark.read.parquet(path).collect()}
-    assert len(rows) == 6 and rows["r1", "B"].error == "x" * 4000 and rows["r1", "B"].documents is None
+    assert len(rows) == 6 and rows["r1", "B"].error == "x" * 5000 and rows["r1", "B"].documents is None
     assert [rows["r2", d].outcome for d in "ABC"] == ["saved", "saved", "skipped"] and rows["r2", "C"].source_updated_at is None
 
 
@@ -196,9 +197,3 @@ def test_registry_rules(spark):
     assert check(code="X", label={}, languages=["en"], rate=-1.0, country="se", website="x") == {
         "code", "label", "harvest/languages", "harvest/rate_limit", "country_code", "website"}
     assert check(adapter="ftp") == {"harvest/adapter"} and check(languages=[]) == {"harvest/languages"}
-
-
-def test_broadcast_only_when_counted_small(spark):
-    small, large = broadcast_if_small(spark.range(5), 5), broadcast_if_small(spark.range(6), 5)
-    assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in large._jdf.queryExecution().logical().toString().lower()

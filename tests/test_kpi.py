@@ -100,13 +100,6 @@ def test_probe_areas(spark):
     assert {r.area_id for r in kpi.probe_areas(kpis.filter("kpi_id = 'k'"), no_total).collect()} == {"0180"}
 
 
-def test_probe_areas_beyond_the_broadcast_size(spark, monkeypatch):
-    monkeypatch.setattr(kpi, "broadcast_if_small", lambda df: df)
-    areas = spark.createDataFrame([(f"{i:04d}", "t", "KL"[i % 2]) for i in range(60)], "area_id string, title string, type string")
-    kpis = spark.createDataFrame([("a", "A"), ("k", "K"), ("l", "L")], "kpi_id string, scope_type string")
-    assert {r.kpi_id: r["count"] for r in kpi.probe_areas(kpis, areas).groupBy("kpi_id").count().collect()} == {"a": 60, "k": 30, "l": 30}
-
-
 def test_probe_batches(spark):
     areas = spark.createDataFrame([(f"{i:04d}",) for i in range(30)], "area_id string")
     rows = kpi.probe_batches(areas, 2015, 2024).collect()
