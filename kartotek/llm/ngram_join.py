@@ -12,10 +12,11 @@ summed.
    candidates and not n^2. A fragment may be empty in both sets; a class has E more fragments than
    it needs, and a document with more empty ones than E is cut once more by another hash.
 3. Candidates are verified; links give components.
-4. Only components that meet others in a posting are looked at again. Members of different
-   components in one posting are compared by bit sketches that can never hide a link, first along
-   a spanning forest and then, between what is still apart, completely. What passes is verified.
-   So every pair of linked documents ends in one component, and no pair within one is needed.
+4. A posting of two members is settled then. Only components that meet others in a larger one are
+   looked at again. Members of different components in one posting are compared by bit sketches
+   that can never hide a link, first along a spanning forest and then, between what is still
+   apart, completely. What passes is verified. So every pair of linked documents ends in one
+   component, and no pair within one is needed.
 
 Defined results: no text or no words: an empty set, linked with nothing; fewer words than a
 shingle: the whole sequence is the one shingle; repeated rows link; rows with a null id make no
@@ -134,11 +135,12 @@ def _sizes(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
             [batch.column(0), _longs(sizes), _longs(names)], ["doc_id", "n_shingles", "cls"])
 
 
-_CANDIDATES = "posting long, cls long, size long, cls2 long, size2 long"
+_CANDIDATES = "posting long, cls long, size long, members long, cls2 long, size2 long"
 
 
 def _first_candidates(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Postings of one member of each posting in a slice, and the slice's own stars."""
+    """Postings of the members of a slice; where three or more of them share one, only the first
+    stays (with their number) and a star ties the others to it."""
     for batch in words.slices(batches):
         row, grams = words.shingle_sets(words.cut(batch.column(0), lower=True), size)
         sizes, names = _set_hash(row, grams, batch.num_rows)
@@ -151,55 +153,81 @@ def _first_candidates(batches: Iterator[pa.RecordBatch], size: int, percent: int
         row, keys = row[order], keys[order]
         fresh = np.ones(len(keys), bool)
         fresh[1:] = keys[1:] != keys[:-1]
-        hub = row[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]] if len(keys) else row
-        local = np.unique(np.stack([hub, row])[:, ~fresh], axis=1)
-        local = local[:, local[0] != local[1]]
+        starts = np.flatnonzero(fresh)
+        group = np.cumsum(fresh) - 1
+        members = np.diff(np.append(starts, len(keys)))[group] if len(keys) else row
+        many = members >= 3
+        stays = fresh | ~many
+        local = np.unique(np.stack([row[starts[group]], row])[:, ~stays], axis=1) if len(keys) else np.zeros((2, 0), np.int64)
         a, b = local
-        nothing = pa.nulls(int(fresh.sum()), pa.int64())
+        nothing = pa.nulls(int(stays.sum()), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.concat_arrays([_longs(keys[fresh]), _longs(names[b])]),
-             pa.concat_arrays([_longs(names[row[fresh]]), _longs(names[a])]),
-             pa.concat_arrays([_longs(sizes[row[fresh]]), _longs(sizes[a])]),
+            [pa.concat_arrays([_longs(keys[stays]), _longs(names[b])]),
+             pa.concat_arrays([_longs(names[row[stays]]), _longs(names[a])]),
+             pa.concat_arrays([_longs(sizes[row[stays]]), _longs(sizes[a])]),
+             pa.concat_arrays([_longs(np.where(many, members, 1)[stays]), _longs(np.full(len(a), 3))]),
              pa.concat_arrays([nothing, _longs(names[b])]),
              pa.concat_arrays([nothing, _longs(sizes[b])])],
-            ["posting", "cls", "size", "cls2", "size2"])
+            ["posting", "cls", "size", "members", "cls2", "size2"])
 
 
 _PAIRS = "a long, na long, b long, nb long"
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by posting: the first member of each posting with each other one."""
-    held_key = held_cls = held_size = None
-    for batch in batches:
-        key, cls, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-        tied = batch.column(3).is_valid().to_numpy(zero_copy_only=False)
-        cls2 = batch.column(3).fill_null(0).to_numpy(zero_copy_only=False)
-        size2 = batch.column(4).fill_null(0).to_numpy(zero_copy_only=False)
-        a, na, b, nb = [cls[tied]], [size[tied]], [cls2[tied]], [size2[tied]]
-        key, cls, size = key[~tied], cls[~tied], size[~tied]
+    """From rows sorted by (posting, cls): the first member of each posting with each other one,
+    and whether the posting has more than these two. Of an unfinished posting at most two rows are
+    held, or its first one once it is known to have three."""
+    held = [np.zeros(0, np.int64) for _ in range(4)]
+
+    def pairs_of(key, cls, size, members, last: bool):
+        """Pairs of the finished postings (of all if ``last``), and the rows to hold."""
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
+        at = np.flatnonzero(fresh)
+        if len(key):
+            members = np.maximum.reduceat(members, at)
+        key, cls, size = key[fresh], cls[fresh], size[fresh]
+        opens = np.ones(len(key), bool)
+        opens[1:] = key[1:] != key[:-1]
+        starts = np.flatnonzero(opens)
+        run = np.cumsum(opens) - 1
+        big = np.zeros(len(starts), bool)
         if len(key):
-            fresh = np.ones(len(key), bool)
-            fresh[1:] = key[1:] != key[:-1]
-            fresh[0] = held_key is None or key[0] != held_key
-            at = np.cumsum(fresh) - 1
-            hubs, hub_sizes = cls[fresh], size[fresh]
-            if not fresh[0]:
-                hubs, hub_sizes = np.insert(hubs, 0, held_cls), np.insert(hub_sizes, 0, held_size)
-                at += 1
-            hub, hub_size = hubs[at], hub_sizes[at]
-            other = hub != cls
-            a.append(hub[other])
-            na.append(hub_size[other])
-            b.append(cls[other])
-            nb.append(size[other])
-            held_key, held_cls, held_size = key[-1], hub[-1], hub_size[-1]
-        a, na, b, nb = map(np.concatenate, (a, na, b, nb))
+            big = (np.diff(np.append(starts, len(key))) >= 3) | (np.maximum.reduceat(members, starts) >= 3)
+        hub = starts[run] if len(key) else run
+        told = hub != np.arange(len(key))
+        keep = [x[:0] for x in (key, cls, size, members)]
+        if len(key) and not last:
+            tail = starts[-1]
+            if big[-1]:
+                keep = [key[tail:tail + 1], cls[tail:tail + 1], size[tail:tail + 1], np.array([3])]
+            else:
+                keep = [key[tail:], cls[tail:], size[tail:], members[tail:]]
+                told[tail:] = False
+        hub, other = hub[told], np.flatnonzero(told)
+        return [cls[hub], size[hub], cls[other], size[other], big[run[told]].astype(np.int64)], keep
+
+    def rows(parts):
+        a, na, b, nb, big = (np.concatenate(c) for c in zip(*parts, strict=True))
         low = a < b
-        pairs = np.stack([np.where(low, a, b), np.where(low, na, nb), np.where(low, b, a), np.where(low, nb, na)])
-        pairs = np.unique(pairs, axis=1)
-        if pairs.shape[1]:
-            yield pa.RecordBatch.from_arrays([_longs(c) for c in pairs], ["a", "na", "b", "nb"])
+        found = np.unique(np.stack([np.where(low, a, b), np.where(low, na, nb), np.where(low, b, a), np.where(low, nb, na), big]), axis=1)
+        return pa.RecordBatch.from_arrays([_longs(c) for c in found], ["a", "na", "b", "nb", "big"])
+
+    for batch in batches:
+        tied = batch.column("cls2").is_valid().to_numpy(zero_copy_only=False)
+        plain = [batch.column(c).to_numpy(zero_copy_only=False)[~tied] for c in ("posting", "cls", "size", "members")]
+        star = batch.filter(pa.array(tied))
+        ready = [star.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("cls", "size", "cls2", "size2")]
+        parts = [[*ready, np.ones(star.num_rows, np.int64)]]
+        found, held = pairs_of(*(np.concatenate(c) for c in zip(held, plain, strict=True)), last=False)
+        parts.append(found)
+        out = rows(parts)
+        if out.num_rows:
+            yield out
+    found, _ = pairs_of(*held, last=True)
+    if len(found[0]):
+        yield rows([found])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -366,7 +394,7 @@ def shingle_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     candidates = (
         texts.select("text").mapInArrow(lambda b: _first_candidates(b, size, percent), _CANDIDATES)
         .repartition(tasks, "posting").sortWithinPartitions("posting", "cls")
-        .mapInArrow(_stars, _PAIRS).distinct()
+        .mapInArrow(_stars, _PAIRS + ", big long").groupBy("a", "na", "b", "nb").agg(F.max("big").alias("big"))
     )
     candidates = written(candidates, "candidates")
     involved = candidates.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
@@ -410,7 +438,7 @@ def shingle_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
 def _close_gaps(candidates, sets, links, component, percent, tasks) -> DataFrame:
     """Step 4: all links between components that meet in a posting."""
     ends = (
-        candidates.join(component.select(F.col("cls").alias("a"), F.col("component").alias("ca")), "a")
+        candidates.where("big = 1").join(component.select(F.col("cls").alias("a"), F.col("component").alias("ca")), "a")
         .join(component.select(F.col("cls").alias("b"), F.col("component").alias("cb")), "b")
         .where("ca <> cb").select(F.explode(F.array("ca", "cb")).alias("component")).distinct()
     )
@@ -428,7 +456,7 @@ def _close_gaps(candidates, sets, links, component, percent, tasks) -> DataFrame
         met = (
             postings.groupBy("posting")
             .agg(F.count("*").alias("n"), F.min("component").alias("p"), F.max("component").alias("q"))
-            .where("p <> q").select("posting", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+            .where("p <> q AND n > 2").select("posting", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
         )
         blocks = (
             postings.join(met, "posting")
