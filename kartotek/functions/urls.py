@@ -9,7 +9,7 @@ from kartotek.functions.text import bind, strip
 
 SUBJECT_PREFIX = "kolada:operating_area:"
 
-# Characters left alone in each URL part besides letters, digits and "_.-~".
+# Characters left alone in each URL part besides letters, digits and "_.-~".
 _SAFE_PATH = "/%:@!$&'()*+,;="
 _SAFE_QUERY = "%=&/?@:!$'()*+,;"
 _SAFE_FRAGMENT = "%/?@:!$&'()*+,;="
