@@ -228,8 +228,10 @@ class Tables:
     def state(self) -> DataFrame:
         k, date = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
         day = F.expr("interval 1 day")
-        return self.orders.filter(k % 10 != 9).select(
-            F.lit("demo").alias("provider_code"), code("O", "o_orderkey").alias("dataset_code"),
+        # Every tenth row is of another dataset, so some candidates have no state and the reverse.
+        ident = F.when(k % 10 == 9, code("X", "o_orderkey")).otherwise(code("O", "o_orderkey"))
+        return self.orders.select(
+            F.lit("demo").alias("provider_code"), ident.alias("dataset_code"),
             F.lit("sv").alias("language"),
             F.when(k % 7 == 0, date + day).when(k % 19 != 0, date).alias("source_updated_at"),
             F.when(k % 13 != 0, date + F.expr("interval 30 days")).alias("last_fetched_at"),
@@ -242,7 +244,7 @@ class Tables:
         kind = F.col("event_type")
         outcome = (
             F.when(kind.isin("click", "purchase"), "saved").when(kind == "error", "failed")
-            .when(kind == "view", "skipped")
+            .otherwise("skipped")
         )
         return self.events.select(
             F.date_format("ts", "yyyyMMdd").alias("run_id"),
@@ -251,23 +253,23 @@ class Tables:
             outcome.alias("outcome"),
             F.date_trunc("hour", "ts").cast("timestamp").alias("source_updated_at"),
             "event_id", "value",
-        ).filter("outcome is not null")
+        )
 
     # --- table catalogues ----------------------------------------------------------------
 
     @cached_property
     def flat(self) -> DataFrame:
-        """Flat list: four parts in five, some twice, every third under a shorter path."""
+        """Flat list: every fifth id is its own, some stand twice, every third under a shorter path."""
         k = F.col("p_partkey")
+        ident = F.when(k % 5 == 0, code("X", "p_partkey")).otherwise(code("T", "p_partkey"))
         path = F.when(k % 3 == 0, F.concat(F.lit("/"), "p_type")).otherwise(
             F.concat(F.lit(" "), "p_type", F.lit(" / "), "p_brand", F.lit(" /"))
         )
         copies = F.when(k % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
         return (
-            self.part.filter(k % 5 != 0)
-            .withColumn("copy", F.explode(copies))
+            self.part.withColumn("copy", F.explode(copies))
             .select(
-                F.when(k % 2 == 0, F.lower(code("T", "p_partkey"))).otherwise(code("T", "p_partkey")).alias("id"),
+                F.when(k % 2 == 0, F.lower(ident)).otherwise(ident).alias("id"),
                 path.alias("path"),
                 F.when(k % 6 != 1, F.concat("p_name", F.lit(" "), F.col("copy").cast("string"))).alias("title"),
                 F.lit("2020-01-01T00:00:00").alias("published"),
@@ -281,26 +283,28 @@ class Tables:
 
     @cached_property
     def web(self) -> DataFrame:
-        """Web tree: three parts in four, under type and brand."""
+        """Web tree under type and brand; every fourth id is its own."""
         k = F.col("p_partkey")
-        return self.part.filter(k % 4 != 0).select(
-            code("T", "p_partkey").alias("table_id"),
+        ident = F.when(k % 4 == 0, code("Y", "p_partkey")).otherwise(code("T", "p_partkey"))
+        return self.part.select(
+            ident.alias("table_id"),
             F.array("p_type", "p_brand").alias("category_ids"),
             F.array(F.concat("p_type", F.lit(" - Typ")), F.concat(F.lit("Märke "), "p_brand")).alias("category_names"),
             F.concat(F.lit("Webb "), "p_name").alias("title"),
-            F.concat(F.lit("/t/"), code("T", "p_partkey"), F.lit("/")).alias("href"),
+            F.concat(F.lit("/t/"), ident, F.lit("/")).alias("href"),
             F.col("p_partkey").cast("int").alias("item_pos"),
             "p_partkey",
         )
 
     @cached_property
     def folder_entries(self) -> DataFrame:
-        """Folder listings of the same tree: nine parts in ten."""
+        """Folder listings of the same tree; every tenth id is its own."""
         k = F.col("p_partkey")
-        return self.part.filter(k % 10 != 0).select(
+        ident = F.when(k % 10 == 0, code("Z", "p_partkey")).otherwise(code("T", "p_partkey"))
+        return self.part.select(
             F.concat(F.lit("/"), "p_type", F.lit("/"), "p_brand").alias("parent_path"),
             k.cast("int").alias("item_pos"),
-            code("T", "p_partkey").alias("id"),
+            ident.alias("id"),
             F.concat(F.lit("Mapp "), "p_name").alias("text"),
             F.lit("t").alias("type"),
             F.lit("2022-02-02").alias("updated"),

@@ -7,6 +7,14 @@ def code(prefix: str, number: str, width: int = 9) -> str:
 
 KPI_ID = code("N", "p_partkey")
 TABLE_ID = code("T", "p_partkey")
+
+
+def own_id(every: int, prefix: str) -> str:
+    """Table id; every so many rows have one that only their side knows."""
+    return f"(CASE WHEN p_partkey % {every} = 0 THEN {code(prefix, 'p_partkey')} ELSE {TABLE_ID} END)"
+
+
+FLAT_ID, WEB_ID, FOLDER_ID = own_id(5, "X"), own_id(4, "Y"), own_id(10, "Z")
 ORDER_ID = code("O", "o_orderkey")
 UNIT_ID = code("V", "s_suppkey")
 AREA_ID = "lpad(n_nationkey::varchar, 4, '0')"
@@ -52,12 +60,12 @@ GROUPS = f"""members AS (
   FROM part WHERE NOT (p_brand = 'Brand#1' AND (p_partkey // 100) % 7 = 6))"""
 
 STATE = f"""state AS (
-  SELECT {ORDER_ID} AS dataset_code,
+  SELECT CASE WHEN o_orderkey % 10 = 9 THEN {code('X', 'o_orderkey')} ELSE {ORDER_ID} END AS dataset_code,
          CASE WHEN o_orderkey % 7 = 0 THEN o_orderdate + INTERVAL 1 DAY
               WHEN o_orderkey % 19 <> 0 THEN o_orderdate END AS source_updated_at,
          CASE WHEN o_orderkey % 13 <> 0 THEN o_orderdate + INTERVAL 30 DAY END AS last_fetched_at,
          (o_orderstatus = 'F' AND o_orderkey % 3 = 0) AS has_error
-  FROM orders WHERE o_orderkey % 10 <> 9)"""
+  FROM orders)"""
 
 CANDIDATES = f"""candidates AS (
   SELECT {ORDER_ID} AS dataset_code, o_orderdate AS updated, o_orderkey, o_orderstatus, o_custkey FROM orders)"""
@@ -73,22 +81,22 @@ OUTCOMES = f"""outcomes AS (
          CASE WHEN event_type IN ('click', 'purchase') THEN 'saved' WHEN event_type = 'error' THEN 'failed'
               ELSE 'skipped' END AS outcome,
          date_trunc('hour', ts) AS source_updated_at, event_id, value
-  FROM events WHERE event_type <> 'signup')"""
+  FROM events)"""
 
 FLAT = f"""flat AS (
-  SELECT CASE WHEN p_partkey % 2 = 0 THEN lower({TABLE_ID}) ELSE {TABLE_ID} END AS id, lower({TABLE_ID}) AS id_key,
+  SELECT CASE WHEN p_partkey % 2 = 0 THEN lower({FLAT_ID}) ELSE {FLAT_ID} END AS id, lower({FLAT_ID}) AS id_key,
          CASE WHEN p_partkey % 3 = 0 THEN '/' || p_type ELSE '/' || p_type || '/' || p_brand END AS path_key,
          CASE WHEN p_partkey % 6 <> 1 THEN p_name || ' ' || c.copy END AS title,
          CASE WHEN p_partkey % 4 = 1 THEN '2021-05-06T07:08:09Z' END AS updated, p_partkey, p_name, c.copy
-  FROM part, (VALUES (0), (1)) c(copy) WHERE p_partkey % 5 <> 0 AND (c.copy = 0 OR p_partkey % 7 = 0))"""
+  FROM part, (VALUES (0), (1)) c(copy) WHERE c.copy = 0 OR p_partkey % 7 = 0)"""
 
 WEB = f"""web AS (
-  SELECT {TABLE_ID} AS table_id, lower({TABLE_ID}) AS id_key, '/' || p_type || '/' || p_brand AS path_key,
-         'Webb ' || p_name AS title, p_partkey, p_type, p_brand FROM part WHERE p_partkey % 4 <> 0)"""
+  SELECT {WEB_ID} AS table_id, lower({WEB_ID}) AS id_key, '/' || p_type || '/' || p_brand AS path_key,
+         'Webb ' || p_name AS title, p_partkey, p_type, p_brand FROM part)"""
 
 FOLDER = f"""folder AS (
-  SELECT '/' || p_type || '/' || p_brand AS path_key, lower({TABLE_ID}) AS id_key, 'Mapp ' || p_name AS text
-  FROM part WHERE p_partkey % 10 <> 0)"""
+  SELECT '/' || p_type || '/' || p_brand AS path_key, lower({FOLDER_ID}) AS id_key, 'Mapp ' || p_name AS text
+  FROM part)"""
 
 AXES = """axis_rows AS (
   SELECT *, (row_number() OVER (PARTITION BY dataset_code, pos ORDER BY cat_id) - 1)::bigint AS ordinal,

@@ -182,9 +182,9 @@ def win_sample_selection(t: Tables):
 # --- order -----------------------------------------------------------------------------------------
 
 
-@query("srt_catalog", FLAT, sql="SELECT id, path_key AS path, p_partkey FROM flat WHERE copy = 0 ORDER BY lower(id), lower(path_key)")
+@query("srt_catalog", FLAT, sql="SELECT id, path_key AS path, p_partkey FROM flat ORDER BY lower(id), lower(path_key)")
 def srt_catalog(t: Tables):
-    rows = t.flat.filter("item_pos % 2 = 0").select(
+    rows = t.flat.select(
         "id", fn.path_string(fn.path_tokens(F.col("path"))).alias("path"), "p_partkey")
     return catalog.sort_catalog(rows)
 
