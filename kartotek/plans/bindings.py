@@ -312,7 +312,7 @@ class Tables:
 
     @cached_property
     def nav(self) -> DataFrame:
-        """Folder tree region / nation / customer. Every eighth nation is not listed; every
+        """Folder tree region / nation / customer. Every eighth nation is listed as another; every
         tenth customer appears twice."""
         region = F.concat(F.lit("R"), F.col("r_regionkey").cast("string"))
         r_of_n = F.concat(F.lit("/R"), F.col("n_regionkey").cast("string"))
@@ -323,9 +323,10 @@ class Tables:
             region.alias("id"), F.concat(region, F.lit(" – "), F.initcap("r_name")).alias("text"),
             F.lit("l").alias("type"), none.alias("updated"),
         )
-        nations = self.nation.filter(F.col("n_nationkey") % 8 != 7).select(
+        other = F.concat(F.when(F.col("n_nationkey") % 8 == 7, "Q").otherwise("N"), F.col("n_nationkey").cast("string"))
+        nations = self.nation.select(
             r_of_n.alias("parent_path"), F.col("n_nationkey").cast("bigint").alias("item_pos"),
-            nation.alias("id"), F.concat(nation, F.lit(". "), "n_name").alias("text"),
+            other.alias("id"), F.concat(other, F.lit(". "), "n_name").alias("text"),
             F.lit("l").alias("type"), none.alias("updated"),
         )
         k = F.col("c_custkey")

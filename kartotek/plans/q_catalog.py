@@ -81,10 +81,11 @@ def agg_collapse_paths(t: Tables):
 
 
 @query("agg_changed_ids", sql="""
-SELECT DISTINCT 'K' || user_id AS kpi FROM events WHERE event_type <> 'view'""")
+SELECT DISTINCT CASE WHEN event_type = 'view' THEN 'W' ELSE 'K' END || user_id AS kpi FROM events""")
 def agg_changed_ids(t: Tables):
     """Ids over all batches of the feed, each once."""
-    feed = t.events.filter("event_type <> 'view'").select(F.concat(F.lit("K"), F.col("user_id").cast("string")).alias("kpi"))
+    kind = F.when(F.col("event_type") == "view", "W").otherwise("K")
+    feed = t.events.select(F.concat(kind, F.col("user_id").cast("string")).alias("kpi"))
     return feed.distinct()
 
 

@@ -300,12 +300,14 @@ def prj_promote_px(t: Tables):
 
 
 @query("flt_usable_id", sql=r"""
-SELECT doc_id, trim(regexp_extract(text, '^([^\n]*)', 1)) AS first_line FROM documents
-WHERE doc_id % 3 <> 0 AND regexp_matches(regexp_extract(text, '^([^\n]*)', 1), '[^\s\p{Z}]')""")
+SELECT doc_id, pos::bigint AS pos, length(ident)::bigint AS n, md5(ident) AS digest FROM (
+  SELECT doc_id, unnest(w) AS ident, generate_subscripts(w, 1) - 1 AS pos FROM (SELECT doc_id, string_split(text, chr(10)) || [' ' || chr(9)] AS w FROM documents))
+WHERE regexp_matches(ident, '[^\s\p{Z}]')""")
 def flt_usable_id(t: Tables):
-    line = F.regexp_extract("text", r"\A([^\n]*)", 1)
-    ident = F.when(F.col("doc_id") % 3 == 0, F.lit(" \t ")).otherwise(line)
-    return t.documents.withColumn("ident", ident).filter(fn.has_id(F.col("ident"))).select("doc_id", F.trim("ident").alias("first_line"))
+    """Every line of every text, and a blank one, as an id."""
+    lines = F.concat(F.split("text", "\n"), F.array(F.lit(" \t")))
+    return t.documents.select("doc_id", F.posexplode(lines).alias("pos", "ident")).filter(fn.has_id(F.col("ident"))).select(
+        "doc_id", F.col("pos").cast("bigint").alias("pos"), F.length("ident").cast("bigint").alias("n"), F.md5("ident").alias("digest"))
 
 
 @query("flt_unit_kpis", KPIS, sql="SELECT kpi_id, title FROM kpis WHERE has_ou_data")
@@ -464,7 +466,8 @@ SELECT DISTINCT entity AS cat_id, coalesce(a.title, entity) AS label FROM obs LE
 def jon_titles(t: Tables):
     """Labels for observed areas from a catalogue that lacks some of them."""
     ids = t.observations.select(F.col("entity").alias("cat_id")).distinct()
-    return kpi.with_titles(ids, areas(t).filter("type = 'K'").select("area_id", "title"))
+    ident = F.when(F.col("type") == "K", F.col("area_id")).otherwise(F.concat(F.lit("X"), "area_id"))
+    return kpi.with_titles(ids, areas(t).select(ident.alias("area_id"), "title"))
 
 
 @query("jon_kpi_kinds", KPIS, sql="""

@@ -95,7 +95,7 @@ def val_category_maps(t: Tables):
         (k % 5 - 1).cast("int").alias("decimals"), k.alias("k"))
     details = details.withColumn("lon", F.when(F.col("lon") > 180, F.col("lon")).otherwise(F.greatest("lon", F.lit(-180.0)))).withColumn(
         "lat", F.when(F.col("lat") > 90, F.col("lat")).otherwise(F.greatest("lat", F.lit(-90.0))))
-    known = details.filter("k % 17 <> 0").select("dataset_code", "cat_id")
+    known = details.select("dataset_code", F.when(F.col("k") % 17 == 0, F.concat(F.lit("x"), "cat_id")).otherwise(F.col("cat_id")).alias("cat_id"))
     ranges = quality.check_category_maps(details, ["dataset_code"])
     return ranges.unionByName(quality.unknown_keys(details, known, ["dataset_code"], "unit"))
 

@@ -59,8 +59,8 @@ SELECT '/' AS parent_path, 'R' || r_regionkey AS id,
        'R' || r_regionkey || ' – ' || upper(r_name[1]) || lower(r_name[2:]) AS text, 'l' AS type, NULL AS updated FROM region
 WHERE r_name NOT LIKE '% %'
 UNION ALL SELECT '/', 'R' || r_regionkey, 'R' || r_regionkey || ' – Middle East', 'l', NULL FROM region WHERE r_name LIKE '% %'
-UNION ALL SELECT '/R' || n_regionkey, 'N' || n_nationkey, 'N' || n_nationkey || '. ' || n_name, 'l', NULL
-FROM nation WHERE n_nationkey % 8 <> 7
+UNION ALL SELECT '/R' || n_regionkey, k || n_nationkey, k || n_nationkey || '. ' || n_name, 'l', NULL
+FROM (SELECT *, CASE WHEN n_nationkey % 8 = 7 THEN 'Q' ELSE 'N' END AS k FROM nation)
 UNION ALL SELECT path, CASE WHEN v.copy = 1 THEN upper(id) ELSE id END,
        CASE WHEN c_custkey % 9 <> 0 THEN c_name END, 't', '2024-01-01T00:00:00Z'
 FROM nav_customer, (VALUES (0), (1)) v(copy) WHERE v.copy = 0 OR c_custkey % 10 = 0""")
@@ -285,8 +285,8 @@ def snk_import_diff(t: Tables):
     sv, en = F.lit("sv"), F.lit("en")
     incoming = t.customer.select(ident, F.create_map(sv, F.col("c_name"), en, F.col("c_mktsegment")).alias("label"), "c_nationkey")
     other = F.when(k % 3 == 0, F.concat("c_name", F.lit("!"))).otherwise(F.col("c_name"))
-    existing = t.customer.filter(k % 5 != 0).select(
-        ident, F.create_map(en, F.col("c_mktsegment"), sv, other).alias("label"), "c_nationkey")
+    existing = t.customer.select(
+        F.when(k % 5 == 0, F.concat(F.lit("x"), k.cast("string"))).otherwise(F.concat(F.lit("c"), k.cast("string"))).alias("code"), F.create_map(en, F.col("c_mktsegment"), sv, other).alias("label"), "c_nationkey")
     return sinks.import_registry(incoming, existing, "code", ["label", "c_nationkey"])
 
 
