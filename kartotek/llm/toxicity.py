@@ -254,17 +254,19 @@ def _telling(seen: tuple[Counter, Counter], docs: list[int]) -> dict[str, float]
     share = docs[1] / sum(docs)
     for w, n in seen[1].items():
         m = seen[0][w]
-        if n > 1 and n > 4 * share * (n + m):
+        if n > 1 and n * docs[0] > 4 * m * docs[1]:
             g = 2 * (n * math.log(n / ((n + m) * share)) + (m * math.log(m / ((n + m) * (1 - share))) if m else 0.0))
             if g > EVIDENCE:
                 out[w] = g
     return out
 
 
-def train(texts: list[tuple[list[str], int]]) -> Machine:
-    """A machine from (distinct words, label) of a bounded list of texts."""
+def train(texts: list[tuple[list[str], int]], share: float | None = None) -> Machine:
+    """A machine from (distinct words, label) of a bounded list of texts. ``share``: that of toxic
+    labels where the list was drawn, if the list has another one."""
     ones = sum(y for _, y in texts)
-    share = ones / len(texts) if texts else 0.0
+    drawn = ones / len(texts) if texts else 0.0
+    share = drawn if share is None else share
     flat = Machine(None, np.zeros(0), 0.0, np.array([0.0] * 4 + [math.log((share + 1e-6) / (1 - share + 1e-6))]))
     if not 0 < ones < len(texts):
         return flat
@@ -315,6 +317,8 @@ def train(texts: list[tuple[list[str], int]]) -> Machine:
                         right[best] = right.get(best, 0.0) + 1.0
     facts = np.array([machine.facts(machine.margins(f).tolist()) for f, _ in held])
     machine.evidence = _logistic(facts, np.array([float(y) for _, y in held]))
+    if 0 < share < 1:
+        machine.evidence[-1] += math.log(share / (1 - share)) - math.log(drawn / (1 - drawn))
     return machine
 
 
@@ -375,7 +379,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
         .limit(most).collect()
     )
     rows = sorted(rows, key=lambda r: (hash_of(r["doc_id"]), r["words"]))
-    return train([(r["words"], r["label"]) for r in rows])
+    toxic, clean = totals.get(1, 0), totals.get(0, 0)
+    return train([(r["words"], r["label"]) for r in rows], toxic / max(1, toxic + clean))
 
 
 def hash_of(n: int) -> int:

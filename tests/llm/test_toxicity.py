@@ -72,6 +72,15 @@ def test_gapped_and_spaced_insults_score_and_clean_texts_do_not():
     assert (tox.probabilities(clean, machine, 1) >= tox.THRESHOLD).mean() < 0.01
 
 
+def test_a_sample_with_many_toxic_texts():
+    rows = [(t, y) for t, y in corpus(4000) if y or len(t) % 6 == 0]
+    assert 0.35 < sum(y for _, y in rows) / len(rows) < 0.65
+    machine = tox.train([(sorted(tox.words_of(t)), y) for t, y in rows], share=0.15)
+    clean = [t for t, y in corpus(400) if not y]
+    assert (tox.probabilities(["you idiot", "a mor.on is there"], machine, 2) >= tox.THRESHOLD).all()
+    assert (tox.probabilities([*clean, ""], machine, 2) >= tox.THRESHOLD).mean() < 0.01
+
+
 def test_without_labels_of_both_kinds():
     for rows, score in (([], 0.0), ([(["a"], 0)], 0.0), ([(["a"], 1)], 1.0)):
         got = tox.probabilities(["a", "", "idiot"], tox.train(rows), hash(score))
