@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from kartotek.llm.boosting import sigmoid
 
 #: Labelled texts of the sample, about, and landmarks of each kind at most.
-FIT_TOXIC, FIT_CLEAN, LANDMARKS = 2000, 4000, 120
+FIT_TOXIC, FIT_CLEAN, LANDMARKS = 1000, 2000, 120
 #: Evidence (log likelihood ratio) of a telling word, clean words that the machine is trained on,
 #: and the weight of its errors against the size of its weights.
 EVIDENCE, CLEAN_WORDS, SUPPORT_COST = 12.0, 4000, 2000.0
@@ -373,12 +373,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
 
     most = 2 * (FIT_TOXIC + FIT_CLEAN)  # the bound of the sample, and so of the broadcast ids
     chosen = F.broadcast(known.where(share).limit(most))
-    rows = (
+    table = (
         docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "label")
         .mapInArrow(distinct_words, "doc_id long, words array<string>, label int")
-        .limit(most).collect()
+        .limit(most).toArrow()
     )
-    rows = sorted(rows, key=lambda r: (hash_of(r["doc_id"]), r["words"]))
+    one: dict[str, str] = {}  # equal words of the sample as one object
+    rows = []
+    for batch in table.to_batches(max_chunksize=64):
+        for r in batch.to_pylist():
+            r["words"] = [one.setdefault(w, w) for w in r["words"]]
+            rows.append(r)
+    del table
+    rows.sort(key=lambda r: (hash_of(r["doc_id"]), r["words"]))
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     return train([(r["words"], r["label"]) for r in rows], toxic / max(1, toxic + clean))
 
