@@ -231,7 +231,8 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """(cls, size, fragment, grams): each set in FRAGMENTS vertical fragments."""
+    """(cls, size, fragment, grams): each set in FRAGMENTS vertical fragments, and as fragment -1
+    its short sketch: the parity of its shingles in 512 bits."""
     for batch in words.slices(batches):
         row, grams = words.shingle_sets(words.cut(batch.column(1), lower=True), size)
         sizes = np.bincount(row, minlength=batch.num_rows)
@@ -241,16 +242,34 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
         starts = np.flatnonzero(fresh)
         lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(slot)), pa.int32()), _longs(grams))
         own = slot[starts] // FRAGMENTS
+        names = ["cls", "size", "fragment", "grams"]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).take(pa.array(own)), _longs(sizes[own]),
-             pa.array(slot[starts] % FRAGMENTS, pa.int32()), lists],
-            ["cls", "size", "fragment", "grams"])
+             pa.array(slot[starts] % FRAGMENTS, pa.int32()), lists], names)
+        n = batch.num_rows
+        marks = np.bincount(row * 512 + (words.mix(grams) % _U(512)).astype(np.int64), minlength=512 * n) & 1
+        short = np.packbits(marks.astype(bool)).view(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), _longs(sizes), pa.array(np.full(n, -1), pa.int32()),
+             pa.ListArray.from_arrays(pa.array(np.arange(0, 8 * n + 1, 8), pa.int32()), pa.array(short))], names)
 
 
 # --- links ------------------------------------------------------------------------------------
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, na, b, nb) that link: overlaps by fragment, summed."""
+    """The pairs (a, na, b, nb) that link: overlaps by fragment, summed. Short sketches, which
+    cannot differ in more bits than the sets in shingles, spare most other pairs the count."""
+    short = sets.where("fragment = -1")
+    sets = sets.where("fragment >= 0")
+    differing = F.aggregate(
+        F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    pairs = (
+        pairs.select("a", "na", "b", "nb")
+        .join(short.select(F.col("cls").alias("a"), F.col("grams").alias("sa")), "a")
+        .join(short.select(F.col("cls").alias("b"), F.col("grams").alias("sb")), "b")
+        .where(differing * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
+        .select("a", "na", "b", "nb")
+    )
     left = sets.select(F.col("cls").alias("a"), "fragment", F.col("grams").alias("ga"))
     right = sets.select(F.col("cls").alias("b"), "fragment", F.col("grams").alias("gb"))
     overlap = (
@@ -444,7 +463,7 @@ def _close_gaps(candidates, sets, links, component, percent, tasks) -> DataFrame
     )
     members = component.join(ends, "component")
     whole = written(
-        members.join(sets.groupBy("cls").agg(F.flatten(F.collect_list("grams")).alias("grams")), "cls")
+        members.join(sets.where("fragment >= 0").groupBy("cls").agg(F.flatten(F.collect_list("grams")).alias("grams")), "cls")
         .select("cls", "component", "grams"), "members")
     postings = written(whole.mapInArrow(
         lambda b: _member_postings(b, percent), "posting long, cls long, size long, component long"), "postings")
