@@ -55,7 +55,9 @@ GROUPS = 24
 #: Letters that a subsequence may span, and the weight of each.
 SPAN, DECAY = 6, 0.6
 #: Letters of a piece of a long word, and words in a worker's cache.
-PIECE, CACHE_SIZE = 24, 1_000_000
+PIECE, CACHE_SIZE = 24, 800_000
+#: Words whose subsequences are held at once.
+CHUNK = 6000
 THRESHOLD = 0.3
 
 _SPACED = re.compile(r"(?<!\S)\w(?:\s\w(?!\S)){2,}")
@@ -195,10 +197,10 @@ class Machine:
             if len(p) > 6:
                 short += [p[:i] + p[i + 1:] for i in range(1, len(p) - 1) if p[i] != p[i - 1]]
                 whose += [k] * (len(short) - len(whose))
-        for lo in range(0, len(short), 50_000):
-            _, without = self._of_pieces(short[lo:lo + 50_000])
+        for lo in range(0, len(short), CHUNK):
+            _, without = self._of_pieces(short[lo:lo + CHUNK])
             sure = without >= SURE
-            np.maximum.at(margin, np.array(whose[lo:lo + 50_000])[sure], without[sure] - INSERTED)
+            np.maximum.at(margin, np.array(whose[lo:lo + CHUNK])[sure], without[sure] - INSERTED)
         np.maximum.at(out, owner, margin)
         return out
 
@@ -410,8 +412,8 @@ def probabilities(texts: list[str], machine: Machine, name: int = 0) -> np.ndarr
         if len(cache) > CACHE_SIZE:
             cache.clear()
         new = list(set().union(*found) - cache.keys())
-        for a in range(0, len(new), 20_000):
-            cache.update(zip(new[a:a + 20_000], machine.margins(new[a:a + 20_000]).tolist(), strict=True))
+        for a in range(0, len(new), CHUNK):
+            cache.update(zip(new[a:a + CHUNK], machine.margins(new[a:a + CHUNK]).tolist(), strict=True))
         for k, f in enumerate(found):
             facts[lo + k] = machine.facts(list(map(cache.__getitem__, f)))
     return machine.probability(facts)
