@@ -72,3 +72,24 @@ def test_weights_keep_their_side(spark):
     rows = [(k, f"<nav><a>m{k}</a></nav><article><h1>t</h1><p>some words here</p></article><footer>f</footer>") for k in range(40)]
     weights = ext.fit(spark.createDataFrame(rows, "page_id long, html string"))
     assert weights["word"] > 0 > weights["part:menu"] and weights["tag:p"] < 0 and "tag:article" not in weights
+
+
+def test_layout_names_of_bodies_articles_and_wrappers_leave_nothing_out():
+    text = "<h1>Title here</h1><p>The first part of a long story.</p><p>And the second one.</p>"
+    want = "Title here\n\nThe first part of a long story.\n\nAnd the second one."
+    side = '<div class="sidebar"><p>Other things to see here today and tomorrow.</p></div>'
+    for page in (
+        f'<html class="no-js cookies"><body class="right-sidebar">{text}{side}</body></html>',
+        f'<body class="sidebar"><main id="menu" class="banner">{text}</main>{side}</body>',
+        f'<body class="single comments-open"><div class="content-with-sidebar">{text}</div>{side}',
+        f'<div class="layout sidebar"><article class="post comments-open">{text}</article></div>{side}',
+        f'<article class="post tag-popular">{text}</article>{side}',
+        f'<article class="post popular related">{text}</article>{side}',
+        f'<div class="post comments-open tag-popular">{text}</div>{side}',
+        f'<div data-id="comments" data-class="popular">{text}</div>{side}',
+        f'<article>{text}<section class="comments"><article class="comment"><p>Nice!</p></article></section></article>{side}',
+        f'<article>{text}<ol><li><article class="comment-body"><p>Nice one!</p></article></ol></article>{side}',
+        f'<div class="related_posts"><article class="teaser">See this.</article></div><div class="sidebar"><article>{text}</article></div>',
+        f'<main>{text}<div class="comments"><article class="comment"><p>I do not think so at all.</p></article></div></main>{side}',
+    ):
+        assert ext.main_text(page, {}) == want, page
