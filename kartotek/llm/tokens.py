@@ -87,7 +87,7 @@ def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     whole = _whole_text_pattern(vocabulary)
     frequent = [p for p in frequent if not whole.search(p)]
     lengths = _lengths(vocabulary, frequent)
-    table = docs.sparkSession.sparkContext.broadcast(("\0".join(frequent), bytes(min(n, 255) for n in lengths)))
+    table = docs.sparkSession.sparkContext.broadcast(dict(zip(frequent, lengths, strict=True)))
     counts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
         lambda batches: _count(batches, table, vocabulary), OUT)
     return counts.withColumn("over_limit", F.col("n_tokens") > LIMIT)
@@ -100,8 +100,7 @@ _CACHES: dict[str, dict[str, int]] = {}
 def _count(batches: Iterator[pa.RecordBatch], table, vocabulary: str) -> Iterator[pa.RecordBatch]:
     import regex
 
-    names, sizes = table.value
-    first = {p: n for p, n in zip(names.split("\0"), sizes, strict=False) if n < 255} if names else {}
+    first = table.value
     split, whole = regex.compile(PRE_TOKEN).findall, _whole_text_pattern(vocabulary).search
     cache = _CACHES.setdefault(vocabulary, {})
     for batch in batches:

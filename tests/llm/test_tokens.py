@@ -33,6 +33,12 @@ def test_odd_texts(spark):
     assert counts(spark, texts) == expected(texts)
 
 
+def test_texts_with_nul_characters(spark):
+    texts = ["\0\0\0 tail of extraordinarily infrequent words", "a\0b c\0\0 d", "\0", " \0 \0\0 !\0?", "x \0y \0 incomprehensibility",
+             "tail words, infrequent! incomprehensibility", *["!\0? a\0b"] * 5]
+    assert counts(spark, texts) == expected(texts)
+
+
 def test_random_texts(spark):
     rng = random.Random(3)
     letters = "abcéß '’.,\n\t 0123ЖЯ日本ñ　<|>endoftext😀‍"
