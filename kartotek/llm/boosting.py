@@ -79,18 +79,20 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 3, rate: flo
     return model
 
 
-def calibrate(model: Trees, x: np.ndarray, y: np.ndarray, turns: int = 50) -> None:
-    """Platt scaling on rows that the trees have not seen (Newton steps, smoothed targets)."""
+def calibrate(model: Trees, x: np.ndarray, y: np.ndarray, turns: int = 50, weight: np.ndarray | None = None) -> None:
+    """Platt scaling on rows that the trees have not seen (Newton steps, smoothed targets); ``weight``:
+    rows that each stands for."""
     if not len(x) or y.min() == y.max():
         return
     m = model.margin(x)
-    ones, zeros = y.sum(), len(y) - y.sum()
+    weight = np.ones(len(x)) if weight is None else weight
+    ones, zeros = weight @ y, weight @ (1 - y)
     target = np.where(y > 0, (ones + 1) / (ones + 2), 1 / (zeros + 2))
     a, b = 1.0, 0.0
     for _ in range(turns):
         p = sigmoid(a * m + b)
-        w = p * (1 - p) + 1e-9
-        ga, gb = ((p - target) * m).sum(), (p - target).sum()
+        w = weight * (p * (1 - p) + 1e-9)
+        ga, gb = (weight * (p - target) * m).sum(), (weight * (p - target)).sum()
         haa, hab, hbb = (w * m * m).sum() + 1e-6, (w * m).sum(), w.sum() + 1e-6
         det = haa * hbb - hab * hab
         if abs(det) < 1e-12:
@@ -100,10 +102,11 @@ def calibrate(model: Trees, x: np.ndarray, y: np.ndarray, turns: int = 50) -> No
     model.slope, model.offset = float(a), float(b)
 
 
-def threshold(p: np.ndarray, y: np.ndarray, precision: float) -> float:
+def threshold(p: np.ndarray, y: np.ndarray, precision: float, weight: np.ndarray | None = None) -> float:
     """The lowest cut from which on the held-out precision is reached; above 1 if none does."""
     order = np.argsort(-p, kind="stable")
-    right = np.cumsum(y[order]) / np.arange(1, len(p) + 1) if len(p) else np.zeros(0)
+    weight = np.ones(len(p)) if weight is None else weight
+    right = np.cumsum((weight * y)[order]) / np.cumsum(weight[order]) if len(p) else np.zeros(0)
     last = np.append(p[order][1:] != p[order][:-1], True) if len(p) else np.zeros(0, bool)
     good = np.flatnonzero((right >= precision) & last)
     return float(p[order][good[-1]]) if len(good) else 2.0
