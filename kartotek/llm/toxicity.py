@@ -5,7 +5,7 @@ DECAY for every letter it spans (at most SPAN), so gaps and inserted characters
 instead of losing it. Words are runs between blanks in small letters, without other signs; three or
 more single letters in a row also count as one word; a long word counts by overlapping pieces.
 
-Landmarks are the words that tell the labels apart best, common words of clean texts and those
+Landmarks are all words that tell the labels apart, common words of clean texts and those
 nearest to the former. Their
 kernel matrix gives the Nyström features, on which a linear support vector machine (squared hinge)
 is trained. Labels are known for whole texts, so the parts of their sentences that carry them are
@@ -40,7 +40,8 @@ from pyspark.sql import functions as F
 
 from kartotek.llm.boosting import sigmoid
 
-#: Labelled texts of the sample, about, and landmarks of each kind at most.
+#: Labelled texts of the sample, about, and landmarks among clean words near to telling ones (as many
+#: as telling ones, if these are more); the sample bounds the telling ones, which are all landmarks.
 FIT_TOXIC, FIT_CLEAN, LANDMARKS = 1000, 2000, 120
 #: Evidence (log likelihood ratio) of a telling word, clean words that the machine is trained on,
 #: and the weight of its errors against the size of its weights.
@@ -286,10 +287,10 @@ def train(texts: list[tuple[list[str], int]], share: float | None = None) -> Mac
     ranked = sorted(telling, key=lambda w: (-telling[w], w))
     common = [w for w, _ in sorted(seen[0].items(), key=lambda x: (-x[1], x[0])) if w not in telling]
     # clean words as near to the telling ones as they come, and common ones
-    heads = {w[:n] for w in ranked[:LANDMARKS] for n in range(2, len(w) + 1)}
+    heads = {w[:n] for w in ranked for n in range(2, len(w) + 1)}
     near = sorted(common[:40 * CLEAN_WORDS], key=lambda w: -_shared(w, heads))[:CLEAN_WORDS // 2]
-    chosen = list(dict.fromkeys(ranked[:LANDMARKS] + near[:LANDMARKS] + common[:LANDMARKS // 4]))
-    landmarks = Landmarks(chosen, len(ranked[:LANDMARKS]))
+    chosen = list(dict.fromkeys(ranked + near[:max(LANDMARKS, len(ranked))] + common[:LANDMARKS // 4]))
+    landmarks = Landmarks(chosen, len(ranked))
     k = gaussian(landmarks.of_words(chosen)).astype(float)
     values, vectors = np.linalg.eigh(k + 1e-8 * np.eye(len(k)))
     keep = values > 1e-6 * values[-1]
@@ -309,8 +310,10 @@ def train(texts: list[tuple[list[str], int]], share: float | None = None) -> Mac
         cost = np.concatenate([np.array([*right.values()]) / sum(right.values()),
                                np.full(len(negatives), 1 / max(1, len(negatives)))]) * SUPPORT_COST
         w = _support_vectors(z, y, cost)
-        machine = Machine(landmarks, root @ w[:-1], float(w[-1]), flat.evidence, len(ranked[:LANDMARKS]))
-        if not turn:  # the likeliest word of each toxic text bears its label, unless clean texts have it too
+        machine = Machine(landmarks, root @ w[:-1], float(w[-1]), flat.evidence, len(ranked))
+        # the likeliest word of each toxic text bears its label, unless clean texts have it too; where no
+        # word is like a landmark, none is likelier than the others
+        if not turn:
             for found, label in train_on:
                 if label and found:
                     names = sorted(found)

@@ -113,3 +113,26 @@ def test_nulls_repeats_empty_tables_and_other_columns(spark):
     assert kept.where("doc_id = 7 AND text IS NULL").count() == 2
     none = tox.fit(docs.limit(0), labels.limit(0))
     assert tox.score(docs.limit(0), none).collect() == []
+
+
+def test_each_of_several_hundred_insults_counts():
+    rng = random.Random(12)
+
+    def word(alphabet, low, high):
+        return "".join(rng.choices(alphabet, k=rng.randrange(low, high)))
+
+    fill = [word("aeiourstlnmdh", 2, 8) for _ in range(400)]
+    bad = list(dict.fromkeys(word("bcfgjkpqvwxyzaeiou", 6, 11) for _ in range(350)))
+    rows = []
+    for k in range(9000):
+        w = rng.choices(fill, k=rng.randrange(5, 40))
+        if k % 3 == 0:
+            w += rng.sample(bad, 3)
+        rows.append((sorted(set(w)), int(k % 3 == 0)))
+    machine = tox.train(rows)
+    told = [b for b in bad if sum(b in r for r, _ in rows) >= 15]
+    assert len(told) > 300 and machine.n_toxic > 2 * tox.LANDMARKS
+    texts = [" ".join([*rng.choices(fill, k=15), b]) for b in told]
+    assert (tox.probabilities(texts, machine, 3) >= tox.THRESHOLD).mean() > 0.97
+    clean = [" ".join(rng.choices(fill, k=15)) for _ in range(500)]
+    assert (tox.probabilities(clean, machine, 3) >= tox.THRESHOLD).mean() < 0.01
