@@ -347,15 +347,21 @@ def reconcile_counts(flat: DataFrame, web: DataFrame, enriched: DataFrame) -> Da
     )
 
 
-def listing_complete(pages: DataFrame) -> DataFrame:
-    """Per scope: every promised page landed and none is unusable."""
+def listing_complete(pages: DataFrame, scopes: DataFrame | None = None) -> DataFrame:
+    """Per scope: every promised page landed and none is unusable. ``scopes`` are those that were to be
+    listed: one without any page is incomplete, not absent."""
     whole = F.count_distinct("page_number") == F.max("total_pages")
-    return pages.groupBy("scope").agg(
+    found = pages.groupBy("scope").agg(
         F.max("total_pages").alias("total_pages"),
         F.count_distinct("page_number").alias("landed_pages"),
         F.count_if(~F.col("usable")).alias("bad_pages"),
         (whole & (F.count_if(~F.col("usable")) == 0)).alias("complete"),
     )
+    if scopes is None:
+        return found
+    return scopes.select("scope").distinct().join(found, "scope", "left").withColumns({
+        "landed_pages": F.coalesce("landed_pages", F.lit(0)), "bad_pages": F.coalesce("bad_pages", F.lit(0)),
+        "complete": F.coalesce("complete", F.lit(False))})
 
 
 def walk(entries: DataFrame) -> DataFrame:

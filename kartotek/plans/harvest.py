@@ -1,9 +1,11 @@
 """Whole runs: landed responses and stored state in, one outcome per dataset out.
 
-Fetching stays outside: whatever was landed is read here. A dataset whose responses break a rule
-fails on its own. What puts the whole listing in doubt (a fatal response, a missing page, a broken
+Fetching stays outside: whatever was landed is read here, and held against the plan of what the run
+had to ask for (``operators/requests.py``). A dataset whose responses break a rule or are missing fails
+on its own. What puts the whole listing in doubt (a fatal or missing response, a missing page, a broken
 page chain, a dataset listed twice, conflicting groups, an unknown scope) refuses the run: every
-dataset that was due then fails with that one error, and none is saved from half a listing.
+dataset that was due then fails with that one error, and none is saved from half a listing. The error
+is also the run's own (``Result.error``), for a listing that is missing has no datasets.
 Each table is reduced to one row per dataset before any join, so repeats never multiply.
 
 Tables used several times (selection, parsed axes, presence) are checkpointed in the shared
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from kartotek import functions as fn
 from kartotek import schemas
 from kartotek.operators import (
-    catalog, dimensions, documents, enrich, incremental, kpi, presence, quality, sinks,
+    catalog, dimensions, documents, enrich, incremental, kpi, presence, quality, requests, sinks,
 )
 from kartotek.operators.numbering import range_bounds
 from kartotek.sources import html, landed
@@ -45,6 +47,15 @@ class Run:
     limit: int | None = None
 
 
+@dataclass(frozen=True)
+class Result:
+    """What a run leaves: one outcome for each dataset, and its own error where it was refused."""
+
+    run: Run
+    outcomes: DataFrame
+    error: str | None
+
+
 def feed(raw: DataFrame, *names: str) -> DataFrame:
     """Usable responses of the named feeds."""
     return raw.filter(F.col("feed").isin(*names) & F.coalesce(F.col("status").between(200, 299), F.lit(False)))
@@ -143,6 +154,11 @@ def _structure_faults(axes: DataFrame, cats: DataFrame) -> DataFrame:
 
 
 def tables_v2(raw: DataFrame, state: DataFrame, run: Run, api_url: str, web_url: str | None = None) -> DataFrame:
+    """Outcomes of :func:`run_tables_v2`."""
+    return run_tables_v2(raw, state, run, api_url, web_url).outcomes
+
+
+def run_tables_v2(raw: DataFrame, state: DataFrame, run: Run, api_url: str, web_url: str | None = None) -> Result:
     """Listing pages and JSON-stat2 metadata of one scope."""
     configure(raw.sparkSession)
     pages = feed(raw, "listing")
@@ -152,7 +168,9 @@ def tables_v2(raw: DataFrame, state: DataFrame, run: Run, api_url: str, web_url:
     )
     missing = catalog.listing_complete(landed.listing_pages(pages)).filter(~F.col("complete")).select(
         F.lit("incomplete").alias("rule"), F.lit("listing").alias("path"))
-    refused = run_error(unanswered(raw, ["listing"]), missing, listed_twice(candidates))
+    asked = requests.whole_feeds(raw.sparkSession, {"listing": "first page"})
+    refused = run_error(
+        unanswered(raw, ["listing"]), requests.run_faults(requests.missing(asked, raw)), missing, listed_twice(candidates))
     selection = _bounded(run, incremental.select_by_timestamp(one_each(candidates), state, run.force), ["page_no", "item_pos"])
     code = fn.pct_decode(F.regexp_extract("url", r"/tables/([^/?]+)/metadata", 1))
     payloads = one_each(landed.metadata_v2(feed(raw, "metadata").withColumn(KEY, code)))
@@ -193,19 +211,19 @@ def tables_v2(raw: DataFrame, state: DataFrame, run: Run, api_url: str, web_url:
         quality.check_roles(dims, roles, KEY),
         *_document_faults(chosen, dims, details, cats),
     )
-    return _outcomes(run, selection, pairs, faults, refused)
+    return Result(run, _outcomes(run, selection, pairs, faults, refused), refused)
 
 
-def v1_tables(raw: DataFrame, api_url: str, web_url: str | None) -> DataFrame:
+def v1_tables(raw: DataFrame, api_url: str, web_url: str | None) -> tuple[DataFrame, bool]:
     """Table occurrences of one database: the web tree matched with the flat list, or the
-    folder tree where either is missing."""
+    folder tree where either is missing; and whether the tree was walked."""
     entries = landed.nav_entries(feed(raw, "nav").withColumn("parent_path", _folder_of(api_url)))
     flat = landed.flat_catalog(feed(raw, "flat"))
     pages = feed(raw, "web").select("url", F.col("body").alias("html"))
 
-    def walked() -> DataFrame:
+    def walked() -> tuple[DataFrame, bool]:
         tables = catalog.walk(entries)
-        return tables.withColumn("published", F.col("updated")).withColumn("href", absent("string"))
+        return tables.withColumn("published", F.col("updated")).withColumn("href", absent("string")), True
 
     unusable = flat.isEmpty() or not landed.flat_faults(flat).isEmpty()
     if web_url is None or unusable or pages.isEmpty():
@@ -225,7 +243,7 @@ def v1_tables(raw: DataFrame, api_url: str, web_url: str | None) -> DataFrame:
         overrides = catalog.override_labels(matched, entries)
     return catalog.web_categories(matched, overrides).select(
         F.col("path_key").alias("path"), F.col("table_id").alias("id"), "title", "updated", "published", "categories", "href"
-    )
+    ), False
 
 
 def _folder_of(api_url: str) -> Column:
@@ -238,10 +256,25 @@ def _folder_of(api_url: str) -> Column:
 def tables_v1(
     raw: DataFrame, state: DataFrame, run: Run, api_url: str, web_url: str | None = None, cell_limit: int | None = None
 ) -> DataFrame:
+    """Outcomes of :func:`run_tables_v1`."""
+    return run_tables_v1(raw, state, run, api_url, web_url, cell_limit).outcomes
+
+
+def _answer_faults(raw: DataFrame, owner: DataFrame, name: str) -> DataFrame:
+    """Datasets whose answer of one feed has an error status."""
+    bad = raw.filter((F.col("feed") == name) & ~F.coalesce(F.col("status").between(200, 299), F.lit(False)))
+    return bad.join(owner, "url").groupBy(KEY).agg(F.min(F.col("status").cast("string")).alias("_s")).select(
+        KEY, F.lit("response").alias("rule"), F.concat_ws("/", F.lit(name), "_s").alias("path"))
+
+
+def run_tables_v1(
+    raw: DataFrame, state: DataFrame, run: Run, api_url: str, web_url: str | None = None, cell_limit: int | None = None
+) -> Result:
     """Catalogue, metadata and samples of one database. ``cell_limit`` is what the samples were asked
     with: two categories of each axis, or one where that would be more cells; None: never cut."""
     configure(raw.sparkSession)
-    tables = cut_lineage(v1_tables(raw, api_url, web_url))
+    tables, walked = v1_tables(raw, api_url, web_url)
+    tables = cut_lineage(tables)
     found, paths = catalog.collapse_occurrences(tables)
     first = catalog.canonical(tables).select(F.col("id").alias(KEY), F.col("path").alias("_path"), F.col("href").alias("web_url"))
     nodes = paths.select(F.col("id").alias(KEY), "path_no", F.transform(
@@ -256,7 +289,11 @@ def tables_v1(
         .withColumn("order_key", F.lower(KEY))
     )
     root = F.regexp_replace(F.regexp_replace("url", r"\?.*$", ""), "/+$", "") == api_url.rstrip("/")
-    refused = run_error(unanswered(raw, ["nav"], ~root), listed_twice(candidates))
+    entries = landed.nav_entries(feed(raw, "nav").withColumn("parent_path", _folder_of(api_url)))
+    # A tree that was walked has an answer for each folder that it lists; matched tables ask for none.
+    asked = requests.folder_requests(entries, api_url) if walked else requests.whole_feeds(raw.sparkSession, {})
+    refused = run_error(
+        unanswered(raw, ["nav"], ~root), requests.run_faults(requests.missing(asked, raw)), listed_twice(candidates))
     selection = _bounded(run, incremental.select_by_timestamp(one_each(candidates), state, run.force), ["order_key", KEY])
 
     owner = selection.select(KEY, F.col("metadata_url").alias("url"))
@@ -300,10 +337,15 @@ def tables_v1(
     missing = wanted.select(KEY).distinct().join(fixed.select(KEY), KEY, "left_anti").select(
         KEY, F.lit("missing").alias("rule"), F.lit("sample").alias("path"))
     placeholders = fixed.filter("fault is not null").select(KEY, F.col("fault").alias("rule"), F.lit("sample/placeholder").alias("path"))
+    texts = promoted.drop("first_period", "last_period").join(spans.select(
+        KEY, F.col("first_period").cast("string").alias("first_period"), F.col("last_period").cast("string").alias("last_period")), KEY, "left")
+    asked = requests.dataset_requests(selection.filter("should_fetch"), "metadata", F.col("metadata_url"))
     faults = _first_faults(
+        requests.dataset_faults(requests.missing(asked, raw)), _answer_faults(raw, owner, "metadata"), _answer_faults(raw, owner, "sample"),
         _structure_faults(dims, cats), quality.check_categories(cats, [KEY, "dim_id"]),
-        quality.check_sample(wanted, fixed, KEY), missing, placeholders)
-    return _outcomes(run, selection, pairs, faults, refused)
+        quality.check_sample(wanted, fixed, KEY), missing, placeholders,
+        *_document_faults(texts, sampled, dimensions.category_details(axes), cats))
+    return Result(run, _outcomes(run, selection, pairs, faults, refused), refused)
 
 
 KPI_FEEDS = ["kpi", "kpi_groups", "municipality", "ou", "data", "oudata", "changes"]
@@ -321,8 +363,16 @@ def _broken_chains(raw: DataFrame) -> DataFrame:
     return unread.unionByName(broken)
 
 
-def kpis(raw: DataFrame, state: DataFrame, run: Run) -> DataFrame:
-    """KPI catalogue, change feeds and observations; both dataset kinds in one run."""
+def kpis(raw: DataFrame, state: DataFrame, run: Run, api_url: str | None = None) -> DataFrame:
+    """Outcomes of :func:`run_kpis`."""
+    return run_kpis(raw, state, run, api_url).outcomes
+
+
+def run_kpis(raw: DataFrame, state: DataFrame, run: Run, api_url: str | None = None) -> Result:
+    """KPI catalogue, change feeds and observations; both dataset kinds in one run.
+
+    With ``api_url``, ``url`` of a landed response is the address of its request, and every request of the
+    change feeds and of the observations must have an answer; without it, every feed must have one."""
     configure(raw.sparkSession)
 
     def values(name: str) -> DataFrame:
@@ -336,10 +386,20 @@ def kpis(raw: DataFrame, state: DataFrame, run: Run) -> DataFrame:
     areas, units = kpi_source.areas(values("municipality")), kpi_source.units(values("ou"))
     candidates = kpi.candidates_kpi(listed, year).withColumn("provider_code", F.lit(run.provider_code)).withColumn(
         "updated", absent("timestamp"))
+    started, checkpoint, force = F.lit(run.started_at).cast("timestamp"), F.lit(run.checkpoint).cast("timestamp"), F.lit(run.force)
+    spark = raw.sparkSession
+    full = spark.range(1).select(incremental.full_run(force, checkpoint, started), F.date_format(fn.window_start(started), "yyyy-MM-dd")).first()
+    asked = requests.whole_feeds(spark, {"kpi": "catalogue", "kpi_groups": "catalogue", "municipality": "catalogue"}
+                                 | ({} if listed.filter("has_ou_data").isEmpty() else {"ou": "catalogue"})
+                                 | ({} if full[0] or api_url is not None else {"changes": "feed"}))
+    if api_url is not None and not full[0]:
+        asked = asked.unionByName(requests.change_requests(areas, api_url, year, full[1]))
+    no_areas = areas.agg(F.count("*").alias("n")).filter(F.lit(not full[0]) & (F.col("n") == 0)).select(
+        F.lit("empty").alias("rule"), F.lit("municipality").alias("path"))
     changes = values("changes").select(
         fn.strip(F.get_json_object("body", "$.kpi")).alias("kpi_id"), F.when(F.col("url").contains("/oudata/"), "oudata").otherwise("data").alias("kind"))
     refused = run_error(
-        unanswered(raw, KPI_FEEDS), _broken_chains(raw),
+        unanswered(raw, KPI_FEEDS), requests.run_faults(requests.missing(asked, raw)), no_areas, _broken_chains(raw),
         groups.filter("fault is not null").select(F.lit("malformed").alias("rule"), F.concat_ws("/", F.lit("kpi_groups"), "group_id").alias("path")),
         kpi.conflicting_groups(groups.filter("fault is null")).select(F.lit("conflict").alias("rule"), F.concat_ws("/", F.lit("kpi_groups"), "group_id").alias("path")),
         kpi.unknown_scopes(listed.filter("scope_type is not null")).select(F.lit("enum").alias("rule"), F.concat_ws("/", F.lit("kpi"), "kpi_id").alias("path")),
@@ -349,7 +409,7 @@ def kpis(raw: DataFrame, state: DataFrame, run: Run) -> DataFrame:
     selection = _bounded(
         run,
         incremental.select_by_window(
-            one_each(candidates), state, changes, F.lit(run.started_at).cast("timestamp"), F.lit(run.checkpoint).cast("timestamp"), F.lit(run.force)),
+            one_each(candidates), state, changes, started, checkpoint, force),
         ["kpi_id", "kind"])
 
     seen = []
@@ -382,5 +442,14 @@ def kpis(raw: DataFrame, state: DataFrame, run: Run) -> DataFrame:
     pairs = documents.dataset_doc(chosen, spans).join(documents.metadata_doc(chosen, nested), KEY)
     empty = chosen.select(KEY).join(spans.select(KEY), KEY, "left_anti").select(
         KEY, F.lit("no live values").alias("rule"), F.lit("dimension").alias("path"))
-    return _outcomes(run, selection, pairs, _first_faults(empty), refused)
+    lacking = []
+    if api_url is not None:
+        due = chosen.select("kpi_id", KEY, "kind").join(listed.select("kpi_id", "scope_type"), "kpi_id")
+        lacking = [requests.dataset_faults(requests.missing(requests.value_requests(due, areas, api_url, year), raw))]
+    texts = chosen.drop("first_period", "last_period").join(spans, KEY, "left").withColumn("updated", absent("timestamp"))
+    maps = cats.select(KEY, "dim_id", "cat_id", *[absent(k).alias(c) for c, k in (("unit", "variant"), ("coordinates", "array<double>"))]).limit(0)
+    faults = _first_faults(
+        *lacking, empty, quality.check_categories(cats, [KEY, "dim_id"]),
+        *_document_faults(texts, dims.withColumn("nested_fault", F.lit(False)), maps, cats))
+    return Result(run, _outcomes(run, selection, pairs, faults, refused), refused)
 

@@ -99,7 +99,7 @@ def kpi_rows(period, deleted=False):
             ("ou", "o", 1, envelope({"id": "V1", "title": "Skola", "municipality": "0180"})),
             ("data", "d", 1, envelope({"kpi": "N1", "period": period, "municipality": "0180", "values": value})),
             ("oudata", "d", 1, envelope({"kpi": "N1", "period": period, "ou": "V1", "values": value})),
-            ("changes", "https://x/oudata/municipality/1", 1, envelope({"kpi": "N1"}))]
+            ("changes", "https://x/data/municipality/1", 1, envelope()), ("changes", "https://x/oudata/municipality/1", 1, envelope({"kpi": "N1"}))]
 
 
 def test_kpis(spark):
@@ -173,3 +173,91 @@ def test_a_kpi_run_is_refused(spark, change, error):
     got = outcomes(harvest.kpis(land(spark, rows), state(spark), harvest.Run("r", "demo", "sv", START)))
     assert {(r.outcome, r.error) for r in got.values()} in ({("failed", error)}, set())
     assert got or error == "kpi: unusable values"
+
+
+def test_a_v2_run_without_listing_is_refused(spark):
+    raw = land(spark, [("metadata", "https://a.org/tables/A/metadata?lang=sv", 1, GOOD)])
+    got = harvest.run_tables_v2(raw, state(spark), harvest.Run("r", "demo", "sv", START), "https://a.org")
+    assert got.error == "listing/first page: not answered" and got.outcomes.collect() == []
+
+
+@pytest.mark.parametrize("gone, error", [
+    ("kpi", "kpi/catalogue: not answered"), ("kpi_groups", "kpi_groups/catalogue: not answered"), ("municipality", "municipality/catalogue: not answered"),
+    ("ou", "ou/catalogue: not answered"), ("changes", "changes/feed: not answered")])
+def test_a_kpi_run_without_a_feed_is_refused(spark, gone, error):
+    raw = land(spark, [r for r in kpi_rows(2024) if r[0] != gone])
+    recent = state(spark, *[(c, None, START - timedelta(days=1), False) for c in ("N1", "N1_OU", "N2")])
+    got = harvest.run_kpis(raw, recent, harvest.Run("r", "demo", "sv", START, checkpoint=START - timedelta(days=2)))
+    assert got.error == error
+    assert {(r.outcome, r.error) for r in got.outcomes.collect() if r.outcome != "skipped"} <= {("failed", error)}
+
+
+def planned_rows(without=()):
+    """Every request of an incremental run over two areas, answered; ``without``: addresses left out."""
+    value = [{"gender": "T", "value": 1.0, "isdeleted": False}]
+    years = [list(range(a, min(a + 25, 2030))) for a in range(1970, 2030, 25)]
+    feeds = [list(range(2010, 2030))]
+    text = lambda ys: ",".join(map(str, ys))
+    rows = [r for r in kpi_rows(2024) if r[0] in ("kpi", "kpi_groups", "municipality", "ou")]
+    rows = [r for r in rows if r[0] != "municipality"] + [("municipality", "m", 1, envelope({"id": "0114", "title": "B", "type": "K"}, {"id": "0180", "title": "A", "type": "K"}))]
+    for kind in ("data", "oudata"):
+        for ys in feeds:
+            rows.append(("changes", f"https://k.org/v3/{kind}/municipality/0114,0180/year/{text(ys)}?from_date=2026-08-13", 1, envelope()))
+    for ident in ("N1", "N2"):
+        for ys in years:
+            entry = {"kpi": ident, "period": ys[0], "municipality": "0180", "values": value}
+            rows.append(("data", f"https://k.org/v3/data/kpi/{ident}/municipality/0114,0180/year/{text(ys)}?page=1", 1, envelope(entry)))
+    for y in range(1970, 2030):
+        rows.append(("oudata", f"https://k.org/v3/oudata/kpi/N1/year/{y}", 1, envelope({"kpi": "N1", "period": y, "ou": "V1", "values": value})))
+    return [r for r in rows if not any(w in r[1] for w in without)]
+
+
+@pytest.mark.parametrize("without, error, failed", [
+    ((), None, {}),
+    (("/oudata/municipality/",), "changes/oudata/0/0: not answered", {}),
+    (("/kpi/N2/municipality/0114,0180/year/1995",), None, {"N2": "data/N2/0/1: not answered"}),
+    (("/oudata/kpi/N1/year/2011",), None, {"N1_OU": "oudata/N1/2011: not answered"})])
+def test_a_kpi_run_against_its_request_plan(spark, without, error, failed):
+    run = harvest.Run("r", "demo", "sv", START, checkpoint=START - timedelta(days=2))
+    got = harvest.run_kpis(land(spark, planned_rows(without)), state(spark), run, "https://k.org/v3/")
+    found = outcomes(got.outcomes)
+    assert got.error == error
+    if error is None:
+        assert {c: r.error for c, r in found.items() if r.outcome == "failed"} == failed
+        assert {c for c, r in found.items() if r.outcome == "saved"} == {"N1", "N1_OU", "N2"} - failed.keys()
+    else:
+        assert {r.error for r in found.values()} == {error}
+
+
+@pytest.mark.parametrize("change, error, faults", [
+    ([], None, {}),
+    ([("nav", API1 + "/BE")], "nav//BE: not answered", {}),
+    ([("nav", API1)], "nav//: not answered", None),
+    ([("metadata", None)], None, {"T1.px": "metadata/T1.px: not answered"})])
+def test_a_v1_walk_against_its_request_plan(spark, change, error, faults):
+    rows = [("nav", API1, 1, [{"id": "BE", "text": "Folk", "type": "l"}, {"id": "T0.px", "text": "Noll", "type": "t", "updated": "2024-01-02"}]),
+            ("nav", API1 + "/BE/", 1, [{"id": "T1.px", "text": "Ett", "type": "t", "updated": "2024-01-02"}]),
+            ("metadata", API1 + "/T0.px", 1, META), ("sample", API1 + "/T0.px", 1, SAMPLE),
+            ("metadata", API1 + "/BE/T1.px", 1, META), ("sample", API1 + "/BE/T1.px", 1, SAMPLE)]
+    for feed, address in change:
+        rows = [r for r in rows if not (r[0] == feed and (r[1].rstrip("/") == address or (address is None and "T1" in r[1])))]
+    got = harvest.run_tables_v1(land(spark, rows), state(spark), harvest.Run("r", "demo", "sv", START), API1)
+    assert got.error == error
+    found = outcomes(got.outcomes)
+    if faults is None:
+        assert found == {}
+    elif error is None:
+        assert {c: r.error for c, r in found.items() if r.error} == faults and found["T0.px"].outcome == "saved"
+    else:
+        assert {r.error for r in found.values()} == {error}
+
+
+def test_v1_answers_with_an_error_name_their_status(spark):
+    rows = [("nav", API1, 200, [{"id": c, "text": c, "type": "t", "updated": "2024-01-02"} for c in ("A.px", "B.px", "C.px")]),
+            ("metadata", API1 + "/A.px", 503, {}), ("metadata", API1 + "/B.px", 200, META), ("sample", API1 + "/B.px", 404, {}),
+            ("metadata", API1 + "/C.px", 200, META), ("sample", API1 + "/C.px", 200, {**SAMPLE, "dimension": {
+                **SAMPLE["dimension"], "Region": {"category": {"index": {"0": 0, "1": 1}, "unit": {"0": {"decimals": -2}}}}}})]
+    raw = spark.createDataFrame([("s", f, u, code, START, 1, json.dumps(b)) for f, u, code, b in rows], schemas.RAW_RESPONSE)
+    got = outcomes(harvest.tables_v1(raw, state(spark), harvest.Run("r", "demo", "sv", START), API1))
+    assert {c: r.error for c, r in got.items()} == {
+        "A.px": "metadata/503: response", "B.px": "sample/404: response", "C.px": "unit/decimals: range"}
