@@ -48,10 +48,9 @@ def whole_feeds(spark: SparkSession, feeds: dict[str, str]) -> DataFrame:
 
 def missing(plan: DataFrame, raw: DataFrame) -> DataFrame:
     """The requests without a landed response; requests without an address stand for their feed."""
-    landed = raw.select(F.col("feed"), request_key(F.col("url")).alias("url")).distinct()
-    exact = plan.filter("url is not null").join(landed, ["feed", "url"], "left_anti")
-    feeds = plan.filter("url is null").join(landed.select("feed").distinct(), "feed", "left_anti")
-    return exact.unionByName(feeds.select(exact.columns)).select("feed", "url", "dataset_code", "why")
+    key = F.concat_ws(" ", "feed", "url")
+    landed = raw.select("feed", request_key(F.col("url")).alias("url")).select(F.explode(F.array(F.col("feed"), key)).alias("_key")).distinct()
+    return plan.withColumn("_key", key).join(landed, "_key", "left_anti").select("feed", "url", "dataset_code", "why")
 
 
 def run_faults(lacking: DataFrame) -> DataFrame:

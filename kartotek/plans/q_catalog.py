@@ -111,9 +111,13 @@ def agg_outcomes(t: Tables):
 @query("agg_listing_complete", """pages_ AS (
   SELECT DISTINCT o_orderkey // 10000 AS s, (o_orderkey // 1000) % 10 + 1 AS p, (o_orderkey // 10000) % 4 = 2 AND (o_orderkey // 1000) % 10 = 7 AS bad FROM orders)""", sql="""
 SELECT s::varchar AS scope, 10::bigint AS total_pages, count(*)::bigint AS landed_pages, count(*) FILTER (WHERE bad)::bigint AS bad_pages,
-       (count(*) = 10 AND count(*) FILTER (WHERE bad) = 0) AS complete FROM pages_ GROUP BY s""")
+       (count(*) = 10 AND count(*) FILTER (WHERE bad) = 0) AS complete FROM pages_ GROUP BY s
+UNION ALL SELECT 'never landed ' || n_nationkey, NULL, 0, 0, false FROM nation""")
 def agg_listing_complete(t: Tables):
-    return catalog.listing_complete(landed.listing_pages(t.listing_bodies)).select(
+    """Scopes of orders; one more for each nation was to be listed, but has no page."""
+    unlisted = t.nation.select(F.concat(F.lit("never landed "), F.col("n_nationkey").cast("string")).alias("scope"))
+    scopes = t.listing_bodies.select("scope").unionByName(unlisted)
+    return catalog.listing_complete(landed.listing_pages(t.listing_bodies), scopes).select(
         "scope", *bigint("total_pages", "landed_pages", "bad_pages"), "complete")
 
 
