@@ -234,35 +234,57 @@ def child_path(parent: Column, ident: Column) -> Column:
     return F.concat(F.when(parent == "/", "").otherwise(parent), F.lit("/"), ident)
 
 
-def override_labels(paths: DataFrame, entries: DataFrame, max_depth: int | None = None) -> DataFrame:
-    """Category labels of whole paths, read from the folder tree level by level. A path
-    counts only when every level was matched."""
-    tokens = paths.select(F.col("category_ids").alias("tokens")).distinct().filter("size(tokens) > 0")
-    if max_depth is None:
-        max_depth = tokens.agg(F.max(F.size("tokens"))).first()[0] or 0
-    none = F.array().cast("array<struct<id:string,name:string>>")
-    state = tokens.select("tokens", F.lit("/").alias("parent_path"), none.alias("categories"))
-    done = None
-    for level in range(1, max_depth + 1):
-        here = state.withColumn("category_id", F.element_at("tokens", level))
-        hits = match_folder(entries, here)
-        name = fn.strip_id_prefix(F.col("folder_text"), F.col("category_id"))
-        state = here.join(hits, ["parent_path", "category_id"]).select(
-            "tokens",
-            child_path(F.col("parent_path"), F.col("folder_id")).alias("parent_path"),
-            F.concat(
-                "categories",
-                F.array(F.struct(F.col("category_id").alias("id"), name.alias("name"))),
-            ).alias("categories"),
-        )
-        # Distinct paths only, so this is small; without it every level would repeat the last.
-        state = cut_lineage(state)
-        finished = state.filter(F.size("tokens") == level).select("tokens", "categories")
-        done = finished if done is None else done.unionByName(finished)
-        state = state.filter(F.size("tokens") > level)
-    if done is None:  # every table sits at the root
-        done = state.select("tokens", "categories")
-    return done.withColumnRenamed("tokens", "category_ids")
+def chosen_folders(entries: DataFrame) -> DataFrame:
+    """Each folder (parent_path, id, text) with the tiers in which it is the only one of its parent:
+    ``_tier`` and the key that tier compares."""
+    folders = entries.filter("type = 'l'").select("parent_path", "id", "text")
+    keys = F.array(F.col("id"), F.lower("id"), F.col("plain"))
+    tiers = _with_plain(folders, "id").select("*", F.posexplode(keys).alias("_tier", "_key"))
+    single = tiers.groupBy("parent_path", "_tier", "_key").agg(F.count("*").alias("_n")).filter("_n = 1").drop("_n")
+    return tiers.join(single, ["parent_path", "_tier", "_key"])
+
+
+def _with_plain(rows: DataFrame, ident: str) -> DataFrame:
+    """``plain``: the accent-free key, worked out once for each distinct id."""
+    ids = rows.select(F.col(ident).alias("_id")).distinct().withColumn("plain", fn.normalize_id(F.col("_id")))
+    return rows.join(ids, F.col(ident).eqNullSafe(F.col("_id"))).drop("_id")
+
+
+def override_labels(paths: DataFrame, entries: DataFrame) -> DataFrame:
+    """Category labels of whole paths, read from the folder tree. A path counts only when every
+    level was matched, each below the folder that was matched above it.
+
+    No loop over levels: every prefix of every distinct path meets the folders whose whole path has the
+    same accent-free key, and of each parent the best single folder is taken. A path is matched when the
+    folder of its last level has, for each of its own prefixes, the folder that was taken there."""
+    tokens = paths.select(F.col("category_ids").alias("tokens")).distinct()
+    ids = _with_plain(tokens.filter("size(tokens) > 0").select("tokens", F.posexplode("tokens").alias("level", "category_id")), "category_id")
+    keyed = ids.groupBy("tokens").agg(F.array_sort(F.collect_list(F.struct("level", "category_id", "plain"))).alias("_ids"))
+    prefixes = keyed.select("tokens", F.size("tokens").alias("depth"), F.posexplode("_ids").alias("_at", "_step"), "_ids").select(
+        "tokens", "depth", "_at", F.col("_step.category_id").alias("category_id"), F.col("_step.plain").alias("_plain"),
+        F.array_join(F.transform(F.slice("_ids", F.lit(1), F.col("_at") + 1), lambda x: F.coalesce(x["plain"], F.lit(""))), "/").alias("_closure"))
+
+    folders = cut_lineage(chosen_folders(entries).withColumn("path", child_path(F.col("parent_path"), F.col("id"))))
+    parts = folders.select("path").distinct().select("path", F.posexplode(F.split(F.expr("substring(path, 2)"), "/")).alias("level", "id"))
+    closures = _with_plain(parts, "id").groupBy("path").agg(
+        F.array_sort(F.collect_list(F.struct("level", F.coalesce("plain", F.lit("")).alias("p")))).alias("_p")).select(
+        "path", F.array_join(F.transform("_p", lambda x: x["p"]), "/").alias("_closure"))
+    key = F.get(F.array(F.col("category_id"), F.lower("category_id"), F.col("_plain")), F.col("_tier"))
+    met = prefixes.join(closures, "_closure").join(folders.drop("plain"), "path").filter(key == F.col("_key"))
+    taken = cut_lineage(first_per(
+        met.select("tokens", "depth", "_at", "category_id", "parent_path", "path", "text", "_tier"),
+        ["tokens", "_at", "parent_path"], [F.col("_tier")]))
+
+    own = F.split(F.expr("substring(path, 2)"), "/")
+    ends = taken.filter("_at = depth - 1").select("tokens", "depth", own.alias("own"), F.col("path").alias("end"))
+    above = ends.select("tokens", "depth", "end", F.explode(F.transform(F.sequence(F.lit(1), F.size("own")), lambda i: F.struct(
+        (i - 1).alias("_at"), F.concat(F.lit("/"), F.array_join(F.slice("own", F.lit(1), i), "/")).alias("path")))).alias("x")).select(
+        "tokens", "depth", "end", "x.*")
+    name = fn.strip_id_prefix(F.col("text"), F.col("category_id"))
+    matched = above.join(taken.select("tokens", "_at", "path", "category_id", "text"), ["tokens", "_at", "path"]).groupBy("tokens", "depth", "end").agg(
+        F.array_sort(F.collect_list(F.struct("_at", F.struct(F.col("category_id").alias("id"), name.alias("name")).alias("node")))).alias("_found"))
+    return matched.filter(F.size("_found") == F.col("depth")).select(
+        F.col("tokens").alias("category_ids"), F.transform("_found", lambda x: x["node"]).alias("categories"))
 
 
 def web_categories(tables: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
@@ -303,20 +325,28 @@ def valid_timestamp(df: DataFrame) -> DataFrame:
     return df.withColumn("stamp", stamp).filter("stamp is not null")
 
 
+def _first_of_paths(tables: DataFrame) -> DataFrame:
+    """First occurrence of each table in each of its category paths: what both the canonical
+    occurrence and the list of paths are made from, in one pass over the occurrences."""
+    return first_per(tables, ["id", "categories"], [F.lower("path"), F.col("path"), F.col("updated")])
+
+
 def occurrence_paths(tables: DataFrame) -> DataFrame:
     """Distinct non-empty category paths of each table, numbered in catalogue order."""
-    seen = (
-        tables.filter(F.size("categories") > 0)
-        .groupBy("id", "categories")
-        .agg(F.min(F.struct(F.lower("path").alias("key"), "path")).alias("_at"))
-    )
+    return _numbered(_first_of_paths(tables))
+
+
+def _numbered(firsts: DataFrame) -> DataFrame:
+    seen = firsts.filter(F.size("categories") > 0).select(
+        "id", "categories", F.struct(F.lower("path").alias("key"), "path").alias("_at"))
     return ordinals(seen, ["id"], ["_at", "categories"], "path_no").drop("_at")
 
 
 def collapse_occurrences(tables: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One candidate per table id, and its paths as rows. The date comes from the canonical
-    occurrence alone: if that one is unreadable, the table is skipped."""
-    chosen = valid_timestamp(canonical(tables))
+    occurrence alone: if that one is unreadable, the table is skipped. Occurrences are read once."""
+    firsts = cut_lineage(_first_of_paths(tables))
+    chosen = valid_timestamp(canonical(firsts))
     subject = F.try_element_at("categories", F.lit(-1))
     candidates = chosen.select(
         F.col("id").alias("dataset_code"),
@@ -326,7 +356,7 @@ def collapse_occurrences(tables: DataFrame) -> tuple[DataFrame, DataFrame]:
         subject["name"].alias("subject_label"),
         F.col("path").alias("canonical_path"),
     )
-    return candidates, occurrence_paths(tables)
+    return candidates, _numbered(firsts)
 
 
 def reconcile_counts(flat: DataFrame, web: DataFrame, enriched: DataFrame) -> DataFrame:

@@ -141,11 +141,14 @@ def state_from_facts(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def next_state(
-    state: DataFrame, outcomes: DataFrame, keys: Sequence[str], order: Sequence[str]
+    state: DataFrame, outcomes: DataFrame | None, keys: Sequence[str], order: Sequence[str],
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """State after a run: a save replaces both dates and clears the error, a failure sets
-    the error and keeps the last good dates, a skip changes nothing."""
-    news = state_from_facts(outcome_facts(outcomes, keys, order), keys).select(
+    the error and keeps the last good dates, a skip changes nothing. ``facts``: those of the
+    outcomes, where they are at hand."""
+    facts = outcome_facts(outcomes, keys, order) if facts is None else facts
+    news = state_from_facts(facts, keys).select(
         *keys, *[F.col(c).alias(f"new_{c}") for c in _STATE_FIELDS]
     )
     saved = F.col("new_last_fetched_at").isNotNull()

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from kartotek.operators import adapters, incremental, presence, sinks
 from kartotek.plans.bindings import Tables, code, text_of
-from kartotek.plans.oracle import CANDIDATES, OBS, SELECTION, STATE
+from kartotek.plans.oracle import CANDIDATES, OBS, ORDER_ID, SELECTION, STATE
 from kartotek.plans.registry import query
 from kartotek.session import fresh_dir
 from kartotek.streaming import outcomes as streams
+from kartotek.streaming.generations import FactLog
 
 
 @query("inc_timestamp", CANDIDATES, STATE, SELECTION, sql="SELECT dataset_code, should_fetch FROM selection")
@@ -128,8 +129,35 @@ def str_select(t: Tables):
         "event_id", F.lit("demo").alias("provider_code"), code("O", "user_id").alias("dataset_code"), F.lit("sv").alias("language"),
         F.when(F.col("event_id") % 2 == 0, F.col("own_date")).otherwise(F.col("ts").cast("timestamp")).alias("updated"))
     folder = fresh_dir(t.spark, "select-stream")
-    streams.finish(streams.stream_select(listing, t.state, f"{folder}/selected", f"{folder}/checkpoint"))
-    return t.spark.read.schema("event_id bigint, should_fetch boolean").parquet(f"{folder}/selected")
+    streams.finish(streams.stream_select(listing, t.state, folder, f"{folder}/checkpoint"))
+    return streams.selected(t.spark, folder, "event_id bigint, should_fetch boolean")
+
+
+@query("str_versions", sql=f"""
+SELECT {ORDER_ID} AS dataset_code, CASE WHEN b = 0 THEN 'before' ELSE 'after' END AS batch, b = 0 OR o_orderkey % 3 = 0 AS should_fetch
+FROM orders, range(2) r(b)""")
+def str_versions(t: Tables):
+    """Orders listed twice; between the two batches two in three of them are saved and the others fail."""
+    folder, keys = fresh_dir(t.spark, "version-stream"), list(incremental.IDENTITY)
+    log = FactLog(t.spark, f"{folder}/facts", keys)
+    cands = t.orders.select(
+        F.lit("demo").alias("provider_code"), code("O", "o_orderkey").alias("dataset_code"), F.lit("sv").alias("language"),
+        F.col("o_orderdate").cast("timestamp").alias("updated"), F.col("o_orderkey").alias("k"))
+    nothing = t.state.limit(0)
+    source = streams.file_stream(t.spark, t.sf_dir, "orders")
+    listing = source.select(
+        F.lit("demo").alias("provider_code"), code("O", "o_orderkey").alias("dataset_code"), F.lit("sv").alias("language"),
+        F.col("o_orderdate").cast("timestamp").alias("updated"))
+    both = None
+    for batch in ("before", "after"):
+        streams.finish(streams.stream_select(listing, nothing, f"{folder}/{batch}", f"{folder}/checkpoint-{batch}", keys, log))
+        part = streams.selected(t.spark, f"{folder}/{batch}", "dataset_code string, should_fetch boolean").withColumn("batch", F.lit(batch))
+        both = part if both is None else both.unionByName(part)
+        done = cands.withColumns({
+            "outcome": F.when(F.col("k") % 3 == 0, "failed").otherwise("saved"), "source_updated_at": F.col("updated"),
+            "ts": F.col("updated"), "n": F.lit(1)})
+        log.add(incremental.outcome_facts(done, keys, ["n"]), 0)
+    return both
 
 
 @query("udf_adapter_dispatch", """d AS (SELECT c_custkey AS k, 'c' || c_custkey AS id, c_name, c_mktsegment AS seg FROM customer)""", sql="""
