@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -43,9 +44,12 @@ from kartotek.llm.boosting import sigmoid
 #: Labelled texts of the sample, about, and landmarks among clean words near to telling ones (as many
 #: as telling ones, if these are more); the sample bounds the telling ones, which are all landmarks.
 FIT_TOXIC, FIT_CLEAN, LANDMARKS = 1000, 2000, 120
-#: Evidence (log likelihood ratio) of a telling word, clean words that the machine is trained on,
+#: Least evidence (log likelihood ratio) of a telling word, clean words that the machine is trained on,
 #: and the weight of its errors against the size of its weights.
 EVIDENCE, CLEAN_WORDS, SUPPORT_COST = 12.0, 4000, 2000.0
+#: Plain words that may pass as telling by chance, whatever the number of words that are tried; words
+#: of a text's sketch, and how many of them two near copies share.
+MISTAKE, SKETCH, SHARED = 3.0, 24, 12
 #: Fall of the kernel with distance, and similarity to a toxic landmark below which a word is
 #: like any other.
 SHARPNESS, LIKE = 6.0, 0.5
@@ -252,18 +256,36 @@ def _support_vectors(z: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: floa
 
 
 def _telling(seen: tuple[Counter, Counter], docs: list[int]) -> dict[str, float]:
-    """Words of toxic texts with the evidence (log likelihood ratio) that they tell them apart."""
+    """Words of toxic texts with the evidence (log likelihood ratio) that they tell them apart. The more
+    words are tried, the more evidence each must have."""
     out = {}
     share = docs[1] / sum(docs)
+    least = max(EVIDENCE, 2 * math.log(max(1, sum(n > 1 for n in seen[1].values())) / MISTAKE))
     for w, n in seen[1].items():
         m = seen[0][w]
         if n > 1 and n * docs[0] > 4 * m * docs[1]:
             g = 2 * (n * math.log(n / ((n + m) * share)) + (m * math.log(m / ((n + m) * (1 - share))) if m else 0.0))
-            if g > EVIDENCE:
+            if g > least:
                 out[w] = g
     return out
 
 
+def _one_of_copies(texts: list[tuple[list[str], int]]) -> list[tuple[list[str], int]]:
+    """The texts without those that are near copies of an earlier one: copies of one toxic text would
+    make each of its plain words tell. Sketches are the words with the smallest hashes."""
+    seen: dict[int, list[int]] = {}
+    out = []
+    for found, y in texts:
+        sketch = sorted({zlib.crc32(letters(w).encode("utf-8", "surrogatepass")) for w in found})[:SKETCH]
+        met = Counter(k for h in sketch for k in seen.get(h, ()))
+        if met and max(met.values()) >= max(SHARED * len(sketch) / SKETCH, 2):
+            continue
+        for h in sketch:
+            seen.setdefault(h, []).append(len(out))
+        out.append((found, y))
+    return out
+
+
 def train(texts: list[tuple[list[str], int]], share: float | None = None) -> Machine:
     """A machine from (distinct words, label) of a bounded list of texts. ``share``: that of toxic
     labels where the list was drawn, if the list has another one."""
@@ -278,7 +300,7 @@ def train(texts: list[tuple[list[str], int]], share: float | None = None) -> Mac
         train_on = held = texts
     seen = (Counter(), Counter())
     docs = [0, 0]
-    for found, y in train_on:
+    for found, y in _one_of_copies(train_on):
         docs[y] += 1
         seen[y].update({w for w in map(letters, found) if len(w) > 2})
     telling = _telling(seen, docs)
