@@ -163,16 +163,23 @@ def lists_of(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _nearest(q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, id, distance) of the k nearest rows of x for each row of q, ties to smaller ids."""
+    """(query row, id, distance) of the k nearest ids of x for each row of q, ties to smaller ids; an
+    id that stands in several rows counts with its nearest one."""
+    order = np.argsort(ids, kind="stable")
+    ids, x = ids[order], x[order]
+    first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, np.int64)
+    names = ids[first]
     rows, found, scores = [], [], []
     for i, v in enumerate(q):
         d = np.sqrt(((x - v) ** 2).sum(1))
+        if len(names) < len(d):
+            d = np.minimum.reduceat(d, first)
         take = np.arange(len(d))
         if len(d) > k:
             take = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1])
-        take = take[np.lexsort((ids[take], d[take]))][:k]
+        take = take[np.lexsort((names[take], d[take]))][:k]
         rows.append(np.full(len(take), i))
-        found.append(ids[take])
+        found.append(names[take])
         scores.append(d[take])
     return tuple(np.concatenate(c) if c else np.zeros(0) for c in (rows, found, scores))
 
@@ -233,9 +240,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
     probes = wanted.groupBy("qk").agg(F.first("v").alias("qv")).mapInArrow(
         probe, "list int, part int, qk long, qv array<double>")
-    n_parts = F.udf(lambda n: -(-counts.value.get(n, 1) // PART), "int") if max(sizes.values()) > PART else None
-    placed = postings.withColumn(
-        "part", F.lit(0) if n_parts is None else F.pmod(F.xxhash64("id"), n_parts("list")).cast("int"))
+    parts = spark.createDataFrame([(n, -(-size // PART)) for n, size in sizes.items()], "list int, parts long")
+    placed = postings.join(F.broadcast(parts), "list").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int")).drop("parts")
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:

@@ -1,6 +1,7 @@
 """Nearest neighbours: recall and exact scores against brute force."""
 
 import numpy as np
+import pytest
 
 import __spark_entry__ as entry
 from kartotek.llm import ann
@@ -84,3 +85,12 @@ def test_long_lists_are_searched_in_parts(spark, monkeypatch):
     got = found(ann.search(base, base.where("id % 50 = 0"), 5))
     want = brute(rows, 5, lambda i: i % 50 == 0)
     assert {q: [i for i, _ in n] for q, n in got.items()} == {q: [i for i, _ in n] for q, n in want.items()}
+
+
+@pytest.mark.parametrize("part", [4096, 7])
+def test_an_id_repeated_near_the_query_does_not_crowd_out_others(spark, monkeypatch, part):
+    monkeypatch.setattr(ann, "PART", part)
+    rows = [(100, [0.0, 1.0])] + [(5, [0.001 * k, 1.0]) for k in range(1, 41)] + [(200 + k, [1.0 + k, 1.0]) for k in range(20)]
+    vectors = ann.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    got = ann.search(vectors, vectors.where("id = 100"), 10).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [5, *range(200, 209)] and abs(got[0].score - 0.001) < 1e-12
