@@ -88,7 +88,7 @@ class Tables:
             F.when(k % 13 == 0, F.concat(F.lit(" Källa: "), "p_type", F.lit("."))).otherwise(""),
         )
         description = (
-            F.when(k % 5 == 1, "  Text.\\nMetod.   Källa: SCB, bl.a. RKA. Slut.  ")
+            F.when(k % 5 == 1, "  Räknat per\\nkilometer.   Källa: Trafikverket, bl.a. VTI. Se ovan.  ")
             .when(k % 5 == 2, "Ingen")
             .when(k % 5 == 3, F.concat(F.lit("Källor: "), "p_brand", F.lit(". Mer")))
             .when(k % 5 == 4, "Källa:")

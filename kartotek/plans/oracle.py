@@ -31,12 +31,12 @@ KPIS = f"""kpis AS (
   SELECT p_partkey, {KPI_ID} AS kpi_id,
          p_name || CASE WHEN p_partkey % 50 = 0 THEN ' (-1998)' WHEN p_partkey % 11 = 0 THEN ' ( - 2030 )' ELSE '' END
            || CASE WHEN p_partkey % 13 = 0 THEN ' Källa: ' || p_type || '.' ELSE '' END AS title,
-         CASE p_partkey % 5 WHEN 1 THEN 'Text. Metod. Källa: SCB, bl.a. RKA. Slut.' WHEN 2 THEN 'Ingen'
+         CASE p_partkey % 5 WHEN 1 THEN 'Räknat per kilometer. Källa: Trafikverket, bl.a. VTI. Se ovan.' WHEN 2 THEN 'Ingen'
               WHEN 3 THEN 'Källor: ' || p_brand || '. Mer' WHEN 4 THEN 'Källa:' END AS description,
          p_size % 2 = 0 AS is_divided_by_gender, p_partkey % 4 = 0 AS has_ou_data,
          CASE p_partkey % 3 WHEN 1 THEN 'K' WHEN 2 THEN 'L' ELSE 'A' END AS scope_type,
          p_type AS operating_area, p_brand, p_size,
-         CASE WHEN p_partkey % 5 = 1 THEN 'SCB, bl.a. RKA' WHEN p_partkey % 5 = 3 THEN p_brand
+         CASE WHEN p_partkey % 5 = 1 THEN 'Trafikverket, bl.a. VTI' WHEN p_partkey % 5 = 3 THEN p_brand
               WHEN p_partkey % 13 = 0 THEN p_type ELSE 'Kolada' END AS source,
          CASE WHEN p_partkey % 5 IN (1, 3) THEN 'description'
               WHEN p_partkey % 13 = 0 THEN 'title' ELSE 'fallback' END AS origin,

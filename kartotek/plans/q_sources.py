@@ -126,7 +126,7 @@ def src_observations(t: Tables):
 @query("src_kpis", KPIS, sql="""
 SELECT kpi_id, title, description, is_divided_by_gender, scope_type, has_ou_data, operating_area,
        CASE WHEN p_size % 3 <> 0 THEN 'Resurser' END AS perspective, 'T' AS auspice, p_size::varchar AS publ_period,
-       CASE WHEN p_partkey % 5 = 1 THEN '  Text.\\nMetod.   Källa: SCB, bl.a. RKA. Slut.  ' END AS raw_description
+       CASE WHEN p_partkey % 5 = 1 THEN '  Räknat per\\nkilometer.   Källa: Trafikverket, bl.a. VTI. Se ovan.  ' END AS raw_description
 FROM kpis""".replace("\\\\", "\\"))
 def src_kpis(t: Tables):
     return kpi.kpis(t.kpi_bodies).select(

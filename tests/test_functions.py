@@ -82,8 +82,8 @@ def test_time_unit(spark, first, last, unit):
 
 
 @pytest.mark.parametrize(
-    "title,year", [("Test (-2024)", 2024), ("Test ( - 2024 )", 2024), ("Test (1998-)", None),
-                   ("Test", None)],
+    "title,year", [("Vägar (-2019)", 2019), ("Vägar, km (  - 2031 )", 2031), ("Broar (2003-)", None),
+                   ("Broar", None)],
 )
 def test_retired_year(spark, title, year):
     assert one(spark, fn.retired_year(F.col("t")), t=title) == year
