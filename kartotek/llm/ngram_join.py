@@ -230,50 +230,86 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows([found])
 
 
+_SETS = "cls long, size long, sketch array<long>, fragments array<array<long>>"
+
+
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """(cls, size, fragment, grams): each set in FRAGMENTS vertical fragments, and as fragment -1
-    its short sketch: the parity of its shingles in 512 bits."""
+    """(cls, size, sketch, fragments): each set in FRAGMENTS vertical fragments, and its sketch: the
+    parity of the number of shingles in each of its bits, so two sketches differ in no more bits
+    than the sets in shingles."""
     for batch in words.slices(batches):
         row, grams = words.shingle_sets(words.cut(batch.column(1), lower=True), size)
-        sizes = np.bincount(row, minlength=batch.num_rows)
-        slot = row * FRAGMENTS + ((grams >> _U(22)) * _U(FRAGMENTS) >> _U(32)).astype(np.int64)
-        fresh = np.ones(len(slot), bool)
-        fresh[1:] = slot[1:] != slot[:-1]
-        starts = np.flatnonzero(fresh)
-        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(slot)), pa.int32()), _longs(grams))
-        own = slot[starts] // FRAGMENTS
-        names = ["cls", "size", "fragment", "grams"]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(own)), _longs(sizes[own]),
-             pa.array(slot[starts] % FRAGMENTS, pa.int32()), lists], names)
         n = batch.num_rows
-        marks = np.bincount(row * 512 + (words.mix(grams) % _U(512)).astype(np.int64), minlength=512 * n) & 1
-        short = np.packbits(marks.astype(bool)).view(np.int64)
+        sizes = np.bincount(row, minlength=n)
+        slot = row * FRAGMENTS + ((grams >> _U(22)) * _U(FRAGMENTS) >> _U(32)).astype(np.int64)
+        ends = np.append(0, np.cumsum(np.bincount(slot, minlength=n * FRAGMENTS)))
+        fragments = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _longs(grams))
+        bits = sketch_bits(sizes)
+        base = np.append(0, np.cumsum(bits))
+        place = base[row] + (words.mix(grams) % bits[row].astype(_U)).astype(np.int64)
+        marks = np.bincount(place, minlength=base[-1]) & 1
+        sketches = pa.ListArray.from_arrays(
+            pa.array(base // 64, pa.int32()), pa.array(np.packbits(marks.astype(bool)).view(np.int64)))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), _longs(sizes), pa.array(np.full(n, -1), pa.int32()),
-             pa.ListArray.from_arrays(pa.array(np.arange(0, 8 * n + 1, 8), pa.int32()), pa.array(short))], names)
+            [batch.column(0), _longs(sizes), sketches,
+             pa.ListArray.from_arrays(pa.array(np.arange(0, n * FRAGMENTS + 1, FRAGMENTS), pa.int32()), fragments)],
+            ["cls", "size", "sketch", "fragments"])
+
+
+def sketch_bits(sizes: np.ndarray) -> np.ndarray:
+    """Two bits a shingle, doubling, so that sketches of unlike sizes can be folded."""
+    steps = np.ceil(np.log2(np.maximum(2 * sizes, 1))).astype(np.int64)
+    return np.minimum(SKETCH_BITS, 1 << np.maximum(steps, 7))
 
 
 # --- links ------------------------------------------------------------------------------------
 
+def _only(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows of ``sets`` but most of those not in ``classes``: a bit table of fixed size, which lets more
+    of them through where it fills up, keeps them out of the shuffle before the exact join."""
+    sieve = sets.sparkSession.sparkContext.broadcast(bitmap.build(classes, "cls"))
+
+    def sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(bitmap.contains(sieve.value, batch.column(0).to_numpy())))
+
+    return sets.select("cls", "fragments").mapInArrow(sifted, "cls long, fragments array<array<long>>")
+
+
+def _differing(percent: int):
+    """Bits in which the sketches sa and sb differ, the longer one folded to the other's length."""
+    def xor(x, y):
+        return x.bitwiseXOR(y)
+
+    def folded(one, other):
+        for _ in range(math.ceil(math.log2(100 / percent))):
+            half = (F.size(one) / 2).cast("int")
+            one = F.when(F.size(one) > F.size(other), F.zip_with(
+                F.slice(one, F.lit(1), half), F.slice(one, half + 1, half), xor)).otherwise(one)
+        return one
+
+    a, b = F.col("sa"), F.col("sb")
+    return F.aggregate(F.zip_with(folded(a, b), folded(b, a), lambda x, y: F.bit_count(xor(x, y))),
+                       F.lit(0), lambda x, y: x + y)
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, na, b, nb) that link: overlaps by fragment, summed. Short sketches, which
-    cannot differ in more bits than the sets in shingles, spare most other pairs the count."""
-    short = sets.where("fragment = -1")
-    sets = sets.where("fragment >= 0")
-    differing = F.aggregate(
-        F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-    pairs = (
+    """The pairs (a, na, b, nb), near in size, that link: overlaps by fragment, summed. Sketches, which
+    cannot differ in more bits than the sets in shingles, spare most other pairs the count, and
+    only sets of the pairs that are left travel."""
+    short = sets.select("cls", "sketch")
+    near = written(
         pairs.select("a", "na", "b", "nb")
-        .join(short.select(F.col("cls").alias("a"), F.col("grams").alias("sa")), "a")
-        .join(short.select(F.col("cls").alias("b"), F.col("grams").alias("sb")), "b")
-        .where(differing * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
-        .select("a", "na", "b", "nb")
-    )
-    left = sets.select(F.col("cls").alias("a"), "fragment", F.col("grams").alias("ga"))
-    right = sets.select(F.col("cls").alias("b"), "fragment", F.col("grams").alias("gb"))
+        .join(short.select(F.col("cls").alias("a"), F.col("sketch").alias("sa")), "a")
+        .join(short.select(F.col("cls").alias("b"), F.col("sketch").alias("sb")), "b")
+        .where(_differing(percent) * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
+        .select("a", "na", "b", "nb"), "near")
+    used = _only(sets, near.select(F.explode(F.array("a", "b")).alias("cls")))
+    left = used.select(F.col("cls").alias("a"), "fragments")
+    right = used.select(F.col("cls").alias("b"), F.posexplode("fragments").alias("fragment", "gb"))
     overlap = (
-        pairs.join(left, "a").join(right, ["b", "fragment"])
+        near.join(left, "a").select("a", "na", "b", "nb", F.posexplode("fragments").alias("fragment", "ga"))
+        .where(F.size("ga") > 0).join(right.where(F.size("gb") > 0), ["b", "fragment"])
         .groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("ga", "gb"))).alias("o"),
                                F.first("na").alias("na"), F.first("nb").alias("nb"))
     )
@@ -305,24 +341,6 @@ def _member_postings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterato
             ["posting", "cls", "size", "component"])
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cls, sketch): a sketch holds the parity of the number of shingles in each of its bits, so
-    two differ in no more bits than the sets in shingles."""
-    for batch, _, grams, sizes in _members(batches):
-        sketches = []
-        at = np.append(0, np.cumsum(sizes))
-        for i, n in enumerate(sizes):
-            bits = sketch_bits(int(n))
-            marks = np.bincount((words.mix(grams[at[i]:at[i + 1]]) % _U(bits)).astype(np.int64), minlength=bits) & 1
-            sketches.append(np.packbits(marks.astype(bool)).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sketches, pa.binary())], ["cls", "sketch"])
-
-
-def sketch_bits(n: int) -> int:
-    """Four bits a shingle, doubling, so that sketches of unlike sizes can be folded."""
-    return min(SKETCH_BITS, 1 << max(7, (4 * n - 1).bit_length()))
-
-
 def _apart(batches: Iterator[pa.RecordBatch], percent: int, forest: bool) -> Iterator[pa.RecordBatch]:
     """Pairs of unlike components in one block pair of a posting that the sketches let pass; with
     ``forest`` only the nearest ones that join components. Rows are sorted by (posting, i, j)."""
@@ -337,20 +355,31 @@ def _apart(batches: Iterator[pa.RecordBatch], percent: int, forest: bool) -> Ite
             now = tuple(batch.column(c)[lo].as_py() for c in ("posting", "i", "j"))
             if now != key:
                 if held:
-                    yield from _compare(pa.Table.from_batches(held).combine_chunks(), percent, forest)
+                    yield from _named(key, _compare(pa.Table.from_batches(held).combine_chunks(), percent, forest))
                 key, held = now, []
             held.append(batch.slice(lo, hi - lo))
     if held:
-        yield from _compare(pa.Table.from_batches(held).combine_chunks(), percent, forest)
+        yield from _named(key, _compare(pa.Table.from_batches(held).combine_chunks(), percent, forest))
+
 
+def _named(key: tuple[int, int, int], found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs with the block pair they were found in."""
+    for pairs in found:
+        if pairs.num_rows:
+            own = [pa.array(np.full(pairs.num_rows, k), t)
+                   for k, t in zip(key, (pa.int64(), pa.int32(), pa.int32()), strict=True)]
+            yield pa.RecordBatch.from_arrays([*own, *pairs.columns], ["posting", "i", "j", *pairs.schema.names])
 
-def _folded(sketches: list[bytes]) -> np.ndarray:
+
+def _folded(sketches: pa.ListArray) -> np.ndarray:
     """Sketches as rows of 64-bit words, all folded to the length of the shortest."""
-    width = min(map(len, sketches))
-    out = np.empty((len(sketches), width), np.uint8)
-    for k, s in enumerate(sketches):
-        out[k] = np.bitwise_xor.reduce(np.frombuffer(s, np.uint8).reshape(-1, width), 0)
-    return out.view(np.uint64)
+    flat = sketches.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    lengths = np.diff(sketches.offsets.to_numpy())
+    at = np.append(0, np.cumsum(lengths))
+    out = np.empty((len(sketches), lengths.min()), np.uint64)
+    for k in range(len(sketches)):
+        out[k] = np.bitwise_xor.reduce(flat[at[k]:at[k + 1]].reshape(-1, out.shape[1]), 0)
+    return out
 
 
 def _compare(rows: pa.Table, percent: int, forest: bool) -> Iterator[pa.RecordBatch]:
@@ -359,7 +388,7 @@ def _compare(rows: pa.Table, percent: int, forest: bool) -> Iterator[pa.RecordBa
     label = label.copy()
     if (label == label[0]).all():
         return
-    sketch = _folded(rows.column("sketch").to_pylist())
+    sketch = _folded(rows.column("sketch").chunk(0))
     across = rows.column("i")[0] != rows.column("j")[0]
     firsts, seconds, held = [], [], 0
     for k in range(len(cls) - 1):
@@ -434,7 +463,7 @@ def shingle_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
         sifted, "doc_id long, cls long, text string")
     sets = written(
         chosen.join(involved, ["doc_id", "cls"]).dropDuplicates(["doc_id", "cls"]).select("cls", "text").mapInArrow(
-            lambda b: _sets(b, size), "cls long, size long, fragment int, grams array<long>"), "sets")
+            lambda b: _sets(b, size), _SETS), "sets")
 
     tried = candidates.where(_near_in_size(percent))
     links = written(_linked(tried, sets, percent), "links")
@@ -461,33 +490,38 @@ def _close_gaps(candidates, sets, links, component, percent, tasks) -> DataFrame
         .join(component.select(F.col("cls").alias("b"), F.col("component").alias("cb")), "b")
         .where("ca <> cb").select(F.explode(F.array("ca", "cb")).alias("component")).distinct()
     )
-    members = component.join(ends, "component")
-    whole = written(
-        members.join(sets.where("fragment >= 0").groupBy("cls").agg(F.flatten(F.collect_list("grams")).alias("grams")), "cls")
-        .select("cls", "component", "grams"), "members")
+    members = written(component.join(ends, "component").select("cls", "component"), "members")
+    whole = (
+        _only(sets, members).select("cls", F.flatten("fragments").alias("grams"))
+        .join(members, "cls").select("cls", "component", "grams")
+    )
     postings = written(whole.mapInArrow(
         lambda b: _member_postings(b, percent), "posting long, cls long, size long, component long"), "postings")
-    sketches = whole.mapInArrow(_sketches, "cls long, sketch binary")
+    met = (
+        postings.groupBy("posting")
+        .agg(F.count("*").alias("n"), F.min("component").alias("p"), F.max("component").alias("q"))
+        .where("p <> q AND n > 2").select("posting", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    )
+    blocks = written(
+        postings.join(met, "posting")
+        .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+        .select("posting", "i", "j", "own", "cls", "size", "component"), "blocks")
     for forest in (True, False):
         if not forest:
+            # A block pair without a pair along the forest left nothing out: it has none at all.
             component = written(_components(component.select("cls"), links), "components")
-            postings = postings.drop("component").join(component, "cls")
-        met = (
-            postings.groupBy("posting")
-            .agg(F.count("*").alias("n"), F.min("component").alias("p"), F.max("component").alias("q"))
-            .where("p <> q AND n > 2").select("posting", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-        )
-        blocks = (
-            postings.join(met, "posting")
-            .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-            .select("posting", "i", "j", "own", "cls", "size", "component").join(sketches, "cls")
+            blocks = (
+                blocks.drop("component")
+                .join(pairs.select("posting", "i", "j").distinct(), ["posting", "i", "j"], "left_semi")
+                .join(component, "cls")
+            )
+        pairs = written(
+            blocks.join(sets.select("cls", "sketch"), "cls")
             .select("posting", "i", "j", "own", "cls", "size", "component", "sketch")
-        )
-        pairs = (
-            blocks.repartition(tasks, "posting", "i", "j").sortWithinPartitions("posting", "i", "j")
-            .mapInArrow(lambda b, f=forest: _apart(b, percent, f), _PAIRS).distinct()
-        )
-        links = written(links.unionByName(_linked(pairs, sets, percent)).distinct(), "links")
+            .repartition(tasks, "posting", "i", "j").sortWithinPartitions("posting", "i", "j")
+            .mapInArrow(lambda b, f=forest: _apart(b, percent, f), f"posting long, i int, j int, {_PAIRS}"), "pairs")
+        found = pairs.select("a", "na", "b", "nb").distinct()
+        links = written(links.unionByName(_linked(found, sets, percent)).distinct(), "links")
     return links

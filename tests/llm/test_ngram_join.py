@@ -105,11 +105,32 @@ def test_sketches_never_hide_a_link():
         b = np.append(a[: n - n // 10], rng.integers(0, 1 << words.SET_BITS, n // 20, dtype=np.uint64))
 
         def sketch(x):
-            bits = ngram_join.sketch_bits(len(x))
-            return np.packbits(np.bincount((words.mix(x) % np.uint64(bits)).astype(int), minlength=bits) % 2).tobytes()
+            bits = int(ngram_join.sketch_bits(np.array([len(x)]))[0])
+            marks = np.bincount((words.mix(x) % np.uint64(bits)).astype(int), minlength=bits) % 2
+            return np.packbits(marks.astype(bool)).view(np.int64).tolist()
 
         rows = pa.table({"cls": [0, 1], "size": [len(a), len(b)], "component": [0, 1], "own": [0, 0], "i": [0, 0], "j": [0, 0],
                          "sketch": [sketch(a), sketch(b)]})
         linked = 100 * len(set(a) & set(b)) >= 80 * len(set(a) | set(b))
         for forest in (True, False):
             assert not linked or sum(x.num_rows for x in ngram_join._compare(rows, 80, forest)) == 1
+
+
+def test_sketch_bits_double():
+    bits = ngram_join.sketch_bits(np.array([1, 64, 65, 128, 129, 4096, 10 ** 6]))
+    assert bits.tolist() == [128, 128, 256, 256, 512, 8192, ngram_join.SKETCH_BITS]
+
+
+def test_links_of_sketches_of_unlike_widths(spark):
+    """Pairs at both sides of a doubling of the sketch and of the threshold."""
+    rng = np.random.default_rng(5)
+    pairs, texts = [], []
+    for n, extra in ((60, 10), (60, 15), (60, 16), (120, 30), (500, 125), (500, 126), (3, 0)):
+        pool = [f"w{x}" for x in rng.integers(0, 10 ** 9, n + extra + 4)]
+        cls = 10 * len(pairs)
+        texts += [(cls, " ".join(pool[:n + 4])), (cls + 1, " ".join(pool))]
+        pairs.append((cls, n, cls + 1, n + extra))
+    sets = spark.createDataFrame(texts, "cls long, text string").coalesce(1).mapInArrow(
+        lambda b: ngram_join._sets(b, 5), ngram_join._SETS)
+    got = ngram_join._linked(spark.createDataFrame(pairs, "a long, na long, b long, nb long"), sets, 80).collect()
+    assert {(r.a, r.b) for r in got} == {(a, b) for a, na, b, nb in pairs if 100 * na >= 80 * nb}
