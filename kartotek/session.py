@@ -14,6 +14,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # A payload that repeats a key must fail its own rule, not the job.
     spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+    # Rows differ in length by orders of magnitude: batches for Python are bounded by bytes.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     return spark
 
 
