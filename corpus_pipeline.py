@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from kartotek.llm import decontamination, mixing, ngram_join, pii, toxicity
 from kartotek.llm.registry import table
 from kartotek.llm.store import written
+from kartotek.session import configure
 
 #: Words of a shingle and similarity in percent from which two documents are near duplicates.
 SHINGLE, PERCENT = 5, 80
@@ -64,7 +65,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table of documents."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(configure(spark), sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from kartotek.llm import bitmap, words
 from kartotek.llm.components import connected
 from kartotek.llm.store import written
+from kartotek.session import configure
 
 #: Ratio of the largest to the smallest size of a size class.
 CLASS_RATIO = 1.5
@@ -434,7 +435,7 @@ def shingle_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     """doc_id, n_shingles, component_id for each row of ``docs`` (doc_id, text): the smallest
     doc_id reachable by links, where 100 * intersection >= percent * union."""
     texts = docs.select("doc_id", "text")
-    spark = docs.sparkSession
+    spark = configure(docs.sparkSession)
     sized = written(texts.mapInArrow(lambda b: _sizes(b, size), "doc_id long, n_shingles long, cls long"), "sizes")
     classes = sized.where("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
 
