@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from kartotek import functions as fn
 from kartotek.operators import kpi
 from kartotek.operators.catalog import child_path
+from kartotek.session import spread
 
 PLAN = "feed string, url string, dataset_code string, why string"
 
@@ -31,7 +32,8 @@ def request_key(url: Column) -> Column:
     """The address of a request, whichever of its pages was answered."""
     bare = F.regexp_replace(url, r"#.*$", "")
     unpaged = F.regexp_replace(F.regexp_replace(bare, r"([?&])(?:page|pageNumber)=\d+(?=&|$)", "$1"), r"([?&])&+", "$1")
-    return F.regexp_replace(F.regexp_replace(unpaged, r"[?&]+$", ""), "/+$", "")
+    plain = ~(url.contains("#") | url.contains("?") | url.contains("&") | url.endswith("/"))
+    return F.when(plain, url).otherwise(F.regexp_replace(F.regexp_replace(unpaged, r"[?&]+$", ""), "/+$", ""))
 
 
 def requests(rows: DataFrame, feed: str, url: Column, why: Column, dataset: Column | None = None) -> DataFrame:
@@ -47,9 +49,13 @@ def whole_feeds(spark: SparkSession, feeds: dict[str, str]) -> DataFrame:
 
 
 def missing(plan: DataFrame, raw: DataFrame) -> DataFrame:
-    """The requests without a landed response; requests without an address stand for their feed."""
+    """The requests without a landed response; requests without an address stand for their feed.
+
+    Addresses repeat by pages only, so they are not made distinct: that would hold the addresses of a whole
+    split in one task and an anti-join has no use for it. Feeds are few, so those are."""
     key = F.concat_ws(" ", "feed", "url")
-    landed = raw.select("feed", request_key(F.col("url")).alias("url")).select(F.explode(F.array(F.col("feed"), key)).alias("_key")).distinct()
+    answered = raw.filter("url is not null").select("feed", request_key(F.col("url")).alias("url")).select(key.alias("_key"))
+    landed = answered.unionByName(raw.select(F.col("feed").alias("_key")).distinct())
     return plan.withColumn("_key", key).join(landed, "_key", "left_anti").select("feed", "url", "dataset_code", "why")
 
 
@@ -117,7 +123,7 @@ def change_requests(areas: DataFrame, api_url: str, year: int, since: str, kinds
 def value_requests(due: DataFrame, areas: DataFrame, api_url: str, year: int, bounds: list | None = None) -> DataFrame:
     """The observations of each indicator that is fetched (kpi_id, dataset_code, kind, scope_type): areas of
     its scope and all years in batches, or for units one request a year."""
-    api = api_url.rstrip("/")
+    api, due = api_url.rstrip("/"), spread(due, "kpi_id")
     scoped = kpi.area_scopes(areas.dropDuplicates(["area_id"]))
     batches = kpi.probe_batches(scoped, FIRST_VALUE_YEAR, year + YEARS_AHEAD, group=("scope_type",), bounds=bounds)
     asked = due.filter("kind = 'data'").join(batches, "scope_type")

@@ -87,3 +87,19 @@ def test_folders_that_are_asked_for(spark):
         [("/", "A", "l"), ("/A", "B c", "l"), ("/X", "Y", "l"), ("/A", "T", "t"), ("/", "A", "l")], "parent_path string, id string, type string")
     got = {r.url for r in requests.folder_requests(entries, "https://h.org/Db/").collect()}
     assert got == {"https://h.org/Db", "https://h.org/Db/A", "https://h.org/Db/A/B%20c"}
+
+
+def test_a_plan_is_spread_and_held_against_addresses_as_they_are(spark):
+    """Few indicators become many requests, so they leave their split first; addresses are not made distinct in its task."""
+    areas = spark.createDataFrame([("0001", "K")], "area_id string, type string")
+    due = spark.range(8).coalesce(1).selectExpr("concat('N', id) AS kpi_id", "concat('N', id) AS dataset_code", "'data' AS kind", "'K' AS scope_type")
+    asked = requests.value_requests(due, areas, "https://k.org", 2026)
+    assert "RepartitionByExpression [kpi_id" in asked._jdf.queryExecution().optimizedPlan().toString()
+    raw = spark.createDataFrame(
+        [("data", "https://k.org/a?page=1"), ("data", "https://k.org/a?page=2"), ("kpi", None), ("ou", "")], "feed string, url string")
+    plan = spark.createDataFrame(
+        [("data", "https://k.org/a", "A", "a"), ("data", "https://k.org/b", "B", "b"), ("kpi", None, None, "k"), ("ou", None, None, "o"), ("changes", None, None, "c")], requests.PLAN)
+    lacking = requests.missing(plan, raw)
+    assert sorted(r.why for r in lacking.collect()) == ["b", "c"]
+    text = lacking._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [_key" not in text and text.count("Aggregate [") == 1
