@@ -59,6 +59,11 @@ def missing(plan: DataFrame, raw: DataFrame) -> DataFrame:
     return plan.withColumn("_key", key).join(landed, "_key", "left_anti").select("feed", "url", "dataset_code", "why")
 
 
+def missing_feeds(plan: DataFrame, raw: DataFrame) -> DataFrame:
+    """The same where no request has an address: addresses are not read."""
+    return missing(plan, raw.select("feed", F.lit(None).cast("string").alias("url")))
+
+
 def run_faults(lacking: DataFrame) -> DataFrame:
     """(rule, path) of missing requests that carry the run."""
     return lacking.filter("dataset_code is null").select(F.lit("not answered").alias("rule"), F.concat_ws("/", "feed", "why").alias("path"))

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kartotek import functions as fn
@@ -28,7 +28,7 @@ from kartotek.operators import (
 )
 from kartotek.operators.numbering import range_bounds
 from kartotek.sources import html, landed
-from kartotek.session import configure, cut_lineage
+from kartotek.session import configure, cut_lineage, spread
 from kartotek.sources import kpi as kpi_source
 
 KEY = "dataset_code"
@@ -170,7 +170,7 @@ def run_tables_v2(raw: DataFrame, state: DataFrame, run: Run, api_url: str, web_
         F.lit("incomplete").alias("rule"), F.lit("listing").alias("path"))
     asked = requests.whole_feeds(raw.sparkSession, {"listing": "first page"})
     refused = run_error(
-        unanswered(raw, ["listing"]), requests.run_faults(requests.missing(asked, raw)), missing, listed_twice(candidates))
+        unanswered(raw, ["listing"]), requests.run_faults(requests.missing_feeds(asked, raw)), missing, listed_twice(candidates))
     selection = _bounded(run, incremental.select_by_timestamp(one_each(candidates), state, run.force), ["page_no", "item_pos"])
     code = fn.pct_decode(F.regexp_extract("url", r"/tables/([^/?]+)/metadata", 1))
     payloads = one_each(landed.metadata_v2(feed(raw, "metadata").withColumn(KEY, code)))
@@ -353,9 +353,15 @@ KPI_FEEDS = ["kpi", "kpi_groups", "municipality", "ou", "data", "oudata", "chang
 
 def _broken_chains(raw: DataFrame) -> DataFrame:
     """Requests whose pages do not hang together, or with a page that cannot be read whole. A
-    request is its address without the page number."""
-    request = F.concat_ws(" ", "feed", F.regexp_replace("url", r"([?&])page=\d+&?", "$1"))
-    links = landed.page_links(feed(raw, *KPI_FEEDS).withColumn("feed", request))
+    request is its address without the page number. Most have one page that names no next one: these hang
+    together, so only the others are kept and followed."""
+    unpaged = F.when(F.col("url").contains("page="), F.regexp_replace("url", r"([?&])page=\d+&?", "$1")).otherwise(F.col("url"))
+    request = F.concat_ws(" ", "feed", unpaged)
+    one = Window.partitionBy("feed")
+    pages = spread(landed.page_links(feed(raw, *KPI_FEEDS).withColumn("feed", request)), "feed")
+    links = cut_lineage(
+        pages.withColumns({"_pages": F.count("*").over(one), "_links": F.count("next_url").over(one)})
+        .filter("_pages > 1 OR _links > 0 OR fault IS NOT NULL").drop("_pages", "_links"))
     broken = catalog.chain_status(links).filter(~F.col("complete")).select(
         F.lit("incomplete").alias("rule"), F.substring_index("feed", " ", 1).alias("path"))
     unread = links.filter("fault is not null").select(
@@ -392,14 +398,15 @@ def run_kpis(raw: DataFrame, state: DataFrame, run: Run, api_url: str | None = N
     asked = requests.whole_feeds(spark, {"kpi": "catalogue", "kpi_groups": "catalogue", "municipality": "catalogue"}
                                  | ({} if listed.filter("has_ou_data").isEmpty() else {"ou": "catalogue"})
                                  | ({} if full[0] or api_url is not None else {"changes": "feed"}))
+    lacks = requests.missing_feeds(asked, raw)
     if api_url is not None and not full[0]:
-        asked = asked.unionByName(requests.change_requests(areas, api_url, year, full[1]))
+        lacks = lacks.unionByName(requests.missing(requests.change_requests(areas, api_url, year, full[1]), raw))
     no_areas = areas.agg(F.count("*").alias("n")).filter(F.lit(not full[0]) & (F.col("n") == 0)).select(
         F.lit("empty").alias("rule"), F.lit("municipality").alias("path"))
     changes = values("changes").select(
         fn.strip(F.get_json_object("body", "$.kpi")).alias("kpi_id"), F.when(F.col("url").contains("/oudata/"), "oudata").otherwise("data").alias("kind"))
     refused = run_error(
-        unanswered(raw, KPI_FEEDS), requests.run_faults(requests.missing(asked, raw)), no_areas, _broken_chains(raw),
+        unanswered(raw, KPI_FEEDS), requests.run_faults(lacks), no_areas, _broken_chains(raw),
         groups.filter("fault is not null").select(F.lit("malformed").alias("rule"), F.concat_ws("/", F.lit("kpi_groups"), "group_id").alias("path")),
         kpi.conflicting_groups(groups.filter("fault is null")).select(F.lit("conflict").alias("rule"), F.concat_ws("/", F.lit("kpi_groups"), "group_id").alias("path")),
         kpi.unknown_scopes(listed.filter("scope_type is not null")).select(F.lit("enum").alias("rule"), F.concat_ws("/", F.lit("kpi"), "kpi_id").alias("path")),

@@ -13,7 +13,7 @@ from kartotek.plans import harvest
 from kartotek.plans.bindings import Tables, code, div
 from kartotek.plans.oracle import KPI_ID, TABLE_ID
 from kartotek.plans.registry import query
-from kartotek.session import fresh_dir
+from kartotek.session import fresh_dir, spread
 
 START = datetime(2026, 9, 12, 10)
 
@@ -40,7 +40,7 @@ def run_tables_v2(t: Tables):
 def v2_landed(t: Tables):
     """The landed responses and the stored state of run_tables_v2."""
     k, ident = F.col("p_partkey"), code("T", "p_partkey")
-    parts = t.part.select("p_partkey", "p_type", "p_size", ident.alias("ident"), div("p_partkey", 100).alias("block"))
+    parts = spread(t.part.select("p_partkey", "p_type", "p_size"), "p_partkey").withColumns({"ident": ident, "block": div("p_partkey", 100)})
     entry = F.struct(F.col("ident").alias("id"), F.col("p_type").alias("label"), F.lit("2024-01-02").alias("updated"))
     total = parts.select("block").distinct().count()
     numbered = parts.groupBy("block").agg(F.array_sort(F.collect_list(entry)).alias("tables"))
@@ -107,14 +107,25 @@ SELECT id AS dataset_code, CASE WHEN e IS NULL THEN 'saved' ELSE 'failed' END AS
   FROM p WHERE f % 10 <> 9)""")
 def run_tables_v1(t: Tables):
     """Parts as tables in fifty folders; every tenth folder answers 404, so its tables are never seen."""
-    k, api = F.col("p_partkey"), "https://h.org/api/v1/sv/Db"
+    api = "https://h.org/api/v1/sv/Db"
+    return harvest.tables_v1(
+        v1_landed(t, api), t.spark.createDataFrame([], harvest.schemas.STATE), harvest.Run("r", "demo", "sv", START), api).select(
+        "dataset_code", "outcome", "error")
+
+
+def v1_landed(t: Tables, api: str):
+    """The landed responses of run_tables_v1."""
+    k = F.col("p_partkey")
     ident, folder = code("T", "p_partkey"), F.concat(F.lit("F"), (k % 50).cast("string"))
     at = F.concat(F.lit(f"{api}/"), folder)
     entry = F.struct(ident.alias("id"), F.col("p_type").alias("text"), F.lit("t").alias("type"), F.lit("2024-01-02").alias("updated"))
     table = F.to_json(F.array_sort(F.collect_list(entry)))
-    below = t.part.groupBy(folder.alias("folder")).agg(table.alias("b")).select("folder", "b", F.concat(F.lit(f"{api}/"), "folder").alias("u"))
+    parts = spread(t.part.select("p_partkey", "p_type"), "p_partkey")
+    # A folder is answered in pages of a fixed span of keys: no body grows with the data.
+    below = parts.groupBy(folder.alias("folder"), div("p_partkey", 5000).alias("block")).agg(table.alias("b")).select(
+        "folder", "b", F.concat(F.lit(f"{api}/"), "folder", F.lit("?page="), F.col("block").cast("string")).alias("u"))
     listed = F.struct(F.col("folder").alias("id"), F.col("folder").alias("text"), F.lit("l").alias("type"))
-    root = below.agg(F.to_json(F.array_sort(F.collect_list(listed))).alias("b"))
+    root = below.select("folder").distinct().agg(F.to_json(F.array_sort(F.collect_list(listed))).alias("b"))
     gone = F.col("folder").endswith("9")
     fault = k % 11
     meta = F.concat(F.lit('{"title":"'), F.col("p_type"), F.lit('","variables":[{"code":"Typ","text":"typ","values":["x","y"],"valueTexts":["X","Y"]},'
@@ -123,13 +134,11 @@ def run_tables_v1(t: Tables):
     sample = F.concat(F.lit('{"class":"dataset","version":"2.0","id":["Typ","Tid"],"size":[2,1],"dimension":{"Typ":{"category":{"index":["x","y"]'), unit,
                       F.lit('}},"Tid":{"category":{"index":["0"]}}}}'))
     address = F.concat(F.when(k % 13 == 0, F.lit("https://h.org/other/")).otherwise(F.concat(at, F.lit("/"))), ident)
-    raw = reduce(DataFrame.unionByName, [
+    return reduce(DataFrame.unionByName, [
         landed_rows(root, "nav", F.lit(api), F.col("b")),
         landed_rows(below, "nav", F.col("u"), F.when(gone, "{}").otherwise(F.col("b")), F.when(gone, 404).otherwise(200)),
-        landed_rows(t.part, "metadata", address, meta, F.when(k % 17 == 0, 503).otherwise(200)),
-        landed_rows(t.part, "sample", address, sample, F.when(fault == 3, 404).otherwise(200))])
-    return harvest.tables_v1(raw, t.spark.createDataFrame([], harvest.schemas.STATE), harvest.Run("r", "demo", "sv", START), api).select(
-        "dataset_code", "outcome", "error")
+        landed_rows(parts, "metadata", address, meta, F.when(k % 17 == 0, 503).otherwise(200)),
+        landed_rows(parts, "sample", address, sample, F.when(fault == 3, 404).otherwise(200))])
 
 
 @query("run_record", sql=f"""
