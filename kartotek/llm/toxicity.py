@@ -60,7 +60,7 @@ GROUPS = 24
 #: Letters that a subsequence may span, and the weight of each.
 SPAN, DECAY = 6, 0.6
 #: Letters of a piece of a long word, and words in a worker's cache.
-PIECE, CACHE_SIZE = 24, 800_000
+PIECE, CACHE_SIZE = 24, 100_000
 #: Words whose subsequences are held at once.
 CHUNK = 6000
 THRESHOLD = 0.3

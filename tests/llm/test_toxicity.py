@@ -136,3 +136,13 @@ def test_each_of_several_hundred_insults_counts():
     assert (tox.probabilities(texts, machine, 3) >= tox.THRESHOLD).mean() > 0.97
     clean = [" ".join(rng.choices(fill, k=15)) for _ in range(500)]
     assert (tox.probabilities(clean, machine, 3) >= tox.THRESHOLD).mean() < 0.01
+
+
+def test_a_worker_keeps_a_bounded_number_of_words(monkeypatch):
+    """Words that are met once do not pile up: the cache of a worker stays near 100 000 words."""
+    from kartotek.llm import toxicity
+
+    machine = toxicity.Machine(None, np.zeros(0), 0.0, np.zeros(5))
+    for k in range(3):
+        toxicity.probabilities([" ".join(f"w{k}x{i}" for i in range(60_000))], machine, 77)
+    assert len(toxicity._CACHE.pop(77)) <= 160_000
