@@ -12,6 +12,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kartotek.session import spread
+
 API = "https://api.example.org/v2"
 WEB = "https://www.example.org/pxweb"
 
@@ -93,7 +95,7 @@ class Tables:
             .when(k % 5 == 3, F.concat(F.lit("Källor: "), "p_brand", F.lit(". Mer")))
             .when(k % 5 == 4, "Källa:")
         )
-        return self.part.select(
+        return spread(self.part, "p_partkey").select(
             F.to_json(
                 F.struct(
                     F.when(k % 97 == 5, "  ").otherwise(
@@ -153,7 +155,7 @@ class Tables:
             F.concat(F.lit("Grupp "), "p_brand")
         )
         return (
-            self.part.groupBy("p_brand", block.alias("block"))
+            spread(self.part.withColumn("block", block), "p_brand", "block").groupBy("p_brand", "block")
             .agg(F.collect_list(member).alias("members"))
             .select(
                 F.to_json(

@@ -58,3 +58,12 @@ def test_layout_does_not_matter(spark, data_dir, parts):
     ids = t.customer.select(F.col("c_custkey").cast("string").alias("area_id"))
     plans = [kpi.probe_batches(d, 2010, 2029, bounds=b).select("batch_id", "area_ids") for d, b in ((ids, None), (shuffled(ids), ["1", "25", "7"]))]
     assert digest(plans[0]) == digest(plans[1])
+
+
+def test_kpi_feeds_of_one_small_file_are_parsed_in_many_tasks(spark, data_dir):
+    from kartotek.plans.bindings import Tables
+
+    t = Tables(spark, data_dir)
+    for bodies, n in ((t.kpi_bodies, t.part.count()), (t.group_bodies, None)):
+        sizes = [r["count"] for r in bodies.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and n in (None, sum(sizes))
