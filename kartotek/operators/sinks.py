@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kartotek import functions as fn
 from kartotek.operators.numbering import last_per
+from kartotek.session import small_pieces
 
 
 def classify(should_fetch: Column, error: Column) -> Column:
@@ -34,13 +35,15 @@ def outcomes(resolved: DataFrame) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, partition: str) -> None:
-    """Write by partition; running the same run again replaces just that run's rows."""
-    (
-        df.hint("rebalance", partition).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    """Write by partition; running the same run again replaces just that run's rows. A task sorts
+    its rows by partition, so large partitions are written in pieces."""
+    with small_pieces(df.sparkSession):
+        (
+            df.hint("rebalance", partition).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition)
+            .parquet(path)
+        )
 
 
 def write_outcomes(df: DataFrame, path: str) -> None:

@@ -67,3 +67,13 @@ def test_kpi_feeds_of_one_small_file_are_parsed_in_many_tasks(spark, data_dir):
     for bodies, n in ((t.kpi_bodies, t.part.count()), (t.group_bodies, None)):
         sizes = [r["count"] for r in bodies.groupBy(F.spark_partition_id().alias("p")).count().collect()]
         assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and n in (None, sum(sizes))
+
+
+def test_a_large_partition_is_written_in_pieces(spark, tmp_path):
+    rows = spark.range(6_000_000).select(F.xxhash64("id").alias("v"), F.lit("one").alias("g"))
+    names = ("advisoryPartitionSizeInBytes", "coalescePartitions.initialPartitionNum")
+    before = [spark.conf.get(f"spark.sql.adaptive.{n}", None) for n in names]
+    sinks.write_partitioned(rows, str(tmp_path / "out"), "g")
+    assert len(list((tmp_path / "out" / "g=one").glob("*.parquet"))) > 1
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 6_000_000
+    assert [spark.conf.get(f"spark.sql.adaptive.{n}", None) for n in names] == before
