@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kartotek.llm import decontamination, mixing, ngram_join, pii, toxicity
+from kartotek.llm import bitmap, decontamination, mixing, ngram_join, pii, toxicity
 from kartotek.llm.registry import table
 from kartotek.llm.store import written
 from kartotek.session import configure
@@ -26,10 +26,15 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest doc_id; rows that repeat an id
     are one document; rows with a null id stay."""
-    groups = ngram_join.shingle_components(docs, SHINGLE, PERCENT)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+    groups = ngram_join.shingle_components(docs, SHINGLE, PERCENT).where("doc_id IS NOT NULL")
+    is_first = F.expr("doc_id = component_id")
+    # Ids that do not simply stay; all other texts need no shuffle.
+    touched = written(
+        groups.groupBy("doc_id").agg(F.count("*").alias("n"), F.min(is_first).alias("all"), F.max(is_first).alias("kept"))
+        .where("n > 1 OR NOT all").select("doc_id", "kept"), "touched")
+    clear, rest = bitmap.parted(docs.where("doc_id IS NOT NULL"), touched, "doc_id")
+    rest = rest.join(touched, "doc_id", "left").where(F.coalesce("kept", F.lit(True))).dropDuplicates(["doc_id"])
+    return clear.unionByName(rest.select(docs.columns)).unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

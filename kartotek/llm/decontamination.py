@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kartotek.llm import bitmap, words
+from kartotek.llm.store import written
 
 MIN_MATCH = 5
 COVERAGE = 0.5
@@ -143,5 +144,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """``docs`` without the contaminated documents; rows with a null doc_id stay."""
-    return docs.join(leaks(docs, benchmark, coverage).select("doc_id").distinct(), "doc_id", "left_anti")
+    """``docs`` without the contaminated documents; rows with a null doc_id stay. Texts are not shuffled,
+    but for those that a bit table of the contaminated ids lets through."""
+    found = written(leaks(docs, benchmark, coverage).select("doc_id").distinct(), "contaminated")
+    clear, rest = bitmap.parted(docs, found, "doc_id")
+    return clear.unionByName(rest.join(found, "doc_id", "left_anti"))

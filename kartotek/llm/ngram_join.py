@@ -498,13 +498,12 @@ def _close_gaps(candidates, sets, links, component, percent, tasks) -> DataFrame
     )
     postings = written(whole.mapInArrow(
         lambda b: _member_postings(b, percent), "posting long, cls long, size long, component long"), "postings")
-    met = (
+    met = written(
         postings.groupBy("posting")
         .agg(F.count("*").alias("n"), F.min("component").alias("p"), F.max("component").alias("q"))
-        .where("p <> q AND n > 2").select("posting", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
+        .where("p <> q AND n > 2").select("posting", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "met")
     blocks = written(
-        postings.join(met, "posting")
+        bitmap.parted(postings, met, "posting")[1].join(met, "posting")
         .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))

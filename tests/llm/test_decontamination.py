@@ -89,3 +89,14 @@ def test_empty_tables(spark):
     assert leaks(spark, [], [(1, "a b c d e f")])[2] == []
     docs, items, found = leaks(spark, [(1, "a b c d e f")], [])
     assert found == [] and dec.remove_contaminated(docs, items).count() == 1
+
+
+def test_texts_of_clean_documents_are_not_shuffled(spark):
+    item = " ".join(f"w{k}" for k in range(40))
+    rows = [(i, item if i % 50 == 0 else f"clean {i} " * 20) for i in range(500)] + [(None, item), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = dec.remove_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, (r for r in docs.collect() if r.doc_id is None or r.doc_id % 50)))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    clear = plan[plan.index("Union"):plan.index("Join LeftAnti")]
+    assert "may_be" in clear and "Join" not in clear
