@@ -177,12 +177,12 @@ _PAIRS = "a long, na long, b long, nb long"
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by (posting, cls): the first member of each posting with each other one,
-    and whether the posting has more than these two. Of an unfinished posting at most two rows are
-    held, or its first one once it is known to have three."""
+    and whether the posting has more than these two; such postings themselves are rows with a null b.
+    Of an unfinished posting at most two rows are held, or its first one once it is known to have three."""
     held = [np.zeros(0, np.int64) for _ in range(4)]
 
     def pairs_of(key, cls, size, members, last: bool):
-        """Pairs of the finished postings (of all if ``last``), and the rows to hold."""
+        """Pairs of the finished postings (of all if ``last``), the rows to hold, and postings of three or more."""
         fresh = np.ones(len(key), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
         at = np.flatnonzero(fresh)
@@ -207,7 +207,7 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keep = [key[tail:], cls[tail:], size[tail:], members[tail:]]
                 told[tail:] = False
         hub, other = hub[told], np.flatnonzero(told)
-        return [cls[hub], size[hub], cls[other], size[other], big[run[told]].astype(np.int64)], keep
+        return [cls[hub], size[hub], cls[other], size[other], big[run[told]].astype(np.int64)], keep, key[starts[big]]
 
     def rows(parts):
         a, na, b, nb, big = (np.concatenate(c) for c in zip(*parts, strict=True))
@@ -215,20 +215,25 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.unique(np.stack([np.where(low, a, b), np.where(low, na, nb), np.where(low, b, a), np.where(low, nb, na), big]), axis=1)
         return pa.RecordBatch.from_arrays([_longs(c) for c in found], ["a", "na", "b", "nb", "big"])
 
+    def named(many):
+        nothing = pa.nulls(len(many), pa.int64())
+        return pa.RecordBatch.from_arrays([_longs(many), *[nothing] * 3, _longs(np.ones(len(many)))], ["a", "na", "b", "nb", "big"])
+
     for batch in batches:
         tied = batch.column("cls2").is_valid().to_numpy(zero_copy_only=False)
         plain = [batch.column(c).to_numpy(zero_copy_only=False)[~tied] for c in ("posting", "cls", "size", "members")]
         star = batch.filter(pa.array(tied))
         ready = [star.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("cls", "size", "cls2", "size2")]
         parts = [[*ready, np.ones(star.num_rows, np.int64)]]
-        found, held = pairs_of(*(np.concatenate(c) for c in zip(held, plain, strict=True)), last=False)
+        found, held, many = pairs_of(*(np.concatenate(c) for c in zip(held, plain, strict=True)), last=False)
         parts.append(found)
-        out = rows(parts)
+        for out in (rows(parts), named(many)):
+            if out.num_rows:
+                yield out
+    found, _, many = pairs_of(*held, last=True)
+    for out in (rows([found]), named(many)):
         if out.num_rows:
             yield out
-    found, _ = pairs_of(*held, last=True)
-    if len(found[0]):
-        yield rows([found])
 
 
 _SETS = "cls long, size long, sketch array<long>, fragments array<array<long>>"
@@ -333,9 +338,12 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch
             yield batch, row, grams[np.lexsort((grams, row))], sizes
 
 
-def _member_postings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _member_postings(batches: Iterator[pa.RecordBatch], percent: int, sieve) -> Iterator[pa.RecordBatch]:
+    """Postings of members, but most of those that two of all sets share at most."""
     for batch, row, grams, sizes in _members(batches):
         row, keys = _postings(row, grams, sizes, percent)
+        keep = bitmap.contains(sieve.value, keys)
+        row, keys = row[keep], keys[keep]
         take = pa.array(row)
         yield pa.RecordBatch.from_arrays(
             [_longs(keys), batch.column(0).take(take), _longs(sizes[row]), batch.column(1).take(take)],
@@ -446,6 +454,8 @@ def shingle_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
         .mapInArrow(_stars, _PAIRS + ", big long").groupBy("a", "na", "b", "nb").agg(F.max("big").alias("big"))
     )
     candidates = written(candidates, "candidates")
+    many = candidates.where("b IS NULL").select(F.col("a").alias("posting"))  # postings of three or more
+    candidates = candidates.where("b IS NOT NULL")
     involved = candidates.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     involved = written(involved.join(classes, "cls"), "involved")
     sieve = spark.sparkContext.broadcast(
@@ -470,7 +480,7 @@ def shingle_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     links = written(_linked(tried, sets, percent), "links")
     nodes = involved.select("cls")
     component = written(_components(nodes, links), "components")
-    links = _close_gaps(candidates, sets, links, component, percent, tasks)
+    links = _close_gaps(candidates, many, sets, links, component, percent, tasks)
     component = _components(nodes, links)
 
     # components of classes to those of documents
@@ -484,7 +494,7 @@ def shingle_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
         F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _close_gaps(candidates, sets, links, component, percent, tasks) -> DataFrame:
+def _close_gaps(candidates, many, sets, links, component, percent, tasks) -> DataFrame:
     """Step 4: all links between components that meet in a posting."""
     ends = (
         candidates.where("big = 1").join(component.select(F.col("cls").alias("a"), F.col("component").alias("ca")), "a")
@@ -496,8 +506,9 @@ def _close_gaps(candidates, sets, links, component, percent, tasks) -> DataFrame
         _only(sets, members).select("cls", F.flatten("fragments").alias("grams"))
         .join(members, "cls").select("cls", "component", "grams")
     )
+    sieve = sets.sparkSession.sparkContext.broadcast(bitmap.build(many, "posting"))
     postings = written(whole.mapInArrow(
-        lambda b: _member_postings(b, percent), "posting long, cls long, size long, component long"), "postings")
+        lambda b: _member_postings(b, percent, sieve), "posting long, cls long, size long, component long"), "postings")
     met = written(
         postings.groupBy("posting")
         .agg(F.count("*").alias("n"), F.min("component").alias("p"), F.max("component").alias("q"))

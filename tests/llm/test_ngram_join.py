@@ -134,3 +134,18 @@ def test_links_of_sketches_of_unlike_widths(spark):
         lambda b: ngram_join._sets(b, 5), ngram_join._SETS)
     got = ngram_join._linked(spark.createDataFrame(pairs, "a long, na long, b long, nb long"), sets, 80).collect()
     assert {(r.a, r.b) for r in got} == {(a, b) for a, na, b, nb in pairs if 100 * na >= 80 * nb}
+
+
+def test_postings_of_three_members_are_named():
+    def batch(rows):
+        names = [c.split()[0] for c in ngram_join._CANDIDATES.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names)
+
+    two, three, sliced = [(5, c, 9, 1, None, None) for c in (1, 2)], [(6, c, 9, 1, None, None) for c in (1, 2, 3)], [(7, 4, 9, 3, None, None)]
+    rows = two + three + sliced
+    for cut in (*range(1, len(rows)), None):
+        parts = [rows[:cut], rows[cut:]] if cut else [rows]
+        out = [r for b in ngram_join._stars(map(batch, parts)) for r in b.to_pylist()]
+        assert {r["a"] for r in out if r["b"] is None} == {6, 7}
+        assert {(r["a"], r["b"], r["big"]) for r in out if r["b"] is not None} >= {(1, 2, 0), (1, 3, 1)}
+    assert list(ngram_join._stars(iter([]))) == []
