@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kartotek.llm import bitmap, words
+from kartotek.llm.memory import tidy
 from kartotek.llm.store import written
 
 MIN_MATCH = 5
@@ -117,18 +118,18 @@ def tilings(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     document and an item that could reach any coverage, that is, shares a seed."""
     seeds = (
         benchmark.select("item_id", "text").where("item_id IS NOT NULL")
-        .mapInArrow(_item_seeds, "seed long, item_id long, q int, n_tokens int")
+        .mapInArrow(tidy(_item_seeds), "seed long, item_id long, q int, n_tokens int")
         .groupBy("seed", "item_id", "n_tokens").agg(F.collect_set("q").alias("qs"))
     )
     sieve = docs.sparkSession.sparkContext.broadcast(bitmap.build(seeds, "seed"))
     found = (
         docs.select("doc_id", F.xxhash64("text").alias("th"), "text").where("doc_id IS NOT NULL")
-        .mapInArrow(lambda b: _doc_seeds(b, sieve), "seed long, doc_id long, th long, p int")
+        .mapInArrow(tidy(lambda b: _doc_seeds(b, sieve)), "seed long, doc_id long, th long, p int")
     )
     return (
         found.join(seeds, "seed")
         .groupBy("doc_id", "th", "item_id", "n_tokens").agg(F.collect_list(F.struct("p", "qs")).alias("hits"))
-        .mapInArrow(_tiles, "doc_id long, item_id long, n_tokens int, n_tiles int, n_covered int, longest int")
+        .mapInArrow(tidy(_tiles), "doc_id long, item_id long, n_tokens int, n_tiles int, n_covered int, longest int")
     )
 
 

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from kartotek.llm import bitmap, words
 from kartotek.llm.components import connected
+from kartotek.llm.memory import tidy
 from kartotek.llm.store import written
 from kartotek.session import configure
 
@@ -279,7 +280,7 @@ def _only(sets: DataFrame, classes: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(bitmap.contains(sieve.value, batch.column(0).to_numpy())))
 
-    return sets.select("cls", "fragments").mapInArrow(sifted, "cls long, fragments array<array<long>>")
+    return sets.select("cls", "fragments").mapInArrow(tidy(sifted), "cls long, fragments array<array<long>>")
 
 
 def _differing(percent: int):
@@ -326,28 +327,28 @@ def _near_in_size(percent: int):
     return F.expr(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
-    """From (cls, component, grams): pieces of few rows with row, sorted shingles and set sizes."""
+def _members(batches: Iterator[pa.RecordBatch], owners) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """From (cls, grams): pieces of few rows with row, sorted shingles and set sizes, without most rows
+    that the bit table ``owners`` does not have."""
     for whole in batches:
         for lo in range(0, whole.num_rows, 128):
             batch = whole.slice(lo, 128)
-            lists = batch.column(2)
+            batch = batch.filter(pa.array(bitmap.contains(owners.value, batch.column(0).to_numpy())))
+            lists = batch.column(1)
             grams = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(_U)
             sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
             row = np.repeat(np.arange(len(sizes)), sizes)
             yield batch, row, grams[np.lexsort((grams, row))], sizes
 
 
-def _member_postings(batches: Iterator[pa.RecordBatch], percent: int, sieve) -> Iterator[pa.RecordBatch]:
+def _member_postings(batches: Iterator[pa.RecordBatch], percent: int, owners, sieve) -> Iterator[pa.RecordBatch]:
     """Postings of members, but most of those that two of all sets share at most."""
-    for batch, row, grams, sizes in _members(batches):
+    for batch, row, grams, sizes in _members(batches, owners):
         row, keys = _postings(row, grams, sizes, percent)
         keep = bitmap.contains(sieve.value, keys)
         row, keys = row[keep], keys[keep]
-        take = pa.array(row)
         yield pa.RecordBatch.from_arrays(
-            [_longs(keys), batch.column(0).take(take), _longs(sizes[row]), batch.column(1).take(take)],
-            ["posting", "cls", "size", "component"])
+            [_longs(keys), batch.column(0).take(pa.array(row)), _longs(sizes[row])], ["posting", "cls", "size"])
 
 
 def _apart(batches: Iterator[pa.RecordBatch], percent: int, forest: bool) -> Iterator[pa.RecordBatch]:
@@ -444,14 +445,14 @@ def shingle_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     doc_id reachable by links, where 100 * intersection >= percent * union."""
     texts = docs.select("doc_id", "text")
     spark = configure(docs.sparkSession)
-    sized = written(texts.mapInArrow(lambda b: _sizes(b, size), "doc_id long, n_shingles long, cls long"), "sizes")
+    sized = written(texts.mapInArrow(tidy(lambda b: _sizes(b, size)), "doc_id long, n_shingles long, cls long"), "sizes")
     classes = sized.where("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
 
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     candidates = (
-        texts.select("text").mapInArrow(lambda b: _first_candidates(b, size, percent), _CANDIDATES)
+        texts.select("text").mapInArrow(tidy(lambda b: _first_candidates(b, size, percent)), _CANDIDATES)
         .repartition(tasks, "posting").sortWithinPartitions("posting", "cls")
-        .mapInArrow(_stars, _PAIRS + ", big long").groupBy("a", "na", "b", "nb").agg(F.max("big").alias("big"))
+        .mapInArrow(tidy(_stars), _PAIRS + ", big long").groupBy("a", "na", "b", "nb").agg(F.max("big").alias("big"))
     )
     candidates = written(candidates, "candidates")
     many = candidates.where("b IS NULL").select(F.col("a").alias("posting"))  # postings of three or more
@@ -471,10 +472,10 @@ def shingle_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
                     [part.column(0), _longs(names), part.column(1)], ["doc_id", "cls", "text"])
 
     chosen = texts.where("doc_id IS NOT NULL").withColumn("k", F.xxhash64("doc_id")).mapInArrow(
-        sifted, "doc_id long, cls long, text string")
+        tidy(sifted), "doc_id long, cls long, text string")
     sets = written(
         chosen.join(involved, ["doc_id", "cls"]).dropDuplicates(["doc_id", "cls"]).select("cls", "text").mapInArrow(
-            lambda b: _sets(b, size), _SETS), "sets")
+            tidy(lambda b: _sets(b, size)), _SETS), "sets")
 
     tried = candidates.where(_near_in_size(percent))
     links = written(_linked(tried, sets, percent), "links")
@@ -502,13 +503,14 @@ def _close_gaps(candidates, many, sets, links, component, percent, tasks) -> Dat
         .where("ca <> cb").select(F.explode(F.array("ca", "cb")).alias("component")).distinct()
     )
     members = written(component.join(ends, "component").select("cls", "component"), "members")
-    whole = (
-        _only(sets, members).select("cls", F.flatten("fragments").alias("grams"))
-        .join(members, "cls").select("cls", "component", "grams")
-    )
-    sieve = sets.sparkSession.sparkContext.broadcast(bitmap.build(many, "posting"))
-    postings = written(whole.mapInArrow(
-        lambda b: _member_postings(b, percent, sieve), "posting long, cls long, size long, component long"), "postings")
+    # Sets are sifted and cut in one pass: two in a stage would need two Python workers a task.
+    context = sets.sparkSession.sparkContext
+    owners = context.broadcast(bitmap.build(members, "cls"))
+    sieve = context.broadcast(bitmap.build(many, "posting"))
+    postings = written(
+        sets.select("cls", F.flatten("fragments").alias("grams"))
+        .mapInArrow(tidy(lambda b: _member_postings(b, percent, owners, sieve)), "posting long, cls long, size long")
+        .join(members, "cls").select("posting", "cls", "size", "component"), "postings")
     met = written(
         postings.groupBy("posting")
         .agg(F.count("*").alias("n"), F.min("component").alias("p"), F.max("component").alias("q"))
@@ -532,7 +534,7 @@ def _close_gaps(candidates, many, sets, links, component, percent, tasks) -> Dat
             blocks.join(sets.select("cls", "sketch"), "cls")
             .select("posting", "i", "j", "own", "cls", "size", "component", "sketch")
             .repartition(tasks, "posting", "i", "j").sortWithinPartitions("posting", "i", "j")
-            .mapInArrow(lambda b, f=forest: _apart(b, percent, f), f"posting long, i int, j int, {_PAIRS}"), "pairs")
+            .mapInArrow(tidy(lambda b, f=forest: _apart(b, percent, f)), f"posting long, i int, j int, {_PAIRS}"), "pairs")
         found = pairs.select("a", "na", "b", "nb").distinct()
         links = written(links.unionByName(_linked(found, sets, percent)).distinct(), "links")
     return links

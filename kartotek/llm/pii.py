@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kartotek.llm import boosting
+from kartotek.llm.memory import tidy
 
 #: Texts of the sample that the trees are fitted on, about; and candidates of it at most.
 FIT_DOCS, FIT_CANDIDATES = 2000, 40_000
@@ -336,7 +337,7 @@ def learn(docs: DataFrame, n: int = FIT_DOCS) -> Model:
 
     rows = (
         able.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(total)) < n).select("text")
-        .mapInArrow(rate, CANDIDATE).repartition(SLICES, "slice").mapInArrow(merge, CANDIDATE)
+        .mapInArrow(tidy(rate), CANDIDATE).repartition(SLICES, "slice").mapInArrow(tidy(merge), CANDIDATE)
         .toArrow()  # KEPT of each slice and group
     )
     return trained(sorted(zip(*(c.to_pylist() for c in rows.columns), strict=True)))
@@ -360,7 +361,7 @@ def find(docs: DataFrame) -> DataFrame:
                 ["doc_id", "spans", "n_base"])
 
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
-        run, "doc_id long, spans array<struct<kind:string,start:int,end:int>>, n_base int")
+        tidy(run), "doc_id long, spans array<struct<kind:string,start:int,end:int>>, n_base int")
 
 
 def redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
@@ -390,4 +391,4 @@ def redact(docs: DataFrame) -> DataFrame:
             columns[place] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

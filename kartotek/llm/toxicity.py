@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kartotek.llm.boosting import sigmoid
+from kartotek.llm.memory import tidy
 
 #: Labelled texts of the sample, about, and landmarks among clean words near to telling ones (as many
 #: as telling ones, if these are more); the sample bounds the telling ones, which are all landmarks.
@@ -402,7 +403,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
     chosen = F.broadcast(known.where(share).limit(most))
     table = (
         docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "label")
-        .mapInArrow(distinct_words, "doc_id long, words array<string>, label int")
+        .mapInArrow(tidy(distinct_words), "doc_id long, words array<string>, label int")
         .limit(most).toArrow()
     )
     one: dict[str, str] = {}  # equal words of the sample as one object
@@ -457,7 +458,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
                 ["doc_id", "score", "predicted"])
 
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
-        run, "doc_id long, score double, predicted int")
+        tidy(run), "doc_id long, score double, predicted int")
 
 
 def remove_toxic(docs: DataFrame, machine: Machine) -> DataFrame:
@@ -472,4 +473,4 @@ def remove_toxic(docs: DataFrame, machine: Machine) -> DataFrame:
             p = probabilities(texts, shared.value, name)
             yield batch.filter(pa.array(p < THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
