@@ -1,11 +1,18 @@
-"""Gradient boosted trees for a bounded table of candidates, and Platt calibration."""
+"""Gradient boosted trees and Platt calibration: from a bounded table, or grown level by level from sums.
+
+``grow`` sees rows only through sums by node, feature and bin (``cells``), which tasks add up apart. Gradients
+are summed as integers and leaves are multiples of 1/LEAF, so neither order nor layout changes a tree."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
 
+#: Parts of one in which gradients, and leaves with their sums, are counted.
+UNIT, LEAF = 1 << 36, 1 << 10
+
 
 @dataclass
 class Trees:
@@ -21,18 +28,23 @@ class Trees:
 
     def margin(self, x: np.ndarray) -> np.ndarray:
         out = np.full(len(x), self.start)
-        rows = np.arange(len(x))
         for feature, cut, leaf in zip(self.features, self.cuts, self.leaves, strict=True):
-            node = np.zeros(len(x), int)
-            for _ in range(self.depth):
-                node = 2 * node + 1 + (x[rows, feature[node]] > cut[node])
-            out += leaf[node - len(feature)]
+            out += leaf[nodes(x, feature, cut, self.depth)]
         return out
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         return sigmoid(self.slope * self.margin(x) + self.offset)
 
 
+def nodes(x: np.ndarray, feature: np.ndarray, cut: np.ndarray, level: int) -> np.ndarray:
+    """The node of a level, counted from 0, that each row comes to."""
+    rows = np.arange(len(x))
+    node = np.zeros(len(x), int)
+    for _ in range(level):
+        node = 2 * node + 1 + (x[rows, feature[node]] > cut[node])
+    return node - (2 ** level - 1)
+
+
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -79,13 +91,75 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 3, rate: flo
     return model
 
 
+def quantiles(values: np.ndarray, counts: np.ndarray, bins: int = 32) -> np.ndarray:
+    """Bounds of bins with about as many rows each, from ascending values and their numbers of rows."""
+    reached = np.cumsum(counts)
+    asked = np.arange(1, bins) * int(reached[-1]) // bins
+    return np.unique(values[np.searchsorted(reached, asked, "right")]).astype(float)
+
+
+def cells(model: Trees, feature: np.ndarray, cut: np.ndarray, level: int, edges: list[np.ndarray],
+          x: np.ndarray, y: np.ndarray, n: np.ndarray, weight: np.ndarray | float = 1.0) -> np.ndarray:
+    """Of rows that stand for ``n`` each, of that weight: gradients and curvatures in UNITs, summed by node of the
+    level of the tree that is grown, feature and bin, of which each feature has as many as the one with most."""
+    p = sigmoid(model.margin(x))
+    parts = [np.rint(v * weight * UNIT) * n for v in (y - p, p * (1 - p))]
+    width = max(map(len, edges)) + 1
+    node = nodes(x, feature, cut, level)
+    out = np.zeros((2, 2 ** level, len(edges), width), np.int64)
+    for j, e in enumerate(edges):
+        at = node * width + np.searchsorted(e, x[:, j], "left")
+        for k, part in enumerate(parts):  # sums of integers below 2^53 are exact
+            out[k, :, j] = np.bincount(at, part, 2 ** level * width).reshape(-1, width)
+    return out
+
+
+def grow(summed: Callable[[Trees, np.ndarray, np.ndarray, int], np.ndarray], edges: list[np.ndarray],
+         ones: float, zeros: float, trees: int = 40, depth: int = 3, rate: float = 0.3) -> Trees:
+    """Newton boosting of the logistic loss. ``summed``: the ``cells`` of all rows for (model, feature, cut,
+    level); ``ones``, ``zeros``: their weights by label. No rows give an all-zero model."""
+    model = Trees(depth)
+    if not ones or not zeros:
+        model.start = (8.0 if ones else -8.0) if ones + zeros else 0.0
+        return model
+    model.start = round(float(np.log(ones / zeros)) * LEAF) / LEAF
+    for _ in range(trees):
+        feature, cut = np.zeros(2 ** depth - 1, int), np.full(2 ** depth - 1, np.inf)
+        leaves = np.zeros(2 ** depth)
+        for level in range(depth):
+            sums = summed(model, feature, cut, level) / UNIT
+            for n in range(2 ** level):
+                g, h = sums[0, n], sums[1, n]
+                total_g, total_h = g[0].sum(), h[0].sum()
+                gs, hs = g.cumsum(1), h.cumsum(1)
+                gain = gs ** 2 / (hs + 1) + (total_g - gs) ** 2 / (total_h - hs + 1) - total_g ** 2 / (total_h + 1)
+                for j, e in enumerate(edges):
+                    gain[j, len(e):] = 0
+                j, k = divmod(int(gain.argmax()), gain.shape[1])
+                left = (total_g, total_h)
+                if gain[j, k] > 1e-6:
+                    feature[2 ** level - 1 + n], cut[2 ** level - 1 + n] = j, edges[j][k]
+                    left = (gs[j, k], hs[j, k])
+                if level == depth - 1:
+                    right = (total_g - left[0], total_h - left[1])
+                    leaves[2 * n:2 * n + 2] = [rate * a / (b + 1) for a, b in (left, right)]
+        model.features.append(feature)
+        model.cuts.append(cut)
+        model.leaves.append(np.rint(leaves * LEAF) / LEAF)
+    return model
+
+
 def calibrate(model: Trees, x: np.ndarray, y: np.ndarray, turns: int = 50, weight: np.ndarray | None = None) -> None:
     """Platt scaling on rows that the trees have not seen (Newton steps, smoothed targets); ``weight``:
     rows that each stands for."""
-    if not len(x) or y.min() == y.max():
+    platt(model, model.margin(x), y, turns, weight)
+
+
+def platt(model: Trees, m: np.ndarray, y: np.ndarray, turns: int = 50, weight: np.ndarray | None = None) -> None:
+    """``calibrate`` from the margins."""
+    if not len(m) or y.min() == y.max():
         return
-    m = model.margin(x)
-    weight = np.ones(len(x)) if weight is None else weight
+    weight = np.ones(len(m)) if weight is None else weight
     ones, zeros = weight @ y, weight @ (1 - y)
     target = np.where(y > 0, (ones + 1) / (ones + 2), 1 / (zeros + 2))
     a, b = 1.0, 0.0

@@ -7,15 +7,16 @@ trees rate each proposal by format and context; a kind's proposals count from th
 probability that reached PRECISION on held-out candidates. Of overlapping proposals the likelier
 stays (ties: leftmost, longest), and none may touch a base span.
 
-The trees learn from about FIT_DOCS whole texts that have a digit or an @. Their candidates are
-rated where they lie, and of each kind, label and fold a bounded hash sample is kept; only that
-reaches the driver. Where it left candidates out, the kept ones weigh for them in the thresholds. Base
+The trees learn from the candidates of all whole texts, which are counted by kind, label, fold and
+features where they lie. Trees grow level by level from sums over these counts, and thresholds come from
+counts of margins, so only sums reach the driver; up to FIT_ROWS counts it adds up itself, with the same
+result. ``fit`` takes a list of texts, and of it a bounded hash sample of candidates. Base
 spans, and rewritten forms of them put in the same place, are right; rewritten forms that break
 the tests (a wrong check digit, a part over 255, too few digits) and all other proposals are
 wrong. No labels are needed.
 
-Defined results: null text is empty: no spans; a sample without base spans gives trees that
-accept nothing, so only base spans count; repeated rows give repeated rows; an empty table gives
+Defined results: null text is empty: no spans; texts without base spans give trees that
+accept nothing, so only base spans count; repeated rows give repeated rows and are learned from as often; an empty table gives
 an empty result; further columns are ignored by ``find`` and kept by ``redact``.
 """
 
@@ -26,7 +27,7 @@ import heapq
 import random
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,9 +37,14 @@ from pyspark.sql import functions as F
 
 from kartotek.llm import boosting
 from kartotek.llm.memory import tidy
-
-#: Texts of the sample that the trees are fitted on, about; and candidates of it at most.
-FIT_DOCS, FIT_CANDIDATES = 2000, 40_000
+from kartotek.llm.store import written
+
+#: Candidates that ``fit`` keeps of its list at most, and different ones whose sums the driver adds up itself.
+FIT_CANDIDATES, FIT_ROWS = 40_000, 50_000
+#: Candidates as which each kind and label weighs in the trees at most.
+EVEN = 1600
+#: Different candidates that a task counts before it passes them on.
+COUNTED = 20_000
 #: Folds (for trees, calibration, thresholds) by passages of so many characters, and slices of the hashes.
 FOLDS, PASSAGE, SLICES = 3, 4096, 32
 PRECISION = 0.99
@@ -131,6 +137,12 @@ def proposals(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def _coarse(v: int) -> float:
+    """The 8 highest bits, so that a feature has a bounded number of values."""
+    low = v.bit_length() - 8
+    return float(v >> low << low)
+
+
 def features(kind: str, text: str, start: int, end: int) -> list[float]:
     span = text[start:end]
     digits = "".join(c for c in span if c in "0123456789")
@@ -138,7 +150,7 @@ def features(kind: str, text: str, start: int, end: int) -> list[float]:
     before, after = text[max(0, start - CONTEXT):start].lower(), text[end:end + CONTEXT].lower()
     octets = len(groups) == 4 and all(len(g) < 4 and int(g) < 256 for g in groups)
     signs = [c for c in span if not c.isalnum()]
-    return [
+    found = [
         float(KINDS.index(kind)), len(span), len(digits), sum(c.isalpha() for c in span), len(signs),
         len(set(signs)), len(groups), max(map(len, groups), default=0), min(map(len, groups), default=0),
         float(span.startswith("+")), float(span.startswith("00")), float("(" in span), float("@" in span),
@@ -149,6 +161,7 @@ def features(kind: str, text: str, start: int, end: int) -> list[float]:
         float("-" in signs), float("/" in signs), float(":" in signs),
         len(re.split(r"\.|dot", span)[-1].strip(" )]")) if kind == "email" else -1.0,
     ]
+    return [v if v < 256 else _coarse(int(v)) for v in found]
 
 
 def _rewritten(kind: str, span: str, rng: random.Random) -> list[tuple[str, bool]]:
@@ -180,9 +193,6 @@ class Model:
 
 #: Candidates kept of each kind, label, fold and slice.
 KEPT = FIT_CANDIDATES // (len(KINDS) * 2 * FOLDS * SLICES)
-#: Rows of candidates: group is (kind, label, fold) as one number.
-CANDIDATE = "slice int, grp int, name long, x array<double>"
-
 
 class Kept:
     """Of each slice and group the KEPT candidates with the smallest hashes; equal ones count once."""
@@ -307,40 +317,151 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(spans, key=lambda x: (KINDS.index(x[0]), x[1], x[2])))
 
 
-def learn(docs: DataFrame, n: int = FIT_DOCS) -> Model:
-    """The model from about ``n`` whole texts with a digit or an @, chosen by hash."""
-    able = docs.where("text RLIKE '[0-9@]'").select("doc_id", "text")
-    total = able.count()
-    if not total:
-        return fit([])
+class Counts:
+    """Candidates of texts, counted by group, which is (kind, label, fold) as one number, and features."""
+
+    def __init__(self):
+        self.found: dict[tuple[int, bytes], int] = {}
+
+    def wants(self, group: int, name: int) -> bool:
+        return True
+
+    def add(self, group: int, name: int, x: list[float]) -> None:
+        key = group, np.array(x, np.int32).tobytes()
+        self.found[key] = self.found.get(key, 0) + 1
 
-    def batch_of(kept: Kept) -> pa.RecordBatch:
-        columns = list(zip(*kept.rows(), strict=True)) or [()] * 4
-        types = (pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.float64()))
+    def taken(self) -> pa.RecordBatch:
+        columns = [[g for g, _ in self.found], [x for _, x in self.found], list(self.found.values())]
+        self.found = {}
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["slice", "grp", "name", "x"])
+            [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.int64()), strict=True)], ["grp", "x", "n"])
 
-    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = Kept()
+
+def counted(docs: DataFrame) -> DataFrame:
+    """grp, x (features as 32-bit integers), n of the candidates of all texts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = Counts()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                offer(kept, text)
-        yield batch_of(kept)
+                offer(counts, text)
+                if len(counts.found) > COUNTED:
+                    yield counts.taken()
+        yield counts.taken()
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = Kept()
-        for batch in batches:
-            for _, group, name, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if kept.wants(group, name):
-                    kept.add(group, name, x)
-        yield batch_of(kept)
-
-    rows = (
-        able.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(total)) < n).select("text")
-        .mapInArrow(tidy(rate), CANDIDATE).repartition(SLICES, "slice").mapInArrow(tidy(merge), CANDIDATE)
-        .toArrow()  # KEPT of each slice and group
-    )
-    return trained(sorted(zip(*(c.to_pylist() for c in rows.columns), strict=True)))
+    text = F.col("text")
+    able = docs.where(text.rlike("[0-9@]") | text.rlike(_OBFUSCATED.pattern))  # no other text has candidates
+    return able.select("text").mapInArrow(tidy(count), "grp int, x binary, n long").groupBy("grp", "x").agg(F.sum("n").alias("n"))
+
+
+#: From groups, features and numbers of some candidates: keys, and two sums for each.
+_Sums = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def _arrays(rows: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    x = np.frombuffer(b"".join(rows.column("x").to_pylist()), np.int32).reshape(max(1, rows.num_rows), -1)[:rows.num_rows]
+    return rows.column("grp").to_numpy().astype(np.int64), x.astype(float), rows.column("n").to_numpy()
+
+
+def summed(candidates: DataFrame, most: int) -> Callable[[_Sums], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """What adds up a function of ``candidates`` by key over all of them: on Spark, if they are more than ``most``."""
+
+    def here(rows: pa.Table):
+        block = _arrays(rows)
+
+        def add_up(f: _Sums):
+            return f(*block)
+
+        return add_up
+
+    def on_spark(f: _Sums):
+        def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in f(*_arrays(batch))], ["k", "a", "b"])
+
+        rows = (
+            candidates.mapInArrow(tidy(part), "k long, a long, b long")
+            .groupBy("k").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).toArrow().sort_by("k")
+        )
+        return tuple(rows.column(c).to_numpy() for c in ("k", "a", "b"))
+
+    return here(candidates.toArrow()) if candidates.count() <= most else on_spark
+
+
+def _by_key(keys: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    found, at = np.unique(keys, return_inverse=True)
+    return found, np.bincount(at, a, len(found)).astype(np.int64), np.bincount(at, b, len(found)).astype(np.int64)
+
+
+def learn(docs: DataFrame) -> Model:
+    """The model from the candidates of all texts."""
+    total = summed(written(counted(docs), "candidates"), FIT_ROWS)
+
+    groups, sizes, _ = total(lambda group, x, n: _by_key(group, n, 0 * n))
+    here = groups % FOLDS == 0
+    if not here.any():
+        return Model(boosting.Trees(0), dict.fromkeys(KINDS, 2.0))
+    # kinds and labels with many candidates do not drown the others
+    weight = np.zeros(2 * len(KINDS))
+    weight[groups[here] // FOLDS] = np.minimum(1, EVEN / sizes[here])
+    ones, zeros = (float((sizes * weight[groups // FOLDS])[here & (groups // FOLDS % 2 == y)].sum()) for y in (1, 0))
+
+    def values(group, x, n):
+        mine = group % FOLDS == 0
+        x, n = x[mine], np.rint(weight[group[mine] // FOLDS] * boosting.UNIT) * n[mine]
+        key = (np.arange(x.shape[1]) << 40) + x.astype(np.int64) + 1  # the least value is -1
+        n = np.repeat(n, x.shape[1])
+        return _by_key(key.ravel(), n, 0 * n)
+
+    keys, reached, _ = total(values)
+    column, value = keys >> 40, (keys & ((1 << 40) - 1)) - 1
+    width = int(column[-1]) + 1
+    edges = [boosting.quantiles(value[column == j], reached[column == j]) for j in range(width)]
+    bins = max(map(len, edges)) + 1
+
+    def grown(model, feature, cut, level):
+        def cells(group, x, n):
+            mine = group % FOLDS == 0
+            group = group[mine] // FOLDS
+            g, h = boosting.cells(model, feature, cut, level, edges, x[mine], group % 2, n[mine], weight[group])
+            used = np.flatnonzero((g != 0) | (h != 0))
+            return used, g.ravel()[used], h.ravel()[used]
+
+        at, g, h = total(cells)
+        out = np.zeros((2, 2 ** level * width * bins), np.int64)
+        out[:, at] = g, h
+        return out.reshape(2, 2 ** level, width, bins)
+
+    trees = boosting.grow(grown, edges, ones, zeros)
+
+    def margins(group, x, n):
+        mine = group % FOLDS > 0
+        group, n = group[mine], n[mine]
+        step = np.rint(trees.margin(x[mine]) * boosting.LEAF).astype(np.int64)  # exact: leaves are such parts
+        y = group // FOLDS % 2
+        return _by_key(((group % FOLDS * len(KINDS) + group // FOLDS // 2) << 40) + step + (1 << 39), n * y, n * (1 - y))
+
+    keys, ones, zeros = total(margins)
+    margin = ((keys & ((1 << 40) - 1)) - (1 << 39)) / boosting.LEAF
+    fold, kind = keys >> 40 >> 2, (keys >> 40) & (len(KINDS) - 1)
+    return _judged(trees, np.tile(fold, 2), np.tile(kind, 2), np.tile(margin, 2),
+                   np.repeat([1, 0], len(keys)), np.concatenate([ones, zeros]))
+
+
+def _judged(trees: boosting.Trees, fold, kind, margin, y, n) -> Model:
+    """The trees calibrated on fold 1, with thresholds from fold 2, of margins that stand for ``n`` candidates each."""
+    cuts = dict.fromkeys(KINDS, 2.0)
+    fold, kind, margin, y, n = (c[n > 0] for c in (fold, kind, margin, y, n))
+    if trees.features or trees.start > 0:  # some are right
+        one = fold == 1
+        boosting.platt(trees, margin[one], y[one], weight=n[one].astype(float))
+        for k, name in enumerate(KINDS):
+            held = (fold == 2) & (kind == k)
+            if held.any():
+                p = boosting.sigmoid(trees.slope * margin[held] + trees.offset)
+                cuts[name] = max(0.5, boosting.threshold(p, y[held], PRECISION, n[held].astype(float)))
+    return Model(trees, cuts)
 
 
 def find(docs: DataFrame) -> DataFrame:

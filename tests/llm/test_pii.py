@@ -143,3 +143,33 @@ def test_megabyte_runs_take_seconds():
         pii.redacted(text, base + pii.added_spans(text, base, model))
         print(text[:12], round(time.perf_counter() - began, 2))
         assert time.perf_counter() - began < 30, text[:20]
+
+
+def test_the_trees_learn_from_every_text_here_or_on_spark(spark, monkeypatch):
+    texts = [*sentences(3000), "write joe at mail dot com", "a" * 5000 + "@b.co", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    expected = pii.Counts()
+    for t in texts:
+        pii.offer(expected, t or "")
+    assert {(r.grp, bytes(r.x)): r.n for r in pii.counted(df).collect()} == expected.found
+    here = pii.learn(df)
+    monkeypatch.setattr(pii, "FIT_ROWS", 0)
+    there = pii.learn(df)
+    assert here.cuts == there.cuts and here.cuts["email"] <= 1
+    assert (here.trees.start, here.trees.slope, here.trees.offset) == (there.trees.start, there.trees.slope, there.trees.offset)
+    for a, b in ((here.trees.features, there.trees.features), (here.trees.cuts, there.trees.cuts), (here.trees.leaves, there.trees.leaves)):
+        assert len(a) == 40 and all((x == y).all() for x, y in zip(a, b, strict=True))
+
+
+def test_grown_trees_learn_an_interaction_from_weighted_rows():
+    rng = np.random.default_rng(0)
+    x = rng.integers(0, 40, (4000, 4)).astype(float)
+    y = ((x[:, 0] > 20) ^ (x[:, 2] > 11)).astype(int)
+    n = rng.integers(1, 5, 4000)
+    edges = [boosting.quantiles(*np.unique(np.repeat(x[:, j], n), return_counts=True)) for j in range(4)]
+    model = boosting.grow(lambda *tree: boosting.cells(*tree, edges, x, y, n), edges, int(n @ y), int(n @ (1 - y)))
+    again = np.repeat(np.arange(4000), n)
+    rows = boosting.grow(lambda *tree: boosting.cells(*tree, edges, x[again], y[again], np.ones(len(again), int)), edges,
+                         int(n @ y), int(n @ (1 - y)))
+    assert all((a == b).all() for a, b in zip(model.leaves, rows.leaves, strict=True))
+    assert ((model.probability(x) > 0.5) == y).mean() > 0.97
