@@ -15,7 +15,7 @@ words by a logistic model that is fitted on texts the machine has not seen.
 
 The machine is fitted on a bounded sample of labelled rows: about FIT_TOXIC and FIT_CLEAN texts.
 An upper bound of the similarity to the toxic landmarks spares most words the full kernel; workers
-keep the margins of words in a cache that is dropped when it is full.
+keep the margins of words in a cache; when it is full, only those of the texts at hand stay.
 
 Defined results: null or empty texts and texts without letters score like a text of unknown words;
 without labels of both kinds every score is the share of toxic labels (0 without labels); null
@@ -30,9 +30,9 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -56,8 +56,10 @@ MISTAKE, SKETCH, SHARED = 3.0, 24, 12
 SHARPNESS, LIKE = 6.0, 0.5
 #: Margin that a like word must reach without one letter to count, and what that costs it.
 SURE, INSERTED = 0.8, 0.2
-#: Groups of toxic landmarks that share a bound.
-GROUPS = 24
+#: Groups of toxic landmarks that share a bound, and groups that share one before.
+GROUPS, TOGETHER = 24, 5
+#: Share of a bound that rounding may take.
+ROUNDED = 1e-4
 #: Letters that a subsequence may span, and the weight of each.
 SPAN, DECAY = 6, 0.6
 #: Letters of a piece of a long word, and words in a worker's cache.
@@ -81,14 +83,14 @@ def words_of(text: str) -> set[str]:
 
 
 def letters(word: str) -> str:
-    return word if word.isalpha() else "".join(c for c in word if c.isalpha())
+    return word if word.isalpha() else "".join(filter(str.isalpha, word))
 
 
-def _pieces(words: list[str]) -> tuple[np.ndarray, list[str]]:
-    """Letters of each word between marks of its ends; long words in overlapping pieces."""
+def _pieces(forms: Iterable[str]) -> tuple[np.ndarray, list[str]]:
+    """Each form (letters of a word) between marks of its ends; long ones in overlapping pieces."""
     owner, pieces = [], []
-    for k, w in enumerate(words):
-        w = f"^{letters(w)}$"
+    for k, w in enumerate(forms):
+        w = f"^{w}$"
         starts = range(0, len(w) - PIECE // 2, PIECE // 2) if len(w) > PIECE else (0,)
         for s in starts:
             owner.append(k)
@@ -96,16 +98,21 @@ def _pieces(words: list[str]) -> tuple[np.ndarray, list[str]]:
     return np.array(owner, np.int64), pieces
 
 
-def _subsequences(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(piece, subsequence, weight) of every occurrence of three letters within SPAN."""
+def _letter_codes(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(size, begin) of each piece; (code, letters from here to the piece's end) of each letter."""
     sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    points = np.frombuffer("".join(pieces).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    points = np.frombuffer("".join(pieces).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int32)
     plain = (points >= 97) & (points < 123)
     flat = np.where(plain, points - 96, 29 + points % 35)
     flat[points == 94], flat[points == 36] = 27, 28
-    begin = np.cumsum(sizes) - sizes
+    ends = np.cumsum(sizes)
+    return sizes, ends - sizes, flat, np.repeat(ends, sizes) - np.arange(len(flat))
+
+
+def _subsequences(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, subsequence, weight) of every occurrence of three letters within SPAN."""
+    sizes, _, flat, left = _letter_codes(pieces)
     who = np.repeat(np.arange(len(pieces)), sizes)
-    left = (begin + sizes)[who] - np.arange(len(flat))  # letters from here to the piece's end
     owners, codes, weights = [], [], []
     for a, b in _SHAPES:
         at = np.flatnonzero(left > b)
@@ -151,9 +158,25 @@ class Landmarks:
             else:
                 leaders.append(k)
                 members.append([k])
-        self.most = np.zeros((len(leaders), _CODES ** 3), np.float32)
-        for g, m in enumerate(members):
-            self.most[g, self.known] = toxic[:, m].max(1)
+        most = np.array([toxic[:, m].max(1) for m in members], np.float32).reshape(len(members), len(self.known))
+        # the same of all groups, and of some together: what fails these fails each of their groups
+        self.top = np.zeros(_CODES ** 3, np.float32)
+        self.top[self.known] = most.max(0, initial=0)
+        self.sieves = [[most[g:g + TOGETHER].max(0) for g in range(0, len(most), TOGETHER)], most]
+
+    def promising(self, pieces: list[str]) -> np.ndarray:
+        """Places of the pieces whose subsequences could make them LIKE a toxic word if all of these were one."""
+        sizes, begin, flat, left = _letter_codes(pieces)
+        if not len(flat):
+            return begin
+        bound = np.zeros(len(flat), np.float32)  # of the subsequences that begin at each letter
+        squares = np.zeros(len(pieces))
+        for a, b in _SHAPES:
+            n = max(0, len(flat) - b)
+            code = (flat[:n] * _CODES + flat[a:a + n]) * _CODES + flat[b:]
+            bound[:n] += self.top[code] * (left[:n] > b) * np.float32(DECAY ** (b - 2))
+            squares += np.maximum(sizes - b, 0) * DECAY ** (2 * (b - 2))
+        return np.flatnonzero(np.add.reduceat(bound, begin) >= LIKE * (1 - ROUNDED) * np.maximum(np.sqrt(squares), 1e-12))
 
     def similarities(self, owner, code, weight, n: int) -> np.ndarray:
         """Normalised kernel of ``n`` pieces (summed subsequences, sorted by piece) and all words."""
@@ -191,10 +214,16 @@ class Machine:
     n_toxic: int = 0
 
     def margins(self, words: list[str]) -> np.ndarray:
-        out = np.full(len(words), self.bias)
         if self.landmarks is None or not words:
-            return out
-        owner, pieces = _pieces(words)
+            return np.full(len(words), self.bias)
+        forms: dict[str, int] = {}  # words with the same letters have the same margin
+        at = [forms.setdefault(letters(w), len(forms)) for w in words]
+        rest = iter(forms)
+        return np.concatenate([self._of_forms(list(islice(rest, CHUNK))) for _ in range(0, len(forms), CHUNK)])[at]
+
+    def _of_forms(self, forms: list[str]) -> np.ndarray:
+        out = np.full(len(forms), self.bias)
+        owner, pieces = _pieces(forms)
         like, margin = self._of_pieces(pieces)
         # a like word that is not toxic as it stands may be so without an inserted letter
         short, whose = [], []
@@ -212,18 +241,23 @@ class Machine:
 
     def _of_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Whether each piece is LIKE a toxic landmark, and its margin."""
-        who, code, weight = _subsequences(pieces)
-        least_norm = np.maximum(np.sqrt(np.bincount(who, weight ** 2, len(pieces))), 1e-12)
-        known = self.landmarks.place[code] >= 0
-        who_k, code_k, weight_k = who[known], code[known], weight[known]
-        able = np.zeros(len(pieces), bool)  # no piece that is LIKE a toxic landmark fails this
-        for most in self.landmarks.most:
-            able |= np.bincount(who_k, weight_k * most[code_k], len(pieces)) >= LIKE * least_norm
         margin, like = np.full(len(pieces), self.bias), np.zeros(len(pieces), bool)
-        if able.any():
-            number = np.cumsum(able) - 1
-            mine = able[who]
-            near = self.landmarks.similarities(*_summed(number[who[mine]], code[mine], weight[mine]), int(able.sum()))
+        # no piece that is LIKE a toxic landmark fails a bound
+        able = self.landmarks.promising(pieces)
+        who, code, weight = _subsequences([pieces[k] for k in able])
+        least = LIKE * (1 - ROUNDED) * np.maximum(np.sqrt(np.bincount(who, weight ** 2, len(able))), 1e-12)
+        at = self.landmarks.place[code]
+        mine = at >= 0
+        for sieve in self.landmarks.sieves:
+            who, at, weight = who[mine], at[mine], weight[mine]
+            stays = np.zeros(len(able), bool)
+            for most in sieve:
+                stays |= np.bincount(who, weight * most[at], len(able)) >= least
+            mine = stays[who]
+            who = np.cumsum(stays)[who] - 1
+            able, least = able[stays], least[stays]
+        if len(able):
+            near = self.landmarks.similarities(*_summed(*_subsequences([pieces[k] for k in able])), len(able))
             like[able] = near[:, :self.n_toxic].max(1) >= LIKE
             margin[able] = np.where(like[able], gaussian(near) @ self.weights + self.bias, self.bias)
         return like, margin
@@ -232,7 +266,8 @@ class Machine:
         """The largest margin of a text's words, how far it is beyond doubt, the number of words
         on the toxic side and of all words (log)."""
         top = max(margins, default=self.bias)
-        return top, max(top - 0.5, 0.0), math.log1p(sum(m > 0 for m in margins)), math.log1p(len(margins))
+        beyond = sum(m > 0 for m in margins) if top > 0 else 0
+        return top, max(top - 0.5, 0.0), math.log1p(beyond), math.log1p(len(margins))
 
     def probability(self, facts: np.ndarray) -> np.ndarray:
         return sigmoid(facts @ self.evidence[:-1] + self.evidence[-1])
@@ -435,11 +470,13 @@ def probabilities(texts: list[str], machine: Machine, name: int = 0) -> np.ndarr
     facts = np.empty((len(texts), 4))
     for lo in range(0, len(texts), 256):
         found = [words_of(t) for t in texts[lo:lo + 256]]
-        if len(cache) > CACHE_SIZE:
+        met = set().union(*found)
+        if len(cache) > CACHE_SIZE:  # only what is at hand stays
+            kept = {w: cache[w] for w in met & cache.keys()}
             cache.clear()
-        new = list(set().union(*found) - cache.keys())
-        for a in range(0, len(new), CHUNK):
-            cache.update(zip(new[a:a + CHUNK], machine.margins(new[a:a + CHUNK]).tolist(), strict=True))
+            cache.update(kept)
+        new = list(met - cache.keys())
+        cache.update(zip(new, machine.margins(new).tolist(), strict=True))
         for k, f in enumerate(found):
             facts[lo + k] = machine.facts(list(map(cache.__getitem__, f)))
     return machine.probability(facts)

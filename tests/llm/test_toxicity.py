@@ -146,3 +146,41 @@ def test_a_worker_keeps_a_bounded_number_of_words(monkeypatch):
     for k in range(3):
         toxicity.probabilities([" ".join(f"w{k}x{i}" for i in range(60_000))], machine, 77)
     assert len(toxicity._CACHE.pop(77)) <= 160_000
+
+
+def test_words_of_the_same_letters_are_looked_at_once(monkeypatch):
+    land = tox.Landmarks(["idiot", "moron", "house"], 2)
+    machine = tox.Machine(land, np.array([2.0, 2.0, -1.0]), -1.0, np.zeros(5), 2)
+    seen = []
+    of_pieces = tox.Machine._of_pieces
+    monkeypatch.setattr(tox.Machine, "_of_pieces", lambda self, pieces: (seen.extend(pieces), of_pieces(self, pieces))[1])
+    words = ["idiot", "idiot,", "(idiot)", "id-iot", "tree", "tree.", "12", "--", ""]
+    got = machine.margins(words)
+    assert sorted(seen) == ["^$", "^idiot$", "^tree$"]
+    assert len(set(got[:4])) == 1 and got[0] > 0 and (got[4:] == -1.0).all()
+
+
+def test_a_full_cache_keeps_the_words_at_hand(monkeypatch):
+    monkeypatch.setattr(tox, "CACHE_SIZE", 1000)
+    asked = []
+    monkeypatch.setattr(tox.Machine, "margins", lambda self, words: (asked.extend(words), np.zeros(len(words)))[1])
+    machine = tox.Machine(None, np.zeros(0), 0.0, np.zeros(5))
+    for k in range(4):
+        tox.probabilities(["every day " + " ".join(f"w{k}x{i}" for i in range(1100))], machine, 78)
+    assert asked.count("every") == asked.count("day") == 1 and len(asked) == 4402
+    assert len(tox._CACHE.pop(78)) <= 2200
+
+
+def test_every_bound_leaves_like_words_of_many_groups():
+    rng = random.Random(4)
+    toxic = list(dict.fromkeys("".join(rng.choices("abcdefghijklmnopqrstuvwxyzéß", k=rng.randrange(3, 14))) for _ in range(60)))
+    land = tox.Landmarks([*toxic, "house", "garden"], len(toxic))
+    assert len(land.sieves[1]) == tox.GROUPS and len(land.sieves[0]) > 2
+    machine = tox.Machine(land, rng.random() + np.arange(len(toxic) + 2) % 5, -1.0, np.zeros(5), len(toxic))
+    words = [*toxic, *(w[:k] + c + w[k:] for w in toxic for k in range(len(w)) for c in "xé"), *(w[1:] for w in toxic), "", "a", "日本語",
+             *("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(1, 12))) for _ in range(3000))]
+    like, got = machine._of_pieces([f"^{w}$" for w in words])
+    near = land.of_words(words)
+    assert (like == (near[:, :len(toxic)].max(1) >= tox.LIKE)).all() and 100 < like.sum() < len(words) - 2000
+    assert np.allclose(got, np.where(like, tox.gaussian(near) @ machine.weights - 1.0, -1.0), atol=1e-5)
+    assert [x.tolist() for x in machine._of_pieces([])] == [[], []]
