@@ -88,9 +88,9 @@ def pieces(c: Column, n: int = PIECE_LENGTH) -> Column:
     return F.transform(starts, lambda i: F.substring(c, i * n + 1, F.lit(n)))
 
 
-def compact_strings(items: Column) -> Column:
-    """Trimmed non-blank strings of an array; order kept."""
-    return F.filter(F.transform(items, strip), lambda x: x.isNotNull() & (x != ""))
+def compact_strings(items: Column, trim: Callable[[Column], Column] = strip) -> Column:
+    """Trimmed non-blank strings of an array; order kept. What ``trim`` leaves empty is blank."""
+    return F.filter(F.transform(items, trim), lambda x: x.isNotNull() & (x != ""))
 
 
 def note_from_text(c: Column) -> Column:
@@ -98,13 +98,13 @@ def note_from_text(c: Column) -> Column:
     return F.when(has_id(c), F.array(strip(c)))
 
 
-def normalize_note(v: Column) -> Column:
+def normalize_note(v: Column, trim: Callable[[Column], Column] = strip) -> Column:
     """VARIANT string or list -> non-empty list of trimmed strings, else NULL."""
 
     def listed(x: Column) -> Column:
         text = F.when(F.schema_of_variant(x) == "STRING", F.try_variant_get(x, "$", "string"))
         single = F.when(text.isNotNull(), F.array(text))
-        return compact_strings(F.coalesce(F.try_variant_get(x, "$", "array<string>"), single))
+        return compact_strings(F.coalesce(F.try_variant_get(x, "$", "array<string>"), single), trim)
 
     return bind(bind(v, listed), lambda n: F.when(F.size(n) > 0, n))
 
