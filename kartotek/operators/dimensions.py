@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kartotek import functions as fn
+from kartotek.session import sorted_side
 
 # Keys with a meaning of their own; the rest goes to the extension.
 V1_KEYS = ("code", "text", "values", "valueTexts", "time", "elimination")
@@ -63,7 +64,7 @@ def v1_periods(dims: DataFrame, cats: DataFrame, key: str = "dataset_code") -> D
     )
     return (
         cats.filter(fn.has_id(F.col("label")))
-        .join(last, [key, "pos"], "left_semi")
+        .join(sorted_side(last), [key, "pos"], "left_semi")
         .groupBy(key)
         .agg(F.min("label").alias("first_period"), F.max("label").alias("last_period"))
     )

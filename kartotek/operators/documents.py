@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kartotek import functions as fn
 from kartotek.operators.kpi import API_URL
+from kartotek.session import sorted_side
 
 DEFAULT_CELL_LIMIT = 5000
 
@@ -33,7 +34,7 @@ def dataset_doc(candidates: DataFrame, spans: DataFrame | None = None,
         found = spans.select(key, F.col("first_period").cast("string").alias("_first"),
                              F.col("last_period").cast("string").alias("_last"))
         df = (
-            df.join(found, key, "left")
+            df.join(sorted_side(found), key, "left")
             .withColumn("first_period", F.coalesce("first_period", "_first"))
             .withColumn("last_period", F.coalesce("last_period", "_last"))
         )
@@ -86,7 +87,7 @@ def nested_dimensions(dims: DataFrame, cats: DataFrame, key: str = "dataset_code
         *[F.col(c) for c in ("note", "link") if c in dims.columns],
         open_fields.alias("extension"),
     )
-    rows = dims.join(entries, [key, "dim_id"]).select(key, "pos", "dim_id", "role", axis.alias("axis"))
+    rows = dims.join(sorted_side(entries), [key, "dim_id"]).select(key, "pos", "dim_id", "role", axis.alias("axis"))
     ordered = rows.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("pos", "dim_id", "role"))).alias("d"),
         F.map_from_entries(F.collect_list(F.struct("dim_id", "axis"))).alias("dimension"),
@@ -136,7 +137,7 @@ def metadata_doc(candidates: DataFrame, nested: DataFrame, key: str = "dataset_c
         retrieval(F.col("adapter"), F.col("data_url")).alias("retrieval"),
         F.col("extension"),
     )
-    return candidates.join(nested, key).select(key, doc.alias("metadata"))
+    return candidates.join(sorted_side(nested), key).select(key, doc.alias("metadata"))
 
 
 def to_json_pair(pairs: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kartotek import functions as fn
+from kartotek.session import sorted_side
 
 # The synthetic contents axis and its placeholder category.
 CONTENTS = "ContentsCode"
@@ -26,7 +27,7 @@ def merge_metadata(candidates: DataFrame, payload: DataFrame, key: str) -> DataF
     official = F.try_element_at(px, F.lit("official-statistics"))
     contact = F.try_element_at("_x", F.lit("contact"))
     return (
-        candidates.join(p, key, "left")
+        candidates.join(sorted_side(p), key, "left")
         .withColumn("note", F.coalesce(fn.normalize_note(F.col("_note")), "note"))
         .withColumn("subject_label", fn.first_truthy(F.col("subject_label"), area))
         .withColumn(
@@ -58,7 +59,7 @@ def promote_px(docs: DataFrame, sample: DataFrame, key: str) -> DataFrame:
 
     kept = F.map_filter("_px", lambda k, v: ~k.isin("heading", "stub"))
     return (
-        docs.join(s, key, "left")
+        docs.join(sorted_side(s), key, "left")
         .withColumn("description", F.coalesce(text("description"), "description"))
         .withColumn("subject_code", F.coalesce(text("subject-code"), "subject_code"))
         .withColumn("subject_label", F.coalesce(text("subject-area"), "subject_label"))
@@ -83,7 +84,7 @@ def enrich_dimensions(dims: DataFrame, sampled: DataFrame, keys: list[str]) -> D
         F.col("extras").alias("_extras"),
     )
     return (
-        dims.join(s, keys, "left")
+        dims.join(sorted_side(s), keys, "left")
         .withColumn("note", F.coalesce("_note", "note"))
         .withColumn("link", F.coalesce("_link", "link"))
         .withColumn("extras", fn.overlay(F.col("_extras"), F.col("extras")))
@@ -95,7 +96,7 @@ def enrich_categories(cats: DataFrame, details: DataFrame, keys: list[str]) -> D
     """Unit, note and coordinates of the sampled categories."""
     fields = [c for c in details.columns if c not in keys]
     s = details.select(*keys, *[F.col(c).alias(f"_{c}") for c in fields])
-    joined = cats.join(s, keys, "left")
+    joined = cats.join(sorted_side(s), keys, "left")
     for c in fields:
         found = F.col(f"_{c}")
         joined = joined.withColumn(c, F.coalesce(found, c) if c in cats.columns else found)

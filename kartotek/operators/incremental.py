@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kartotek import functions as fn
 from kartotek.operators.numbering import running_total
 from kartotek.operators.presence import presence
-from kartotek.session import cut_lineage
+from kartotek.session import cut_lineage, sorted_side
 
 IDENTITY = ("provider_code", "dataset_code", "language")
 _STATE_FIELDS = ("source_updated_at", "last_fetched_at", "has_error")
@@ -21,7 +21,7 @@ def with_state(candidates: DataFrame, state: DataFrame, keys: Sequence[str] = ID
     stored = state.select(
         *keys, *[F.col(c).alias(f"state_{c}") for c in _STATE_FIELDS], F.lit(True).alias("known")
     )
-    return candidates.join(stored, list(keys), "left").withColumn(
+    return candidates.join(sorted_side(stored), list(keys), "left").withColumn(
         "known", F.coalesce("known", F.lit(False))
     )
 
@@ -81,7 +81,7 @@ def select_by_window(
     )
     return (
         with_state(candidates, state, keys)
-        .join(named, ["kpi_id", "kind"], "left")
+        .join(sorted_side(named), ["kpi_id", "kind"], "left")
         .withColumn("should_fetch", full_run(force, checkpoint, started_at) | due)
         .drop("in_feed")
     )

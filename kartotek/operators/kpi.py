@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kartotek import functions as fn
 from kartotek.operators.numbering import batches
+from kartotek.session import sorted_side
 
 # Upstream codes and labels.
 AREA_NODE = ("kolada:operating_area", "Verksamhetsområde")
@@ -33,7 +34,7 @@ def with_groups(kpis: DataFrame, groups: DataFrame) -> DataFrame:
         F.array_sort(F.collect_set(F.struct("title", "group_id"))).alias("groups")
     )
     none = F.array().cast("array<struct<title:string,group_id:string>>")
-    return kpis.join(held, "kpi_id", "left").withColumn("groups", F.coalesce("groups", none))
+    return kpis.join(sorted_side(held), "kpi_id", "left").withColumn("groups", F.coalesce("groups", none))
 
 
 def unknown_members(groups: DataFrame, kpis: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kartotek import functions as fn
+from kartotek.session import sorted_side
 
 # Patterns of the contracts.
 PROVIDER_CODE = r"^[a-z][a-z0-9]*(?:_[a-z0-9]+)*$"
@@ -151,7 +152,7 @@ def check_categories(cats: DataFrame, keys: Sequence[str]) -> DataFrame:
 def unknown_keys(details: DataFrame, cats: DataFrame, keys: Sequence[str], path: str) -> DataFrame:
     """Side-map keys that name no category."""
     return (
-        details.join(cats.select(*keys, "cat_id").distinct(), [*keys, "cat_id"], "left_anti")
+        details.join(sorted_side(cats.select(*keys, "cat_id").distinct()), [*keys, "cat_id"], "left_anti")
         .select(*keys, "cat_id", F.lit("unknown_category").alias("rule"), F.lit(path).alias("path"))
     )
 
@@ -197,7 +198,7 @@ def check_edges(edges: DataFrame, cats: DataFrame, keys: Sequence[str]) -> DataF
 def check_roles(axes: DataFrame, roles: DataFrame, key: str) -> DataFrame:
     """Role rows (key, role, role_pos, dim_id) against axis positions: known axis, axis
     order kept, one role per axis, no repeats. Role lists are a document's few axes."""
-    joined = roles.join(axes.select(key, "dim_id", "pos"), [key, "dim_id"], "left")
+    joined = roles.join(sorted_side(axes.select(key, "dim_id", "pos")), [key, "dim_id"], "left")
     in_role = Window.partitionBy(key, "role").orderBy("role_pos")
     per_axis = Window.partitionBy(key, "dim_id")
     marked = (
@@ -364,7 +365,7 @@ def check_sample(expected: DataFrame, samples: DataFrame, key: str) -> DataFrame
         & same_set(F.map_keys(s["dimension"]), axis_ids)
     )
     return violations(
-        samples.join(wanted, key),
+        samples.join(sorted_side(wanted), key),
         [key],
         [
             ("axes", "id", ~F.coalesce(ids_ok, F.lit(False))),

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from kartotek import functions as fn
 from kartotek.operators import kpi
 from kartotek.operators.catalog import child_path
-from kartotek.session import spread
+from kartotek.session import sorted_side, spread
 
 PLAN = "feed string, url string, dataset_code string, why string"
 
@@ -56,7 +56,7 @@ def missing(plan: DataFrame, raw: DataFrame) -> DataFrame:
     key = F.concat_ws(" ", "feed", "url")
     answered = raw.filter("url is not null").select("feed", request_key(F.col("url")).alias("url")).select(key.alias("_key"))
     landed = answered.unionByName(raw.select(F.col("feed").alias("_key")).distinct())
-    return plan.withColumn("_key", key).join(landed, "_key", "left_anti").select("feed", "url", "dataset_code", "why")
+    return plan.withColumn("_key", key).join(sorted_side(landed), "_key", "left_anti").select("feed", "url", "dataset_code", "why")
 
 
 def missing_feeds(plan: DataFrame, raw: DataFrame) -> DataFrame:

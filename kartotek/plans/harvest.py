@@ -28,7 +28,7 @@ from kartotek.operators import (
 )
 from kartotek.operators.numbering import range_bounds
 from kartotek.sources import html, landed
-from kartotek.session import configure, cut_lineage, spread
+from kartotek.session import configure, cut_lineage, sorted_side, spread
 from kartotek.sources import kpi as kpi_source
 
 KEY = "dataset_code"
@@ -106,8 +106,8 @@ def _outcomes(run: Run, selection: DataFrame, pairs: DataFrame, faults: DataFram
         one_each(selection).select(
             "provider_code", KEY, "language", "should_fetch", "attempt_no", "deferred",
             F.col("updated").alias("source_updated_at"))
-        .join(documents.to_json_pair(one_each(pairs)).select(KEY, "documents"), KEY, "left")
-        .join(faults, KEY, "left")
+        .join(sorted_side(documents.to_json_pair(one_each(pairs)).select(KEY, "documents")), KEY, "left")
+        .join(sorted_side(faults), KEY, "left")
     )
     error = F.coalesce(
         F.lit(refused).cast("string"), "fault", F.when(F.col("documents").isNull(), F.lit("no usable metadata landed")))
@@ -149,7 +149,7 @@ def _document_faults(chosen: DataFrame, dims: DataFrame, details: DataFrame, cat
 
 def _structure_faults(axes: DataFrame, cats: DataFrame) -> DataFrame:
     sized = cats.groupBy(KEY, "dim_id").agg(F.count("*").alias("n_values"))
-    dims = axes.select(KEY, "dim_id").join(sized, [KEY, "dim_id"], "left")
+    dims = axes.select(KEY, "dim_id").join(sorted_side(sized), [KEY, "dim_id"], "left")
     return quality.check_structure(dims, cats, KEY)
 
 
@@ -193,7 +193,7 @@ def run_tables_v2(raw: DataFrame, state: DataFrame, run: Run, api_url: str, web_
     )
     payload = payloads.select(KEY, F.col("payload.note").alias("note"), F.col("payload.extension").alias("extension"))
     detail = documents.metadata_doc(enrich.merge_metadata(chosen, payload, KEY), nested)
-    pairs = documents.dataset_doc(chosen).join(detail, KEY)
+    pairs = documents.dataset_doc(chosen).join(sorted_side(detail), KEY)
     p = F.col("payload")
     lists = payloads.select(KEY, p["id"].alias("id"), F.map_keys(p["dimension"]).alias("dimension_keys"))
     clashes = payloads.select(
@@ -263,7 +263,7 @@ def tables_v1(
 def _answer_faults(raw: DataFrame, owner: DataFrame, name: str) -> DataFrame:
     """Datasets whose answer of one feed has an error status."""
     bad = raw.filter((F.col("feed") == name) & ~F.coalesce(F.col("status").between(200, 299), F.lit(False)))
-    return bad.join(owner, "url").groupBy(KEY).agg(F.min(F.col("status").cast("string")).alias("_s")).select(
+    return bad.join(sorted_side(owner), "url").groupBy(KEY).agg(F.min(F.col("status").cast("string")).alias("_s")).select(
         KEY, F.lit("response").alias("rule"), F.concat_ws("/", F.lit(name), "_s").alias("path"))
 
 
@@ -283,7 +283,7 @@ def run_tables_v1(
         F.transform(F.array_sort(F.collect_list(F.struct("path_no", "nodes"))), lambda x: x["nodes"]).alias("paths"))
     address = fn.table_api_url(F.lit(api_url), fn.path_tokens(F.col("_path")), F.col(KEY))
     candidates = (
-        found.join(first, KEY).join(listed, KEY, "left")
+        found.join(sorted_side(first), KEY).join(sorted_side(listed), KEY, "left")
         .withColumn("provider_code", F.lit(run.provider_code)).withColumn("language", F.lit(run.language))
         .withColumn("metadata_url", address).withColumn("data_url", address).withColumn("adapter", F.lit("pxweb_v1"))
         .withColumn("order_key", F.lower(KEY))
@@ -297,20 +297,20 @@ def run_tables_v1(
     selection = _bounded(run, incremental.select_by_timestamp(one_each(candidates), state, run.force), ["order_key", KEY])
 
     owner = selection.select(KEY, F.col("metadata_url").alias("url"))
-    answers = feed(raw, "metadata").join(owner, "url")
+    answers = feed(raw, "metadata").join(sorted_side(owner), "url")
     variables = cut_lineage(landed.metadata_v1(answers))
     dims, cats = dimensions.dimensions_v1(variables)
     spans = dimensions.v1_periods(dims, cats)
     sizes = cats.groupBy(KEY, "pos", "dim_id").agg(F.count("*").alias("n"))
     keep = dimensions.sample_selection(sizes, KEY, cell_limit).select(KEY, "dim_id", "keep")
-    wanted = cats.join(keep, [KEY, "dim_id"]).filter("ordinal < keep").groupBy(KEY, "dim_id").agg(
+    wanted = cats.join(sorted_side(keep), [KEY, "dim_id"]).filter("ordinal < keep").groupBy(KEY, "dim_id").agg(
         F.array_sort(F.collect_list("cat_id")).alias("cat_ids"))
     # Only whether the contents axis has exactly one code matters, and then which.
     codes = cats.filter(F.col("dim_id") == enrich.CONTENTS).groupBy(KEY).agg(F.count("*").alias("_n"), F.min("cat_id").alias("_first"), F.max("cat_id").alias("_last"))
     real = codes.select(KEY, F.when(F.col("_n") == 1, F.array("_first")).otherwise(F.array("_first", "_last")).alias("contents"))
-    samples = one_each(landed.sample_v1(feed(raw, "sample").join(owner, "url")))
+    samples = one_each(landed.sample_v1(feed(raw, "sample").join(sorted_side(owner), "url")))
     fixed = cut_lineage(
-        enrich.fix_placeholder(samples.withColumn("_all", F.col("sample")).join(real, KEY, "left"))
+        enrich.fix_placeholder(samples.withColumn("_all", F.col("sample")).join(sorted_side(real), KEY, "left"))
     )
     axes = dimensions.axes_v2(fixed.select(KEY, F.struct(
         F.col("sample.id").alias("id"), absent("string").alias("role"), F.col("sample.dimension").alias("dimension")).alias("payload")))
@@ -327,18 +327,18 @@ def run_tables_v1(
     facts = fixed.select(
         KEY, F.try_variant_get(extension, "$.px", "variant").alias("px"), F.col("_all.source").alias("source"), F.col("_all.note").alias("note"))
     titles = variables.select(KEY, "title").distinct()
-    chosen = selection.filter("should_fetch").join(titles, KEY, "left").withColumn("label", F.coalesce("title", "label"))
+    chosen = selection.filter("should_fetch").join(sorted_side(titles), KEY, "left").withColumn("label", F.coalesce("title", "label"))
     for name, kind in (("description", "string"), ("time_unit", "string"), ("first_period", "string"), ("last_period", "string"),
                        ("discontinued", "boolean"), ("official_statistics", "boolean"), ("source", "string"), ("note", "array<string>")):
         chosen = chosen.withColumn(name, absent(kind))
     promoted = enrich.promote_px(chosen, facts, KEY).withColumn("extension", F.struct("px"))
-    pairs = documents.dataset_doc(promoted, spans).join(documents.metadata_doc(promoted, nested), KEY)
+    pairs = documents.dataset_doc(promoted, spans).join(sorted_side(documents.metadata_doc(promoted, nested)), KEY)
 
-    missing = wanted.select(KEY).distinct().join(fixed.select(KEY), KEY, "left_anti").select(
+    missing = wanted.select(KEY).distinct().join(sorted_side(fixed.select(KEY)), KEY, "left_anti").select(
         KEY, F.lit("missing").alias("rule"), F.lit("sample").alias("path"))
     placeholders = fixed.filter("fault is not null").select(KEY, F.col("fault").alias("rule"), F.lit("sample/placeholder").alias("path"))
-    texts = promoted.drop("first_period", "last_period").join(spans.select(
-        KEY, F.col("first_period").cast("string").alias("first_period"), F.col("last_period").cast("string").alias("last_period")), KEY, "left")
+    texts = promoted.drop("first_period", "last_period").join(sorted_side(spans.select(
+        KEY, F.col("first_period").cast("string").alias("first_period"), F.col("last_period").cast("string").alias("last_period"))), KEY, "left")
     asked = requests.dataset_requests(selection.filter("should_fetch"), "metadata", F.col("metadata_url"))
     faults = _first_faults(
         requests.dataset_faults(requests.missing(asked, raw)), _answer_faults(raw, owner, "metadata"), _answer_faults(raw, owner, "sample"),
@@ -436,7 +436,7 @@ def run_kpis(raw: DataFrame, state: DataFrame, run: Run, api_url: str | None = N
         F.struct(F.lit(d).alias("dim_id"), F.lit(p).alias("pos"), F.lit(label).alias("label"), absent("string").alias("_none") if role is None
                  else F.lit(role).alias("_none"), F.lit(d == "gender").alias("elimination"))
         for d, p, label, role in (("municipality", 0, "Kommun", "geo"), ("ou", 0, "Enhet", "geo"), ("year", 1, "År", "time"), ("gender", 2, "Kön", None))])
-    dims = both.select(KEY, F.inline(shape)).withColumnRenamed("_none", "role").join(held, KEY, "left").withColumn(
+    dims = both.select(KEY, F.inline(shape)).withColumnRenamed("_none", "role").join(sorted_side(held), KEY, "left").withColumn(
         "extras", F.when((F.col("dim_id") == "ou") & F.col("_owners").isNotNull(), F.create_map(F.lit("category"), F.to_variant_object("_owners")))
         .otherwise(F.create_map().cast("map<string,variant>"))).drop("_owners")
     nested = documents.nested_dimensions(dims, cats)
@@ -446,14 +446,14 @@ def run_kpis(raw: DataFrame, state: DataFrame, run: Run, api_url: str | None = N
     chosen = selection.filter("should_fetch").withColumn("first_period", absent("string")).withColumn("last_period", absent("string"))
     chosen = chosen.withColumn("official_statistics", absent("boolean")).withColumn("note", absent("array<string>")).withColumn(
         "adapter", F.lit("kolada")).withColumn("extension", F.struct(F.col("extension").alias("kolada")))
-    pairs = documents.dataset_doc(chosen, spans).join(documents.metadata_doc(chosen, nested), KEY)
-    empty = chosen.select(KEY).join(spans.select(KEY), KEY, "left_anti").select(
+    pairs = documents.dataset_doc(chosen, spans).join(sorted_side(documents.metadata_doc(chosen, nested)), KEY)
+    empty = chosen.select(KEY).join(sorted_side(spans.select(KEY)), KEY, "left_anti").select(
         KEY, F.lit("no live values").alias("rule"), F.lit("dimension").alias("path"))
     lacking = []
     if api_url is not None:
-        due = chosen.select("kpi_id", KEY, "kind").join(listed.select("kpi_id", "scope_type"), "kpi_id")
+        due = chosen.select("kpi_id", KEY, "kind").join(sorted_side(listed.select("kpi_id", "scope_type")), "kpi_id")
         lacking = [requests.dataset_faults(requests.missing(requests.value_requests(due, areas, api_url, year), raw))]
-    texts = chosen.drop("first_period", "last_period").join(spans, KEY, "left").withColumn("updated", absent("timestamp"))
+    texts = chosen.drop("first_period", "last_period").join(sorted_side(spans), KEY, "left").withColumn("updated", absent("timestamp"))
     maps = cats.select(KEY, "dim_id", "cat_id", *[absent(k).alias(c) for c, k in (("unit", "variant"), ("coordinates", "array<double>"))]).limit(0)
     faults = _first_faults(
         *lacking, empty, quality.check_categories(cats, [KEY, "dim_id"]),

@@ -77,3 +77,17 @@ def test_a_large_partition_is_written_in_pieces(spark, tmp_path):
     assert len(list((tmp_path / "out" / "g=one").glob("*.parquet"))) > 1
     assert spark.read.parquet(str(tmp_path / "out")).count() == 6_000_000
     assert [spark.conf.get(f"spark.sql.adaptive.{n}", None) for n in names] == before
+
+
+def test_no_table_of_datasets_is_broadcast(spark, data_dir):
+    """Estimates come from the bytes of the files, so a broadcast of datasets would grow with them on the driver."""
+    from kartotek.plans import harvest, q_runs
+    from kartotek.plans.bindings import Tables
+
+    t, run, api = Tables(spark, data_dir), harvest.Run("r", "demo", "sv", q_runs.START), "https://h.org/api/v1/sv/Db"
+    raw, known = q_runs.v2_landed(t)
+    none = spark.createDataFrame([], harvest.schemas.STATE)
+    for result in (harvest.run_tables_v2(raw, known, run, "https://a.org"), harvest.run_tables_v1(q_runs.v1_landed(t, api), none, run, api)):
+        assert result.outcomes.count() > 0
+        plan = result.outcomes._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
